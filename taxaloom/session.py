@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,14 +14,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-taxaloom-")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's checkpoint folder (spark.checkpoint.dir) and drop its lineage.
+    """``df`` as a table written to the cluster's checkpoint folder (spark.checkpoint.dir), without its lineage.
 
-    The folder is shared by driver and executors, so the data outlives lost executors. A folder of our own is set only
-    where the session names none, as in local tests.
+    The folder is shared by driver and executors, so the table outlives lost executors. Only where the session names no such
+    folder, as in local tests, is one of our own used.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-taxaloom-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    path = f"{folder.rstrip('/')}/taxaloom/{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
