@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.llm import byte_bpe, language_id, mixing, pii
+from taxaloom.llm import byte_bpe, chat, language_id, mixing, ngram_join, pii, sharding
 from taxaloom.session import table
 
 #: Where the vocabulary file lies; a parameter, since on a cluster it is put where all machines see it.
@@ -22,14 +22,26 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe.load_ranks(spark, VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op6_mixing, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op5_sharding, op6_mixing, op8_chat_format, op10_personal_data)}
 
 SQL: dict[str, str] = {}
