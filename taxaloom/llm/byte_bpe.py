@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,9 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words that a worker remembers; beyond that it forgets all and goes on.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+#: Characters of text whose new words are replayed together.
+PART_CHARS = 24 << 20
 #: Bytes of new words that are replayed together.
 BLOCK_BYTES = 8 << 20
 
@@ -29,86 +32,113 @@ def load_ranks(spark, path: str) -> bytes:
 
 
 class Vocabulary:
+    """Ranks, the table of token pairs with a union, and the words replayed so far."""
+
     def __init__(self, content: bytes):
         self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
         self.token = {v: k for k, v in self.rank.items()}
-        self.pairs: dict[int, int] = {}  # a << 32 | b -> rank of the union, or -1
-        self.cache: dict[str, bytes] = {}
-
-    def union(self, a: int, b: int) -> int:
+        top = max(self.token) + 1
+        self.length = np.zeros(top, np.int64)
+        pairs = []
+        for t, r in self.rank.items():
+            self.length[r] = len(t)
+            pairs += [(a << 32 | b, r) for i in range(1, len(t)) if (a := self.rank.get(t[:i])) is not None and (b := self.rank.get(t[i:])) is not None]
+        table = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.pair, self.union = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
+        # of the pairs that a token is part of, the least rank: is it lower than the token's, its merges go one by one
+        self.least = np.full(top, np.iinfo(np.int64).max)
+        np.minimum.at(self.least, table[:, 0] >> 32, table[:, 1])
+        np.minimum.at(self.least, table[:, 0] & 0xFFFFFFFF, table[:, 1])
+        self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids: dict[str, int] = _Numbered()
+        self.packed: list[bytes] = []
+
+    def unions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 32 | b
-        if (got := self.pairs.get(key)) is None:
-            got = self.pairs[key] = self.rank.get(self.token[a] + self.token[b], -1)
-        return got
-
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word; words are not empty."""
-        whole, todo = [self.rank.get(w) for w in words], []
-        for i, w in enumerate(words):
-            if whole[i] is None:
-                todo.append(i)
-        data = b"".join(words[i] for i in todo)
-        starts = np.cumsum([0, *(len(words[i]) for i in todo)]).tolist()
-        tok = [self.rank[bytes([x])] for x in data]
-        nxt, prv = list(range(1, len(data) + 1)), list(range(-1, len(data) - 1))
-        for a, b in zip(starts, starts[1:], strict=False):
-            nxt[b - 1] = prv[a] = -1
-        index: dict[int, list[int]] = {}
-        for i, j in enumerate(nxt):
-            if j >= 0 and (r := self.union(tok[i], tok[j])) >= 0:
-                index.setdefault(r, []).append(i)
+        at = np.searchsorted(self.pair, key)
+        return np.where(self.pair[at] == key, self.union[at], -1)
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word, all words at once; words are not empty."""
+        out = [b"" if (r := self.rank.get(w)) is None else r.to_bytes(4, "little") for w in words]
+        todo = [i for i, x in enumerate(out) if not x]
+        if not todo:
+            return out
+        data = np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)
+        starts = np.cumsum([0, *(len(words[i]) for i in todo)])
+        tok, n = self.byte[data], len(data)
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        nxt[starts[1:] - 1] = prv[starts[:-1]] = -1
+        word = np.repeat(np.arange(len(todo)), np.diff(starts))
+
+        # the inverted index: rank of a pair's union -> positions of the pairs
+        here = np.flatnonzero(nxt >= 0)
+        rank = self.unions(tok[here], tok[here + 1])
+        here, rank = here[rank >= 0], rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        ranks, first = np.unique(rank[order], return_index=True)
+        index = dict(zip(ranks.tolist(), (x.tolist() for x in np.split(here[order], first[1:])), strict=True)) if len(ranks) else {}
         heap = list(index)
-        heapq.heapify(heap)
-        union = self.union
         while heap:
-            rank = heapq.heappop(heap)
-            at = sorted(index.pop(rank))
-            for n, i in enumerate(at):
-                j = nxt[i]
-                if j < 0 or tok[i] < 0 or union(tok[i], tok[j]) != rank:
-                    continue  # a neighbour's merge took one of the two
-                tok[i], tok[j], k, p = rank, -1, nxt[j], prv[i]
-                nxt[i], nxt[j] = k, -1
-                lower = False
-                if k >= 0:
-                    prv[k] = i
-                    if (r := union(rank, tok[k])) >= 0:
-                        if r not in index:
-                            index[r] = []
-                            heapq.heappush(heap, r)
-                        index[r].append(i)
-                        lower = r < rank
-                if p >= 0 and (r := union(tok[p], rank)) >= 0:
-                    if r not in index:
-                        index[r] = []
-                        heapq.heappush(heap, r)
-                    index[r].append(p)
-                    lower |= r < rank
-                if lower and n + 1 < len(at):  # a lower rank appeared: it goes first, the rest of this one later
-                    if rank not in index:
-                        index[rank] = []
-                        heapq.heappush(heap, rank)
-                    index[rank] += at[n + 1 :]
-                    break
-        out = [[w] if w is not None else [] for w in whole]
-        for i, a, b in zip(todo, starts, starts[1:], strict=False):
-            out[i] = [t for t in tok[a:b] if t >= 0]
+            r = heapq.heappop(heap)
+            at = np.unique(np.array(index.pop(r)))
+            right = nxt[at]
+            at = at[(tok[at] >= 0) & (right >= 0)]
+            right = nxt[at]
+            whole = self.length[tok[at]] + self.length[tok[right]] == self.length[r]  # else a merge beside it took a part
+            at, right = at[whole], right[whole]
+            if not len(at):
+                continue
+            # of pairs that overlap in a row, every other one
+            i = np.arange(len(at))
+            alone = (i - np.maximum.accumulate(np.where(np.append(True, right[:-1] != at[1:]), i, 0))) % 2 == 0
+            if self.least[r] < r and len(at) > 1:
+                # where a merge makes a pair of lower rank, that one goes before the word's other merges of this rank
+                x, y = at[alone], right[alone]
+                near = np.stack((self.unions(np.full(len(x), r), tok[nxt[y]]), self.unions(tok[prv[x]], np.full(len(x), r)), np.full(len(x), self.unions(r, r))))
+                low = ((near >= 0) & (near < r)).any(0)
+                first = np.append(True, word[at[1:]] != word[at[:-1]])
+                later = np.isin(word[at], word[x[low]]) & ~first
+                if later.any():
+                    index[r] = at[later].tolist()
+                    heapq.heappush(heap, r)
+                    alone &= ~later
+            at, right = at[alone], right[alone]
+            after, before = nxt[right], prv[at]
+            tok[at], tok[right], nxt[at] = r, -1, after
+            prv[after[after >= 0]] = at[after >= 0]
+            i, j = np.concatenate((at[after >= 0], before[before >= 0])), np.concatenate((after[after >= 0], at[before >= 0]))
+            # a neighbour that was merged in the same step has moved its start to that of its left part
+            new = self.unions(tok[i], tok[j])
+            for q, x in zip(new[new >= 0].tolist(), i[new >= 0].tolist(), strict=True):
+                if (held := index.get(q)) is None:
+                    index[q] = [x]
+                    heapq.heappush(heap, q)
+                else:
+                    held.append(x)
+        left = tok >= 0
+        ends = np.concatenate(([0], np.cumsum(left)))[starts] * 4
+        packed = tok[left].astype("<u4").tobytes()
+        for i, a, b in zip(todo, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = packed[a:b]
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Replay the words that the cache lacks, in blocks of bounded size."""
-        block, size = [], 0
-        for w in words:
-            block.append(w)
-            size += len(w)
-            if size >= BLOCK_BYTES:
-                self._learn(block)
-                block, size = [], 0
-        self._learn(block)
+    def learn(self) -> None:
+        """Replay the words numbered since the last time, in blocks of bounded size."""
+        words = [w.encode() for w in islice(self.ids, len(self.packed), None)]
+        sizes = np.cumsum([len(w) for w in words]) // BLOCK_BYTES if words else np.zeros(0, int)
+        for k in range(int(sizes[-1]) + 1 if words else 0):
+            a, b = np.searchsorted(sizes, [k, k + 1])
+            self.packed += self.replay(words[a:b])
+
 
-    def _learn(self, block: list[str]) -> None:
-        for w, ids in zip(block, self.replay([w.encode() for w in block]), strict=True):
-            self.cache[w] = np.array(ids, "<u4").tobytes()
+class _Numbered(dict):
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 @lru_cache(2)
@@ -123,22 +153,23 @@ def encode_column(text: Column, content: bytes, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
         v, out = vocabulary(content), []
-        part: list[list[str]] = []
+        part: list[np.ndarray] = []
         size = 0
 
         def flush() -> None:
             nonlocal part, size
-            words = {w for x in part for w in x}
-            if len(v.cache) + len(words) > CACHE_WORDS:
-                v.cache.clear()
-            v.learn(words - v.cache.keys())
-            out.extend(b"".join(map(v.cache.__getitem__, x)) for x in part)
+            v.learn()
+            packed = v.packed
+            out.extend(b"".join([packed[i] for i in x.tolist()]) for x in part)
             part, size = [], 0
+            if len(packed) > CACHE_WORDS:
+                v.forget()
 
         for t in texts:
-            part.append(cut_words.findall(t or ""))
+            words = cut_words.findall(t or "")
+            part.append(np.fromiter(map(v.ids.__getitem__, words), np.int32, len(words)))
             size += len(t or "")
-            if size >= 4 << 20:
+            if size >= PART_CHARS:
                 flush()
         flush()
         return pd.Series(out, dtype=object)
