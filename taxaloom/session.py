@@ -19,6 +19,11 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="spark-taxaloom-")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it."""
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or _own_folder()).rstrip('/')}/taxaloom"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` as a table written to the cluster's checkpoint folder (spark.checkpoint.dir), without its lineage.
 
@@ -26,7 +31,6 @@ def cut(df: DataFrame) -> DataFrame:
     folder, as in local tests, is one of our own used.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    path = f"{folder.rstrip('/')}/taxaloom/{uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
