@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.llm import byte_bpe, chat, language_id, mixing, ngram_join, pii, sharding
+from taxaloom.llm import byte_bpe, chat, fingerprint, language_id, mixing, ngram_join, pii, search, sharding, token_counts
 from taxaloom.session import table
 
 #: Where the vocabulary file lies; a parameter, since on a cluster it is put where all machines see it.
@@ -26,6 +26,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.replay(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -34,14 +38,22 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.self_search(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op5_sharding, op6_mixing, op8_chat_format, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op4_token_counts, op5_sharding, op6_mixing, op7_exact_top_k, op8_chat_format, op9_fingerprint, op10_personal_data)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_token_counts": token_counts.REPLAY_SQL}
