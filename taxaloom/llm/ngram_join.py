@@ -39,6 +39,8 @@ CLASSES = 5
 BLOCK_TOKENS = 1 << 21
 #: Keys that a set must share with a hub to be verified against it in the first phase; the second phase is exact anyway.
 HUB_KEYS = 2
+#: Pairs (24 bytes each) up to which their table is sent to the texts; beyond that the texts are shuffled to the pairs.
+BROADCAST_PAIRS = 500_000
 
 
 def tokens(text: str | None, n: int) -> np.ndarray:
@@ -156,18 +158,22 @@ def _frame(cols: list) -> pd.DataFrame:
 
 
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: Fraction) -> DataFrame:
-    """Those of ``pairs`` (a, b: signatures) whose sets have a Jaccard similarity of at least t."""
-    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    rep = reps.join(wanted, "sig").select(F.col("doc_id").alias("rep"), "sig")
+    """Those of ``pairs`` (a, b: signatures) whose sets have a Jaccard similarity of at least t. b's set goes to a's."""
+    of_b = pairs.join(reps.withColumnRenamed("sig", "b"), "b").withColumnRenamed("doc_id", "rep")
+    of_a = pairs.select("a").distinct().join(reps.withColumnRenamed("sig", "a"), "a").withColumnRenamed("doc_id", "rep")
+    if pairs.count() <= BROADCAST_PAIRS:
+        of_a, of_b = F.broadcast(of_a), F.broadcast(of_b)
 
     @F.pandas_udf("array<long>")
     def held(texts: pd.Series) -> pd.Series:
         return pd.Series([tokens(x, n) for x in texts])
 
-    of = docs.join(rep, F.col("doc_id") == F.col("rep")).select("sig", held("text").alias("tok")).dropDuplicates(["sig"])
-    both = pairs.join(of.select(F.col("sig").alias("a"), F.col("tok").alias("ta")), "a").join(of.select(F.col("sig").alias("b"), F.col("tok").alias("tb")), "b")
+    at = F.col("doc_id") == F.col("rep")
+    there = docs.join(of_a, at).select("a", held("text").alias("ta"))
+    come = docs.join(of_b, at).select("a", "b", held("text").alias("tb"))
     common = F.size(F.array_intersect("ta", "tb"))
-    return both.withColumn("common", common).where(F.col("common") * F.lit(t.denominator) >= F.lit(t.numerator) * (F.size("ta") + F.size("tb") - F.col("common"))).select("a", "b")
+    both = come.join(there, "a").select("a", "b", (F.size("ta") + F.size("tb")).alias("sum"), common.alias("common"))
+    return both.where(F.col("common") * F.lit(t.denominator) >= F.lit(t.numerator) * (F.col("sum") - F.col("common"))).select("a", "b").distinct()
 
 
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 4, percent: int = 85) -> DataFrame:
