@@ -29,7 +29,7 @@ def c7_label_partition(spark, d):
 
 
 def c12_shape(spark, d):
-    return op.shape(ad.memberships(spark, d), 10)
+    return op.shape(ad.memberships(spark, d), 10).withColumn("sizes", F.array_join(F.col("sizes").cast("array<string>"), ","))
 
 
 def _points(spark, d):
@@ -131,7 +131,7 @@ SQL = {
     "c2_scores_to_distance": "SELECT least(l_suppkey, l_partkey % 100) AS a, greatest(l_suppkey, l_partkey % 100) AS b, min(greatest(0.0, least(1.0, 1 - l_discount * 10))) AS d FROM lineitem WHERE l_suppkey <> l_partkey % 100 GROUP BY ALL HAVING d < 1",
     "c6_medoids": f"WITH {_V} SELECT candidate_id, label, count(*) AS size FROM memberships GROUP BY ALL",
     "c7_label_partition": "WITH m AS (SELECT 'c' || c_custkey AS taxon_id, CASE WHEN c_acctbal >= 0 THEN 'n' || c_nationkey END AS rep FROM customer), r AS (SELECT rep, CAST(row_number() OVER (ORDER BY rep) - 1 AS INT) AS label FROM (SELECT DISTINCT rep FROM m WHERE rep IS NOT NULL)) SELECT taxon_id, coalesce(label, -1) AS label FROM m LEFT JOIN r USING (rep)",
-    "c12_shape": f"WITH {_V}, {_SHAPE} SELECT * FROM shape",
+    "c12_shape": f"WITH {_V}, {_SHAPE} SELECT * REPLACE (array_to_string(sizes, ',') AS sizes) FROM shape",
     "c13_silhouette": f"WITH {_V}, {_SIL.format('memberships')} SELECT * FROM sil",
     "c14_scoped_silhouette": f"WITH {_V}, {_BIG.format(30)}, {_SIL.format('big')} SELECT candidate_id, silhouette FROM (SELECT DISTINCT candidate_id FROM memberships) LEFT JOIN sil USING (candidate_id)",
     "c15_score": f"WITH {_V}, {_SHAPE}, {_BIG.format(10)}, {_SIL.format('big')} SELECT candidate_id, n_clusters, usable, retained_fraction, silhouette FROM shape LEFT JOIN sil USING (candidate_id)",
