@@ -24,7 +24,7 @@ def parse_newick(trees: DataFrame) -> DataFrame:
     """nodes and label from (tree_id, newick), by windows over tokens; node_id is the token's place. Comments in brackets go.
     Trees whose parentheses don't match give no rows."""
     t = trees.select("tree_id", F.regexp_extract_all(F.regexp_replace("newick", r"\[[^\]]*\]", ""), F.lit(TOKEN), F.lit(1)).alias("t"))
-    ok = t.select("tree_id", F.posexplode(F.transform("t", F.trim)).alias("pos", "tok")).where("tok <> ''")
+    ok = t.select("tree_id", F.posexplode(F.transform("t", lambda x: F.trim(x))).alias("pos", "tok")).where("tok <> ''")
     run = Window.partitionBy("tree_id").orderBy("pos")
     step = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
     mark = F.col("tok").isin("(", ")", ",", ";")
@@ -45,7 +45,7 @@ def parse_newick(trees: DataFrame) -> DataFrame:
     colon = F.when(F.col("text").startswith("'"), F.regexp_extract("text", r"'\s*:\s*([^:]*)$", 1)).otherwise(F.regexp_extract("text", r":\s*([^:]*)$", 1))
     name = F.when(F.col("text").startswith("'"), F.regexp_extract("text", r"^('(?:[^']|'')*')", 1)).otherwise(F.regexp_replace("text", r":[^:]*$", ""))
     out = nodes.join(parents, ["tree_id", "pos"]).withColumn("label", F.nullif(clean_label(name), F.lit("")))
-    return out.select("tree_id", F.col("pos").cast("long").alias("node_id"), F.col("parent_id").cast("long").alias("parent_id"), (F.col("level") - 1).cast("int").alias("depth"), F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"), "is_leaf", F.when(F.col("is_leaf"), F.col("label")).alias("name"), F.coalesce(F.nullif(F.trim(colon), F.lit("")).try_cast("double"), F.lit(0.0)).alias("length"), F.when(~F.col("is_leaf"), F.col("label")).alias("label"))
+    return out.select("tree_id", F.col("pos").cast("long").alias("node_id"), F.col("parent_id").cast("long").alias("parent_id"), (F.col("level") - 1).cast("int").alias("depth"), F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"), "is_leaf", F.when(F.col("is_leaf"), F.col("label")).alias("name"), F.coalesce(colon.try_cast("double"), F.lit(0.0)).alias("length"), F.when(~F.col("is_leaf"), F.col("label")).alias("label"))
 
 
 def write_newick(nodes: DataFrame) -> DataFrame:
