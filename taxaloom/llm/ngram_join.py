@@ -9,6 +9,9 @@ would lie in the short prefixes): with k one more than the number of classes ove
 two of them fall into the same class, and the key of that combination brings x and y together. Nothing is lost, whatever
 tokens are called frequent.
 
+Prefixes are extended further, by 1/EXTENSION of a set's size, so that two sets whose whole prefixes are rare must share as
+many single keys: those that share a passage only seldom do. The places of the shared tokens bound the overlap besides.
+
 Keys are hubs for stars, not sources of all their pairs: each set is first verified against one hub, the least set with which
 it shares most keys. After components are formed, only keys that still hold different components are joined with themselves,
 and of those pairs only those that the positions of shared tokens allow are verified. So a group of thousands of near copies
@@ -39,6 +42,7 @@ CLASSES = 5
 BLOCK_TOKENS = 1 << 21
 #: Keys that a set must share with a hub to be verified against it in the first phase; the second phase is exact anyway.
 HUB_KEYS = 2
+EXTENSION = 20
 #: Pairs (24 bytes each) up to which their table is sent to the texts; beyond that the texts are shuffled to the pairs.
 BROADCAST_PAIRS = 500_000
 
@@ -95,8 +99,9 @@ def _sets(n: int, batches):
 
 
 def _emit(n: int, t: Fraction, frequent: tuple, batches):
-    """(key, sig, n, at, index, single): the keys of each set. at is the token's place in the set's order; for combinations,
-    the place of the last rare token."""
+    """(key, sig, n, at, index, single, need): the keys of each set. at is the token's place in the set's order, for
+    combinations that of the last rare token; need is how many single keys the set shares with a linked one at least, if that
+    one's is no less, and 0 if its prefix has frequent tokens."""
     f_tok, f_cnt = frequent
     k = CLASSES + 1
     share = 2 * t / (1 + t)
@@ -105,7 +110,7 @@ def _emit(n: int, t: Fraction, frequent: tuple, batches):
     # Sets so small that k common tokens aren't sure, and their partners, give single keys for frequent tokens too.
     small = int(max(s for s in range(4 * k) if ceil(share, s) < k) / t)
     for batch in batches:
-        cols: list[list[np.ndarray]] = [[], [], [], [], [], []]
+        cols: list[list[np.ndarray]] = [[] for _ in range(7)]
         for text in batch["text"]:
             tok = tokens(text, n)
             size = len(tok)
@@ -120,9 +125,10 @@ def _emit(n: int, t: Fraction, frequent: tuple, batches):
                 often = np.zeros(size, np.int64)
             rare = tok[often == 0]
             probe, index = size - ceil(t, size), size - ceil(share, size)  # prefix lengths less k
-            single = rare[: probe + 1]
+            more = 1 + size // EXTENSION
+            single = rare[: probe + more]
             keys, at = [single], [np.arange(len(single))]
-            is_index, is_single = [np.arange(len(single)) <= index], [np.ones(len(single), bool)]
+            is_index, is_single = [np.arange(len(single)) < index + more], [np.ones(len(single), bool)]
             if len(rare) <= probe:
                 if size <= small:
                     extra = tok[np.lexsort((tok, often))][len(rare) : probe + 1]
@@ -143,18 +149,32 @@ def _emit(n: int, t: Fraction, frequent: tuple, batches):
                     is_index.append(len(rare) + own[j] < index + k)
                     is_single.append(np.zeros(len(i), bool))
             m = sum(map(len, keys))
-            for col, x in zip(cols, (np.concatenate(keys), np.full(m, sig), np.full(m, size), np.concatenate(at), np.concatenate(is_index), np.concatenate(is_single)), strict=True):
+            need = more if len(rare) >= probe + more else 0
+            for col, x in zip(cols, (np.concatenate(keys), np.full(m, sig), np.full(m, size), np.concatenate(at), np.concatenate(is_index), np.concatenate(is_single), np.full(m, need)), strict=True):
                 col.append(x)
             if sum(map(len, cols[0])) > 200_000:
                 yield _frame(cols)
-                cols = [[], [], [], [], [], []]
+                cols = [[] for _ in range(7)]
         if cols[0]:
             yield _frame(cols)
 
 
 def _frame(cols: list) -> pd.DataFrame:
-    key, sig, n, at, index, single = (np.concatenate(c) for c in cols)
-    return pd.DataFrame({"key": key, "sig": sig, "n": n.astype(np.int32), "at": at.astype(np.int32), "index": index, "single": single})
+    key, sig, n, at, index, single, need = (np.concatenate(c) for c in cols)
+    return pd.DataFrame({"key": key, "sig": sig, "n": n.astype(np.int32), "at": at.astype(np.int32), "index": index, "single": single, "need": need.astype(np.int32)})
+
+
+def _held(n: int, batches):
+    """(a, b, tok): the sets of texts, in small batches."""
+    for batch in batches:
+        rows, size = [], 0
+        for row in zip(batch["a"], batch["b"], batch["text"], strict=True):
+            rows.append((*row[:2], tokens(row[2], n)))
+            size += len(rows[-1][2])
+            if size >= 1 << 18:
+                yield pd.DataFrame(rows, columns=["a", "b", "tok"])
+                rows, size = [], 0
+        yield pd.DataFrame(rows, columns=["a", "b", "tok"])
 
 
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: Fraction) -> DataFrame:
@@ -164,13 +184,9 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: Fra
     if pairs.count() <= BROADCAST_PAIRS:
         of_a, of_b = F.broadcast(of_a), F.broadcast(of_b)
 
-    @F.pandas_udf("array<long>")
-    def held(texts: pd.Series) -> pd.Series:
-        return pd.Series([tokens(x, n) for x in texts])
-
     at = F.col("doc_id") == F.col("rep")
-    there = docs.join(of_a, at).select("a", held("text").alias("ta"))
-    come = docs.join(of_b, at).select("a", "b", held("text").alias("tb"))
+    there = docs.join(of_a, at).select("a", F.lit(0).cast("long").alias("b"), "text").mapInPandas(partial(_held, n), "a long, b long, tok array<long>").select("a", F.col("tok").alias("ta")).dropDuplicates(["a"])
+    come = docs.join(of_b, at).select("a", "b", "text").mapInPandas(partial(_held, n), "a long, b long, tok array<long>").withColumnRenamed("tok", "tb")
     common = F.size(F.array_intersect("ta", "tb"))
     both = come.join(there, "a").select("a", "b", (F.size("ta") + F.size("tb")).alias("sum"), common.alias("common"))
     return both.where(F.col("common") * F.lit(t.denominator) >= F.lit(t.numerator) * (F.col("sum") - F.col("common"))).select("a", "b").distinct()
@@ -193,25 +209,31 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     reps = docs_sets.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
 
     listed = rows.where("text is not null and doc_id is not null")
-    keyed = listed.mapInPandas(partial(_emit, words, t, frequent), "key long, sig long, n int, at int, index boolean, single boolean")
+    keyed = listed.mapInPandas(partial(_emit, words, t, frequent), "key long, sig long, n int, at int, index boolean, single boolean, need int")
     keyed = keyed.persist(StorageLevel.DISK_ONLY)  # made from the texts once; lost blocks are made again
-    hubs = keyed.groupBy("key").agg(F.min("sig").alias("hub"), F.max("sig").alias("last")).where("hub < last").select(F.col("key").alias("hub_key"), "hub")
+    hub_of = [F.min_by(c, "sig").alias(f"hub_{c}") for c in ("n", "at", "need")]
+    hubs = keyed.groupBy("key").agg(F.min("sig").alias("hub"), F.max("sig").alias("last"), *hub_of).where("hub < last").drop("last").withColumnRenamed("key", "hub_key")
     met = cut(keyed.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key"))
     keyed.unpersist()
 
-    shared = met.where("sig <> hub").groupBy("sig", "hub").agg(F.count_distinct("key").alias("m")).where(F.col("m") >= HUB_KEYS)
-    first = shared.groupBy("sig").agg(F.max_by("hub", F.struct("m", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("sig").alias("b"))
+    def possible(pairs: DataFrame, x: str, y: str) -> DataFrame:
+        """Pairs that can reach the limit, from m shared single keys and the places of the last shared ones."""
+        most = F.col("m") + F.least(F.col(f"{x}n") - F.col(f"{x}at") - 1, F.col(f"{y}n") - F.col(f"{y}at") - 1)
+        return pairs.where((most * (100 + percent) >= (F.col(f"{x}n") + F.col(f"{y}n")) * percent) & (F.col("m") >= F.least(f"{x}need", f"{y}need")))
+
+    unique = met.where("sig <> hub").dropDuplicates(["key", "sig"])
+    shared = unique.groupBy("sig", "hub").agg(F.count("*").alias("keys"), F.sum(F.col("single").cast("int")).alias("m"), *[F.max(c).alias(c) for c in ("n", "at", "need", "hub_n", "hub_at", "hub_need")]).where(F.col("keys") >= HUB_KEYS)
+    first = possible(shared, "", "hub_").groupBy("sig").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("sig").alias("b"))
     links = cut(_verified(rows, reps, first, words, t))
     part = components(links)
 
-    named = met.drop("hub").dropDuplicates(["key", "sig"]).join(part.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    named = met.drop("hub", "hub_n", "hub_at", "hub_need").dropDuplicates(["key", "sig"]).join(part.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("index").alias("any")).where("lo < hi and any").select("key")
     left = cut(named.join(mixed, "key"))
-    x, y = (left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "at", "index", "single", "component")]) for s in "xy")
+    x, y = (left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "at", "index", "single", "need", "component")]) for s in "xy")
     fits = (F.col("component_x") != F.col("component_y")) & F.col("index_x") & (F.struct("n_x", "sig_x") < F.struct("n_y", "sig_y")) & (F.col("n_x") * 100 >= F.col("n_y") * percent)
-    pairs = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.first("n_x").alias("n_x"), F.first("n_y").alias("n_y"), F.sum(F.col("single_x").cast("int")).alias("m"), F.max("at_x").alias("at_x"), F.max("at_y").alias("at_y"))
-    most = F.col("m") + F.least(F.col("n_x") - F.col("at_x") - 1, F.col("n_y") - F.col("at_y") - 1)
-    second = pairs.where(most * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
+    met_again = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.sum(F.col("single_x").cast("int")).alias("m"), *[F.max(f"{c}_{s}").alias(f"{s}_{c}") for c in ("n", "at", "need") for s in "xy"])
+    second = possible(met_again, "x_", "y_").select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
     more = cut(_verified(rows, reps, cut(second), words, t))
     every = components(links.union(more))
 
