@@ -84,8 +84,11 @@ def report(docs: DataFrame) -> DataFrame:
     two = both.select("rid", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), edited.alias("text")))).alias("x")).select("rid", "x.which", "x.text")
     prints = fingerprints(two, ["rid", "which"])
     side = lambda i: F.max(F.when(F.col("which") == i, F.col("fp")))
-    known = cut(prints.groupBy("rid").agg(side(0).alias("fp"), side(1).alias("efp")))
-    digests = cut(both.select("rid", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256")))
+    known = prints.groupBy("rid").agg(side(0).alias("fp"), side(1).alias("efp"))
+    digests = both.select("rid", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"))
+    # both results in one job, so that the texts are shuffled once
+    found = cut(known.withColumn("printed", F.lit(True)).unionByName(digests.withColumn("printed", F.lit(False)), allowMissingColumns=True))
+    known, digests = found.where("printed").select("rid", "fp", "efp"), found.where("not printed").select("rid", "doc_id", "n_chars", "edited_sha256")
     next_print = follows.join(known.select("rid", F.col("fp").alias("nfp")), "rid").select(F.col("before").alias("rid"), "nfp")
     out = digests.join(known, "rid", "left").join(next_print, "rid", "left")
     text = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), ""), F.lit(""))
