@@ -14,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from taxaloom.llm.mixing import words
-from taxaloom.session import shared_folder
+from taxaloom.session import cut, shared_folder
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens"]
@@ -67,12 +67,13 @@ def replay(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stated counts of characters are revised to the measured ones; toxic documents go; the last batch is sent twice."""
     spark = docs.sparkSession
     rollup = Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid4().hex}")
-    w, b, c = words(F.col("text")), F.coalesce(F.octet_length("text"), F.lit(0)), F.coalesce(F.char_length("text"), F.lit(0))
-    stated = F.coalesce(F.col("n_chars"), F.lit(0))
-    inserts = [feed("insert", docs, "words@1", w), feed("insert", docs, "bytes@1", b), feed("insert", docs, "chars@1", stated)]
+    counts = {"w": words(F.col("text")), "b": F.coalesce(F.octet_length("text"), F.lit(0)), "c": F.coalesce(F.char_length("text"), F.lit(0)), "stated": F.coalesce(F.col("n_chars"), F.lit(0))}
+    sized = cut(docs.select("doc_id", "source", "lang", *[x.cast("long").alias(k) for k, x in counts.items()]))  # texts are read once
+    w, b, c, stated = (F.col(k) for k in counts)
+    inserts = [feed("insert", sized, "words@1", w), feed("insert", sized, "bytes@1", b), feed("insert", sized, "chars@1", stated)]
     rollup.commit(1, reduce(DataFrame.union, inserts))
-    rollup.commit(2, feed("revise", docs, "chars@1", c, stated))
-    toxic = docs.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    rollup.commit(2, feed("revise", sized, "chars@1", c, stated))
+    toxic = sized.join(labels.where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
     gone = reduce(DataFrame.union, [feed("delete", toxic, "words@1", w), feed("delete", toxic, "bytes@1", b), feed("delete", toxic, "chars@1", c)])
     for _ in range(2):
         rollup.commit(3, gone)
