@@ -19,11 +19,11 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words that a worker remembers; beyond that it forgets all and goes on.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Characters of text whose new words are replayed together.
-PART_CHARS = 24 << 20
+PART_CHARS = 16 << 20
 #: Bytes of new words that are replayed together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 
 
 def load_ranks(spark, path: str) -> bytes:
@@ -57,7 +57,7 @@ class Vocabulary:
         self.packed: list[bytes] = []
 
     def unions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a << 32 | b
+        key = np.asarray(a, np.int64) << 32 | b
         at = np.searchsorted(self.pair, key)
         return np.where(self.pair[at] == key, self.union[at], -1)
 
@@ -69,22 +69,24 @@ class Vocabulary:
             return out
         data = np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)
         starts = np.cumsum([0, *(len(words[i]) for i in todo)])
-        tok, n = self.byte[data], len(data)
-        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        tok, n = self.byte[data].astype(np.int32), len(data)
+        nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[starts[1:] - 1] = prv[starts[:-1]] = -1
-        word = np.repeat(np.arange(len(todo)), np.diff(starts))
+        word = np.repeat(np.arange(len(todo), dtype=np.int32), np.diff(starts))
 
         # the inverted index: rank of a pair's union -> positions of the pairs
-        here = np.flatnonzero(nxt >= 0)
+        here = np.flatnonzero(nxt >= 0).astype(np.int32)
         rank = self.unions(tok[here], tok[here + 1])
         here, rank = here[rank >= 0], rank[rank >= 0]
         order = np.argsort(rank, kind="stable")
         ranks, first = np.unique(rank[order], return_index=True)
-        index = dict(zip(ranks.tolist(), (x.tolist() for x in np.split(here[order], first[1:])), strict=True)) if len(ranks) else {}
+        given = dict(zip(ranks.tolist(), np.split(here[order], first[1:]), strict=True)) if len(ranks) else {}
+        index: dict[int, list[int]] = {r: [] for r in given}
         heap = list(index)
         while heap:
             r = heapq.heappop(heap)
-            at = np.unique(np.array(index.pop(r)))
+            at = np.array(index.pop(r), np.int32)
+            at = np.unique(np.concatenate((given.pop(r), at)) if r in given else at)
             right = nxt[at]
             at = at[(tok[at] >= 0) & (right >= 0)]
             right = nxt[at]
