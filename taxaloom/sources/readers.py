@@ -41,7 +41,7 @@ def count_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def parse_pdb(files: DataFrame) -> DataFrame:
