@@ -97,8 +97,7 @@ def format_windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY
         now, first = None, True
         for batch in batches:
             out = []
-            for conv, role, text in zip(batch["conv_id"].astype("Int64").tolist(), batch["role"].tolist(), batch["text"].tolist(), strict=True):
-                conv = None if conv is pd.NA else conv
+            for conv, role, text in zip(_ids(batch), batch["role"].tolist(), batch["text"].tolist(), strict=True):
                 if first or conv != now.conv:
                     if not first:
                         out.append(now.close())
@@ -112,7 +111,12 @@ def format_windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY
 
     kept = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = kept.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
-    return ordered.mapInPandas(formatted, WINDOW)
+    return ordered.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(formatted, WINDOW)
+
+
+def _ids(batch: pd.DataFrame) -> list:
+    """conv_id as text (so that ids beside nulls keep all digits) to numbers."""
+    return [None if x is None else int(x) for x in batch["conv_id"].tolist()]
 
 
 def _frame(out: list) -> pd.DataFrame:
@@ -130,8 +134,7 @@ def read_back(windows: DataFrame) -> DataFrame:
         now, first = None, True
         for batch in batches:
             out = []
-            for conv, repeated, text, loss in zip(batch["conv_id"].astype("Int64").tolist(), batch["repeated"].tolist(), batch["text"].tolist(), batch["loss"].tolist(), strict=True):
-                conv = None if conv is pd.NA else conv
+            for conv, repeated, text, loss in zip(_ids(batch), batch["repeated"].tolist(), batch["text"].tolist(), batch["loss"].tolist(), strict=True):
                 if first or conv != now[0]:
                     if not first:
                         out.append((*now[:2], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]))
@@ -154,7 +157,7 @@ def read_back(windows: DataFrame) -> DataFrame:
         frame = pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
         return frame.assign(conv_id=pd.array(frame["conv_id"], dtype="Int64"))
 
-    return windows.mapInPandas(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return windows.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def digest(conversations: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def _signature(tok: np.ndarray) -> int:
 
 
 def _sets(n: int, batches):
-    """(doc_id, n, sig, tok, cnt): the size and signature of every document's set; the last row of a block lists the tokens
+    """(doc_id, n, sig, tok, cnt), doc_id as text, since numbers beside nulls would lose digits in pandas: the size and signature of every document's set; the last row of a block lists the tokens
     that several of its sets hold."""
     held, size, seen = [], 0, set()
 
@@ -89,9 +89,7 @@ def _sets(n: int, batches):
                 seen.add(sig)
                 held.append(tok)
                 size += len(tok)
-        out = pd.DataFrame(rows, columns=["doc_id", "n", "sig", "tok", "cnt"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+        yield pd.DataFrame(rows, columns=["doc_id", "n", "sig", "tok", "cnt"])
         if size >= BLOCK_TOKENS:
             yield local()
     if held:
@@ -201,11 +199,11 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     """
     t = Fraction(percent, 100)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sized = cut(rows.mapInPandas(partial(_sets, words), "doc_id long, n int, sig long, tok array<long>, cnt array<long>"))
+    sized = cut(rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(partial(_sets, words), "doc_id string, n int, sig long, tok array<long>, cnt array<long>"))
     counted = sized.where("n = -1").select(F.explode(F.arrays_zip("tok", "cnt")).alias("x")).groupBy("x.tok").agg(F.sum("x.cnt").alias("cnt"))
     often = counted.where(F.col("cnt") >= FREQUENT).orderBy(F.desc("cnt"), "tok").limit(FREQUENT_LISTED).toPandas().sort_values("tok")
     frequent = (often["tok"].to_numpy(np.int64), often["cnt"].to_numpy(np.int64))
-    docs_sets = sized.where("n >= 0").select("doc_id", "n", "sig")
+    docs_sets = sized.where("n >= 0").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "sig")
     reps = docs_sets.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
 
     listed = rows.where("text is not null and doc_id is not null")

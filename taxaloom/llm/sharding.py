@@ -50,10 +50,10 @@ def assign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shards:
     t = F.col(text)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"), words(t).alias("tokens"),
-        F.coalesce(F.crc32(t.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), F.when(t.isNotNull(), F.xxhash64(t)).alias("h"), F.xxhash64(F.col(doc_id), t).alias("own"),
+        F.coalesce(F.crc32(t.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), F.when(t.isNotNull(), F.xxhash64(t)).otherwise(-1).alias("h"), F.xxhash64(F.col(doc_id), t).alias("own"),
     )
     rows = cut(rows)
-    key = ["h", "text_crc32", "size", "piece"]
+    key = ["h", "text_crc32", "size", "piece"]  # of a null text h is -1
     whole = rows.groupBy("h", "text_crc32", "size").agg(F.first("tokens").alias("tokens"), F.count("*").alias("rows"))
     sums = whole.agg(F.sum(F.col("size") * F.col("rows")), F.sum(F.col("tokens") * F.col("rows")), F.sum("rows")).first()
     total = np.maximum(np.array([float(x or 0) for x in sums]), 1.0)
@@ -62,9 +62,8 @@ def assign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shards:
 
     # Groups to split: each holds at least SPLIT of a shard in some dimension, so there are at most 3 * shards / SPLIT.
     heavy = whole.where(part > SPLIT).where("rows > 1").select("h", "text_crc32", "size", F.ceil(part / (SPLIT / 2)).cast("int").alias("pieces"))
-    same = lambda a, b: a["h"].eqNullSafe(b["h"]) & (a["text_crc32"] == b["text_crc32"]) & (a["size"] == b["size"])
-    b = F.broadcast(heavy)
-    pieces = rows.join(b, same(rows, heavy), "left").select(rows["*"], F.when(F.col("pieces").isNotNull(), F.pmod(F.col("own"), F.col("pieces"))).otherwise(F.lit(0)).cast("int").alias("piece"))
+    text_key = ["h", "text_crc32", "size"]
+    pieces = rows.join(F.broadcast(heavy), text_key, "left").withColumn("piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.col("own"), F.col("pieces"))).otherwise(F.lit(0)).cast("int")).drop("pieces")
     groups = cut(pieces.groupBy(*key).agg(F.sum("size").alias("v0"), F.sum("tokens").alias("v1"), F.count("*").alias("v2")))
     vector = [F.col(f"v{i}") / float(total[i]) for i in range(3)]
     weight = F.greatest(*[v * shards for v in vector])
@@ -75,8 +74,7 @@ def assign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shards:
     large["shard"] = place(large[["w0", "w1", "w2"]].to_numpy(float), room)
     spark = docs.sparkSession
     schema = "h long, text_crc32 long, size long, piece int, shard int"
-    listed = [(None if pd.isna(r.h) else int(r.h), int(r.text_crc32), int(r.size_), int(r.piece), int(r.shard)) for r in large.rename(columns={"size": "size_"}).itertuples()]
-    fixed = spark.createDataFrame(listed, schema)
+    fixed = spark.createDataFrame([tuple(map(int, r)) for r in large[[*key, "shard"]].itertuples(index=False)], schema).withColumnRenamed("shard", "fixed")
 
     small = groups.where(weight < 1 / LARGE_PARTS)
     blocks = max(1, math.ceil(small.count() / BLOCK_GROUPS))
@@ -93,12 +91,9 @@ def assign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shards:
     in_blocks = small.select(*key, *[v.alias(f"w{i}") for i, v in enumerate(vector)], F.pmod(F.xxhash64("h", "text_crc32", "size", "piece"), F.lit(blocks)).alias("block"))
     packed = in_blocks.groupBy("block").applyInPandas(pack, schema)
 
-    full = lambda a, b: same(a, b) & (a["piece"] == b["piece"])
-    f = fixed.withColumnRenamed("shard", "fixed")
-    marked = pieces.join(F.broadcast(f), full(pieces, f), "left").select(pieces["*"], "fixed")
+    marked = pieces.join(F.broadcast(fixed), key, "left")
     put = marked.where("fixed is not null").withColumnRenamed("fixed", "shard")
-    rest = marked.where("fixed is null").drop("fixed")
-    other = rest.join(packed, full(rest, packed)).select(rest["*"], "shard")
+    other = marked.where("fixed is null").drop("fixed").join(packed, key)
     placed = cut(put.unionByName(other).select("doc_id", "size", "text_crc32", "shard", "own"))
 
     parts = max(1, math.ceil(total[2] / BLOCK_ROWS / shards))
