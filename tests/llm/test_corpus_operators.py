@@ -143,7 +143,7 @@ def test_rollup_commits_once(spark, tmp_path):
 
 def test_search_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(search, "SHARD_ROWS", 60)
-    monkeypatch.setattr(search, "QUERY_ROWS", 2)
+    monkeypatch.setattr(search, "QUERY_TERMS", 100)
     random.seed(7)
     words = ["w%d" % int(random.paretovariate(0.7)) for _ in range(4000)]
     rows = [(i, " ".join(random.choices(words, k=random.randint(1, 60)))) for i in range(300)] + [(400, None), (450, ""), (500, "unseenword"), (501, "unseenword")]
