@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from taxaloom.llm.graph import components
 from taxaloom.session import cut
@@ -45,6 +45,8 @@ HUB_KEYS = 2
 EXTENSION = 20
 #: Pairs (24 bytes each) up to which their table is sent to the texts; beyond that the texts are shuffled to the pairs.
 BROADCAST_PAIRS = 500_000
+#: Partners of a set that are verified in one round, while there are more.
+PARTNERS = 4
 
 
 def tokens(text: str | None, n: int) -> np.ndarray:
@@ -230,10 +232,22 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     left = cut(named.join(mixed, "key"))
     x, y = (left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "at", "index", "single", "need", "component")]) for s in "xy")
     fits = (F.col("component_x") != F.col("component_y")) & F.col("index_x") & (F.struct("n_x", "sig_x") < F.struct("n_y", "sig_y")) & (F.col("n_x") * 100 >= F.col("n_y") * percent)
-    met_again = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.sum(F.col("single_x").cast("int")).alias("m"), *[F.max(f"{c}_{s}").alias(f"{s}_{c}") for c in ("n", "at", "need") for s in "xy"])
-    second = possible(met_again, "x_", "y_").select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"))
-    more = cut(_verified(rows, reps, cut(second), words, t))
-    every = components(links.union(more))
+    met_again = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.count("*").alias("keys"), F.sum(F.col("single_x").cast("int")).alias("m"), *[F.max(f"{c}_{s}").alias(f"{s}_{c}") for c in ("n", "at", "need") for s in "xy"])
+    pairs = cut(possible(met_again, "x_", "y_").select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"), "keys"))
+    while True:
+        count, sets = pairs.agg(F.count("*"), F.count_distinct("b")).first()
+        if count <= PARTNERS * sets:  # few for each: all at once
+            links = links.union(cut(_verified(rows, reps, pairs.select("a", "b"), words, t)))
+            break
+        # each set meets the partners it shares most keys with; pairs that are connected by then need no look
+        place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("keys"), "a"))
+        ranked = cut(pairs.withColumn("place", place))
+        links = links.union(cut(_verified(rows, reps, ranked.where(F.col("place") <= PARTNERS).select("a", "b"), words, t)))
+        part = components(links)
+        of = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}"))  # noqa: B023, E731
+        open_ = ranked.where(F.col("place") > PARTNERS).drop("place").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        pairs = cut(open_.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select("a", "b", "keys"))
+    every = components(links)
 
     own = reps.join(every.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = own.groupBy("component").agg(F.min("doc_id").alias("component_id"))
