@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from functools import lru_cache
 from itertools import islice
 
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 CACHE_WORDS = 300_000
 #: Characters of text whose new words are replayed together.
 PART_CHARS = 16 << 20
+#: Positions that are looked up together.
+CHUNK = 1 << 18
 #: Bytes of new words that are replayed together.
 BLOCK_BYTES = 3 << 20
 
@@ -36,14 +39,16 @@ class Vocabulary:
 
     def __init__(self, content: bytes):
         self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
-        self.token = {v: k for k, v in self.rank.items()}
-        top = max(self.token) + 1
+        top = max(self.rank.values()) + 1
         self.length = np.zeros(top, np.int64)
-        pairs = []
+        pairs = array("q")
         for t, r in self.rank.items():
             self.length[r] = len(t)
-            pairs += [(a << 32 | b, r) for i in range(1, len(t)) if (a := self.rank.get(t[:i])) is not None and (b := self.rank.get(t[i:])) is not None]
-        table = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+            for i in range(1, len(t)):
+                if (a := self.rank.get(t[:i])) is not None and (b := self.rank.get(t[i:])) is not None:
+                    pairs.extend((a << 32 | b, r))
+        table = np.frombuffer(pairs, np.int64).reshape(-1, 2)
+        table = table[np.argsort(table[:, 0], kind="stable")]
         self.pair, self.union = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
         # of the pairs that a token is part of, the least rank: is it lower than the token's, its merges go one by one
         self.least = np.full(top, np.iinfo(np.int64).max)
@@ -75,9 +80,12 @@ class Vocabulary:
         word = np.repeat(np.arange(len(todo), dtype=np.int32), np.diff(starts))
 
         # the inverted index: rank of a pair's union -> positions of the pairs
-        here = np.flatnonzero(nxt >= 0).astype(np.int32)
-        rank = self.unions(tok[here], tok[here + 1])
-        here, rank = here[rank >= 0], rank[rank >= 0]
+        rank = np.full(n, -1, np.int32)
+        for a in range(0, n - 1, CHUNK):
+            b = min(n - 1, a + CHUNK)
+            rank[a:b] = np.where(nxt[a:b] >= 0, self.unions(tok[a:b], tok[a + 1 : b + 1]), -1)
+        here = np.flatnonzero(rank >= 0).astype(np.int32)
+        rank = rank[here]
         order = np.argsort(rank, kind="stable")
         ranks, first = np.unique(rank[order], return_index=True)
         given = dict(zip(ranks.tolist(), np.split(here[order], first[1:]), strict=True)) if len(ranks) else {}
@@ -143,6 +151,11 @@ class _Numbered(dict):
         return n
 
 
+@lru_cache(2)
+def tokens(content: bytes) -> dict[int, bytes]:
+    return {int(b): base64.b64decode(a) for a, b in (line.split() for line in content.splitlines() if line)}
+
+
 @lru_cache(2)
 def vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
@@ -184,7 +197,7 @@ def decode_column(ids: Column, content: bytes) -> Column:
 
     @F.pandas_udf("binary")
     def decode(series: pd.Series) -> pd.Series:
-        token = vocabulary(content).token
+        token = tokens(content)
         return pd.Series([b"".join(map(token.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in series], dtype=object)
 
     return decode(ids)
