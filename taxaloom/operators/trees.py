@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from taxaloom.session import cut
+
 #: Least branch length, and lengths of branches that resolve polytomies.
 LEAST_LENGTH, TINY = 1e-4, 1e-6
 TOKEN = r"('(?:[^']|'')*'(?::[^(),;]*)?|[(),;]|[^(),;]+)"
@@ -336,3 +338,86 @@ def merges_to_newick(merges: DataFrame, leaves: DataFrame) -> DataFrame:
     start = F.transform_values("names", lambda k, v: F.struct(v.alias("t"), F.lit(0.0).alias("h")))
     fold = """aggregate(m, start, (acc, x) -> map_concat(acc, map(x.step, named_struct('t', concat('(', acc[x.a].t, ':', format_number(x.height - acc[x.a].h, '0.000000'), ',', acc[x.b].t, ':', format_number(x.height - acc[x.b].h, '0.000000'), ')'), 'h', x.height))))"""
     return g.withColumn("start", start).withColumn("all", F.expr(fold)).select("dataset", F.concat(F.col("all")[F.element_at("m", -1)["step"]]["t"], F.lit(";")).alias("newick"))
+
+
+def _path(nodes: DataFrame, at: DataFrame) -> DataFrame:
+    """nodes with the chosen node's xl, xh, xd, and i, place and depth of the lowest node on its way to the root that holds them
+    (i counts from its parent, 1)."""
+    x = at.join(nodes.select("tree_id", "node_id", F.col("lo").alias("xl"), F.col("hi").alias("xh"), F.col("depth").alias("xd"), F.col("length").alias("xlen"), F.col("parent_id").alias("xparent")), ["tree_id", "node_id"]).withColumnRenamed("node_id", "x")
+    n = nodes.join(x, "tree_id")
+    on = n.where("lo <= xl and hi >= xh and depth < xd").select("tree_id", (F.col("xd") - F.col("depth")).alias("pi"), F.col("lo").alias("pl"), F.col("hi").alias("ph"), F.col("depth").alias("pd"), F.col("node_id").alias("pn"))
+    held = n.join(on, "tree_id", "left").where("pn is null or (pl <= lo and ph >= hi and pd < depth) or node_id = pn")
+    low = held.groupBy("tree_id", "node_id").agg(F.min_by(F.struct("pi", "pd", "pn"), "pi").alias("on"))
+    return n.join(low, ["tree_id", "node_id"], "left").select(*[n[c] for c in n.columns], F.col("on.pi").alias("i"), F.col("on.pd").alias("on_depth"), F.col("on.pn").alias("on_node"))
+
+
+def reroot(nodes: DataFrame, at: DataFrame) -> DataFrame:
+    """nodes with a new root on the edge above a node of each tree: at is (tree_id, node_id, share), share being the part of that
+    edge's length left to the node's side. Only parents on the way to the old root turn round; an old root left with one child
+    merges with it. Trees without a row in at, or with the root in it, are left out."""
+    p = _path(nodes, at).where("xparent is not null")
+    inside = (F.col("lo") >= F.col("xl")) & (F.col("hi") <= F.col("xh")) & (F.col("depth") >= F.col("xd"))
+    turned = (F.col("lo") <= F.col("xl")) & (F.col("hi") >= F.col("xh")) & (F.col("depth") < F.col("xd"))
+    p = p.withColumn("inside", inside).withColumn("turned", turned).withColumn("k", F.when(F.col("inside"), 0).when(F.col("turned"), F.col("xd") - F.col("depth")).otherwise(F.col("i")))
+    p = cut(p)  # used six times below
+    leaf = p.where("is_leaf").select("tree_id", F.col("lo").alias("was"), F.col("k").alias("leaf_k"), F.row_number().over(Window.partitionBy("tree_id").orderBy("k", "lo")).alias("now"))
+    firsts = leaf.groupBy("tree_id", "leaf_k").agg(F.min("now").alias("k_lo"))
+    n_tips = leaf.groupBy("tree_id").agg(F.max("now").alias("tips"))
+    key = lambda c: F.col(c).cast("string")
+    rest = p.where("not turned").join(leaf.select("tree_id", F.col("was").alias("lo"), "now"), ["tree_id", "lo"])
+    new = F.lit("root")
+    rest = rest.select("tree_id", key("node_id").alias("node_id"), F.when(F.col("node_id") == F.col("x"), new).otherwise(key("parent_id")).alias("parent_id"), F.when(F.col("inside"), 1 + F.col("depth") - F.col("xd")).otherwise(F.col("k") + F.col("depth") - F.col("on_depth")).alias("depth"), F.col("now").alias("lo"), (F.col("now") + F.col("hi") - F.col("lo")).alias("hi"), "is_leaf", "name", F.when(F.col("node_id") == F.col("x"), F.col("length") * F.col("share")).otherwise(F.col("length")).alias("length"))
+    way = p.where("turned").select("tree_id", key("node_id").alias("node_id"), "k", "length", "xlen", "share")
+    down = Window.partitionBy("tree_id").orderBy("k")
+    way = way.withColumn("parent_id", F.coalesce(F.lag("node_id").over(down), new)).withColumn("length", F.coalesce(F.lag("length").over(down), F.col("xlen") * (1 - F.col("share"))))
+    lows = way.join(firsts, "tree_id").where("leaf_k >= k").groupBy("tree_id", "node_id").agg(F.min("k_lo").alias("lo"))
+    way = way.join(lows, ["tree_id", "node_id"]).join(n_tips, "tree_id").select("tree_id", "node_id", "parent_id", F.col("k").alias("depth"), "lo", F.col("tips").alias("hi"), F.lit(False).alias("is_leaf"), F.lit(None).cast("string").alias("name"), "length")
+    top = n_tips.select("tree_id", new.alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"), F.lit(1).alias("lo"), F.col("tips").alias("hi"), F.lit(False).alias("is_leaf"), F.lit(None).cast("string").alias("name"), F.lit(0.0).alias("length"))
+    out = cut(rest.unionByName(way).unionByName(top))
+    return prune(out, out.where("is_leaf").select("tree_id", "name"))
+
+
+def outgroup_root(nodes: DataFrame, taxa: DataFrame) -> DataFrame:
+    """Rooted in the middle of the edge above each tree's outgroup (tree_id, name)."""
+    return reroot(nodes, nodes.where("is_leaf").join(taxa, ["tree_id", "name"], "left_semi").select("tree_id", "node_id", F.lit(0.5).alias("share")))
+
+
+def farthest(nodes: DataFrame, start: DataFrame) -> DataFrame:
+    """tree_id, node_id, far, top: the tip farthest from a tip (tree_id, node_id), how far, and how deep their common node lies."""
+    d = node_depths(nodes.withColumn("length", F.when(F.col("parent_id").isNull(), 0.0).when(F.col("length") <= 0, 0.001).otherwise(F.col("length"))))
+    own = d.join(start, ["tree_id", "node_id"]).select("tree_id", F.col("lo").alias("sl"), F.col("dist").alias("sd"), F.col("node_id").alias("s"))
+    up = d.where("not is_leaf").join(own, "tree_id").where("lo <= sl and hi >= sl").select("tree_id", F.col("lo").alias("pl"), F.col("hi").alias("ph"), F.col("depth").alias("pd"), F.col("dist").alias("up"), "sd", "s")
+    met = d.where("is_leaf").join(up, "tree_id").where("pl <= lo and ph >= lo and node_id <> s").groupBy("tree_id", "node_id", "dist", "sd").agg(F.max_by("up", "pd").alias("top"))
+    far = met.withColumn("far", F.round(F.col("dist") + F.col("sd") - 2 * F.col("top"), 9))
+    return far.groupBy("tree_id").agg(F.max_by(F.struct("node_id", "far", "top", "dist", "sd"), F.struct("far", "node_id")).alias("x")).select("tree_id", "x.*")
+
+
+def midpoint_root(nodes: DataFrame) -> DataFrame:
+    """Rooted in the middle of the longest way between two tips, found by two sweeps."""
+    nodes = cut(nodes)
+    first = nodes.where("is_leaf and lo = 1").select("tree_id", "node_id")
+    b = cut(farthest(nodes, first))
+    c = cut(farthest(nodes, b.select("tree_id", "node_id")))
+    ends = c.join(b.select("tree_id", F.col("node_id").alias("b")), "tree_id")
+    # the end whose arm is the longer one holds the middle
+    deep = ends.select("tree_id", F.when(F.col("dist") >= F.col("sd"), F.col("node_id")).otherwise(F.col("b")).alias("end"), (F.col("far") / 2).alias("half"), F.greatest("dist", "sd").alias("end_dist"))
+    d = node_depths(nodes.withColumn("length", F.when(F.col("parent_id").isNull(), 0.0).when(F.col("length") <= 0, 0.001).otherwise(F.col("length"))))
+    at = d.where("is_leaf").select("tree_id", F.col("node_id").alias("end"), F.col("lo").alias("el"))
+    way = d.join(deep.join(at, ["tree_id", "end"]), "tree_id").where("lo <= el and hi >= el and parent_id is not null")
+    edge = way.withColumn("gone", F.col("end_dist") - F.col("dist")).where(F.expr("gone <= half + 1e-9 and gone + length > half - 1e-9"))
+    one = edge.groupBy("tree_id").agg(F.max_by(F.struct("node_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("half") - F.col("gone")) / F.col("length"))).alias("share")), "depth").alias("x"))
+    return reroot(nodes, one.select("tree_id", "x.*"))
+
+
+def tree_catalog(files: DataFrame) -> DataFrame:
+    """The best tree file (path) of each run, cluster and alphabet, by suffix: treefile, contree, nwk."""
+    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    rank = F.when(name.endswith(".treefile"), 0).when(name.endswith(".contree"), 1).when(name.endswith(".nwk"), 2)
+    k = F.row_number().over(Window.partitionBy("run", "cluster", "alphabet").orderBy(rank, "path"))
+    return files.withColumn("rank", rank).where("rank is not null").withColumn("k", k).where("k = 1").drop("k", "rank")
+
+
+def tree_provenance(clusters: DataFrame, own: DataFrame, whole: DataFrame) -> DataFrame:
+    """Which tree shows a cluster (run, cluster): its own, the whole set's pruned to it, or none; and why."""
+    c = clusters.join(own.select("run", "cluster", F.lit(True).alias("own")), ["run", "cluster"], "left").join(whole.select("run", F.lit(True).alias("whole")).distinct(), "run", "left")
+    return c.select("run", "cluster", F.when(F.col("own"), "own tree").when(F.col("whole"), "pruned whole-set tree").otherwise("none").alias("tree"), F.when(F.col("own"), "a tree was made for this cluster").when(F.col("whole"), "no tree of its own: the whole set's, cut to its taxa").otherwise("no tree in this run").alias("reason"))

@@ -104,6 +104,17 @@ def d15_common_prune(spark, d):
     return op.tip_count(a).join(op.tip_count(b).withColumnRenamed("tips", "tips_b"), "tree_id")
 
 
+def d16_midpoint_root(spark, d):
+    n = op.midpoint_root(_a(spark, d))
+    return n.groupBy("tree_id").agg(F.count_if("is_leaf").alias("tips"), F.count_if(F.col("parent_id").isNull()).alias("roots"))
+
+
+def d17_outgroup_root(spark, d):
+    first = _leaves(spark, d).groupBy("tree_id").agg(F.min("name").alias("name"))
+    n = op.outgroup_root(_a(spark, d), first)
+    return n.where("depth = 1 and is_leaf").select("tree_id", "name", F.round("length", 6).alias("length"))
+
+
 def d18_clade_info(spark, d):
     return op.clade_info(_b(spark, d), _values(spark, d)).select("tree_id", "node_id", "size", "dominant", "homogeneity")
 
@@ -188,6 +199,8 @@ SELECT tree_id, CASE WHEN support IS NOT NULL THEN 'single' END AS kind, CASE WH
     "d13_order_branches": f"""WITH {_L}, m AS (SELECT *, count(*) OVER s AS n1, count(*) OVER t AS n2, min(rank) OVER s AS w1, min(rank) OVER t AS w2, min(name) OVER s AS f1, min(name) OVER t AS f2 FROM ra WINDOW s AS (PARTITION BY tree_id, seg), t AS (PARTITION BY tree_id, seg, band))
 SELECT tree_id, name, rank, 'file' AS how FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY n1, w1, n2, w2, rank), 'ladder-asc' FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY -n1, w1, -n2, w2, rank), 'ladder-desc' FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY f1, f2, name), 'alpha' FROM m""",
     "d15_common_prune": f"WITH {_L} SELECT tree_id, count(*) AS tips, count(*) AS tips_b FROM leaves WHERE length < 0.75 GROUP BY 1",
+    "d16_midpoint_root": "SELECT c_nationkey AS tree_id, count(*) AS tips, CAST(1 AS BIGINT) AS roots FROM customer GROUP BY 1",
+    "d17_outgroup_root": f"WITH {_L} SELECT tree_id, name, round(length / 2, 6) AS length FROM leaves QUALIFY row_number() OVER (PARTITION BY tree_id ORDER BY name) = 1",
     "d18_clade_info": f"{_W}, {_INFO} SELECT tree_id, node_id, CAST(size AS INT) AS size, dominant, homogeneity FROM info",
     "d19_collapse_by_category": f"{_W}, {_INFO}, ok AS (SELECT * FROM info WHERE homogeneity >= 75 AND size >= 2) SELECT tree_id, node_id, size, dominant FROM ok o WHERE NOT EXISTS (SELECT 1 FROM ok u WHERE u.tree_id = o.tree_id AND u.lo <= o.lo AND u.hi >= o.hi AND u.depth < o.depth)",
     "d20_collapse_depth": f"{_W} SELECT tree_id, node_id FROM a WHERE depth = 2",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.operators import alignment, partitions, trees
 from taxaloom.operators.rounds import greedy_representatives
+from taxaloom.session import cut
 from taxaloom.sources import readers
 
 
@@ -93,3 +94,13 @@ def test_metadata_json_shapes(spark, tmp_path):
         assert [(r["id"], r["fields"]["x"]) for r in readers.read_metadata_json(spark, f"file://{tmp_path}/{i}.json").collect()] == [("a", "1")]
     (tmp_path / "s.json").write_text('{"a": "v"}')
     assert readers.read_metadata_json(spark, f"file://{tmp_path}/s.json").select(F.col("fields")["value"]).first()[0] == "v"
+
+
+def test_rerooting_keeps_path_lengths(spark):
+    n = cut(trees.parse_newick(spark.createDataFrame(NEWICK[:1], "tree_id int, newick string")))
+    before = {(r["a"], r["b"]): round(r["d"], 6) for r in trees.patristic(n).collect()}
+    out = cut(trees.outgroup_root(n, spark.createDataFrame([(1, "d")], "tree_id int, name string")))
+    assert {(r["a"], r["b"]): round(r["d"], 6) for r in trees.patristic(out).collect()} == before
+    mid = cut(trees.node_depths(trees.midpoint_root(n)))
+    deepest = [round(r["dist"], 6) for r in mid.where("is_leaf").orderBy(F.desc("dist")).limit(2).collect()]
+    assert deepest == [max(before.values()) / 2] * 2
