@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.llm.graph import components
 from taxaloom.session import cut
@@ -216,14 +216,15 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     met = cut(keyed.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key"))
     keyed.unpersist()
 
-    def possible(pairs: DataFrame, x: str, y: str) -> DataFrame:
-        """Pairs that can reach the limit, from m shared single keys and the places of the last shared ones."""
-        most = F.col("m") + F.least(F.col(f"{x}n") - F.col(f"{x}at") - 1, F.col(f"{y}n") - F.col(f"{y}at") - 1)
+    def possible(pairs: DataFrame, x: str, y: str, unseen: Column) -> DataFrame:
+        """Pairs that can reach the limit, from m shared single keys, the places of the last shared ones and the number of
+        shared tokens before these that m may lack."""
+        most = F.col("m") + unseen + F.least(F.col(f"{x}n") - F.col(f"{x}at") - 1, F.col(f"{y}n") - F.col(f"{y}at") - 1)
         return pairs.where((most * (100 + percent) >= (F.col(f"{x}n") + F.col(f"{y}n")) * percent) & (F.col("m") >= F.least(f"{x}need", f"{y}need")))
 
     unique = met.where("sig <> hub").dropDuplicates(["key", "sig"])
     shared = unique.groupBy("sig", "hub").agg(F.count("*").alias("keys"), F.sum(F.col("single").cast("int")).alias("m"), *[F.max(c).alias(c) for c in ("n", "at", "need", "hub_n", "hub_at", "hub_need")]).where(F.col("keys") >= HUB_KEYS)
-    first = possible(shared, "", "hub_").groupBy("sig").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("sig").alias("b"))
+    first = possible(shared, "", "hub_", F.lit(0)).groupBy("sig").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub")).select(F.col("hub").alias("a"), F.col("sig").alias("b"))
     links = cut(_verified(rows, reps, first, words, t))
     part = components(links)
 
@@ -232,8 +233,11 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int
     left = cut(named.join(mixed, "key"))
     x, y = (left.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "at", "index", "single", "need", "component")]) for s in "xy")
     fits = (F.col("component_x") != F.col("component_y")) & F.col("index_x") & (F.struct("n_x", "sig_x") < F.struct("n_y", "sig_y")) & (F.col("n_x") * 100 >= F.col("n_y") * percent)
-    met_again = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.count("*").alias("keys"), F.sum(F.col("single_x").cast("int")).alias("m"), *[F.max(f"{c}_{s}").alias(f"{s}_{c}") for c in ("n", "at", "need") for s in "xy"])
-    pairs = cut(possible(met_again, "x_", "y_").select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"), "keys"))
+    # m counts x's single keys of the index prefix alone; a combination's place is that of the last rare token, which may lie behind
+    prefix = F.col("n_x") - F.expr(f"({2 * percent} * n_x + {100 + percent - 1}) div {100 + percent}") + 1 + F.expr(f"n_x div {EXTENSION}")
+    beyond = F.when(F.col("single_x"), 0).otherwise(F.greatest(F.lit(0), F.col("at_x") + 1 - prefix))
+    met_again = x.join(y, "key").where(fits).groupBy("sig_x", "sig_y").agg(F.count("*").alias("keys"), F.max(beyond).alias("unseen"), F.sum(F.col("single_x").cast("int")).alias("m"), *[F.max(f"{c}_{s}").alias(f"{s}_{c}") for c in ("n", "at", "need") for s in "xy"])
+    pairs = cut(possible(met_again, "x_", "y_", F.col("unseen")).select(F.col("sig_x").alias("a"), F.col("sig_y").alias("b"), "keys"))
     while True:
         count, sets = pairs.agg(F.count("*"), F.count_distinct("b")).first()
         if count <= PARTNERS * sets:  # few for each: all at once

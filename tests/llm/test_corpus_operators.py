@@ -69,6 +69,33 @@ def test_join_equals_brute_force(spark, monkeypatch, seed, words, percent, frequ
     assert found == brute_components(rows, words, percent)
 
 
+def templated(seed, percent):
+    """Texts of 15 to 59 distinct words, most of them a template's: of six, two are linked by rare words that stand behind the
+    index prefix, and the others hold one of these words each."""
+    rng, rows = random.Random(seed), []
+    for size in (15, 21, 28, 35, 43, 51, 59):
+        index = size - math.ceil(2 * percent * size / (100 + percent))
+        rare = min(index + ngram_join.CLASSES - 1, size - math.ceil(percent * size / 100))
+        template = [f"t{size}x{i}" for i in range(size - rare)]
+        both = math.ceil(2 * percent * size / (100 + percent)) - len(template)
+        for group in range(8):
+            shared = [f"s{size}x{group}x{i}" for i in range(both)]
+            for member in range(6):
+                own = [f"o{size}x{group}x{member}x{i}" for i in range(rare)]
+                some = shared if member < 2 else [shared[(member - 2) % both]]
+                rows.append(" ".join(template + some + own[len(some) :]))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_join_of_templated_texts(spark, monkeypatch, percent):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 12)
+    rows = templated(1, percent)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(documents(spark, rows), words=1, percent=percent).collect()}
+    assert found == brute_components(rows, 1, percent)
+
+
 def test_join_shuffled_pairs_and_nulls(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_PAIRS", 0)
     rows = corpus(4, 60)
