@@ -3,7 +3,7 @@
 A text becomes a hashed bag of letter 1-, 2- and 3-grams (lower case, everything but letters is one blank), weighted by
 square-root term frequency times inverse document frequency and scaled to length 1. Each language owns several centroids,
 found by spherical k-means; a text takes the language of the centroid with the highest cosine, and is rejected when it lies
-farther from that centroid than the centroid's radius.
+farther from that centroid than the radius that the centroid has for texts of its length.
 """
 
 from __future__ import annotations
@@ -21,8 +21,11 @@ from taxaloom.session import cut
 SAMPLE_PER_LANGUAGE = 400
 CLUSTERS = 4
 DIM = 8192
-#: A centroid's radius leaves out texts whose cosine is under this share of its training texts' 5 % quantile.
-REJECT_SHARE = 0.15
+#: A text is left out if its cosine is under REJECT_SHARE of the 5 % quantile that beginnings, as long as it, of texts of that
+#: language have; one text in HELD_FOR_RADIUS of the sample is kept from the centroids for this. Short texts have few n-grams
+#: and so low cosines: the quantiles are taken of beginnings of each of these numbers of characters, the last of whole texts.
+REJECT_SHARE, HELD_FOR_RADIUS = 0.65, 4
+LENGTHS = (8, 16, 32, 64, 128, 256)
 #: Long texts are read in pieces of this many characters, so that memory stays bounded; the whole text counts.
 PIECE = 1 << 20
 
@@ -32,7 +35,7 @@ class LanguageModel:
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # (centroids, DIM), rows of length 1
     idf: np.ndarray
-    radius: np.ndarray  # greatest accepted 1 - cosine, of each centroid
+    radius: np.ndarray  # (centroids, LENGTHS), greatest accepted 1 - cosine of each centroid
 
 
 @lru_cache(1)
@@ -62,6 +65,11 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     return total if found else None
 
 
+def _length(text: str) -> int:
+    """The place in LENGTHS of the last that a text reaches; the first for shorter ones."""
+    return max(0, int(np.searchsorted(LENGTHS, len(text), "right")) - 1)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
@@ -91,7 +99,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(*[F.col(f"`{c}`") for c, kind in labelled.dtypes if not kind.startswith("map")]).alias("h")).where("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return LanguageModel([], np.zeros((0, DIM)), np.ones(DIM), np.zeros(0))
+        return LanguageModel([], np.zeros((0, DIM)), np.ones(DIM), np.zeros((0, len(LENGTHS))))
     scale = 1 << 30
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, per_language / n) * scale))])
     sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")])
@@ -102,7 +110,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
 
     # what the share left over is bounded, so that ranking it by language is a small job
     ranked = sample.selectExpr("*", "row_number() over (partition by lang order by h, text) as place").where(F.col("place") <= 2 * per_language)
-    vectors = cut(ranked.repartition(F.col("lang"), F.col("h")).select("lang", "h", counted("text").alias("v")).where("v is not null"))
+    kept = ranked.where(F.col("place") % HELD_FOR_RADIUS != 0)
+    vectors = cut(kept.repartition(F.col("lang"), F.col("h")).select("lang", "h", counted("text").alias("v")).where("v is not null"))
     seen = vectors.select(F.posexplode("v").alias("i", "c")).where("c > 0").groupBy("i").agg(F.count("*").alias("df")).collect()
     n, idf = vectors.count(), np.ones(DIM)
     idf[:] = np.log1p(n)
@@ -112,15 +121,35 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
     def cluster(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         x = _unit(np.sqrt(np.stack(group.sort_values("h", kind="stable")["v"].to_list()).astype(float)) * idf)
         centres = _spherical_kmeans(x, clusters)
-        near = x @ centres.T
-        own = np.argmax(near, axis=1)
-        low = [np.quantile(near[own == j, j], 0.05) if (own == j).any() else 1.0 for j in range(len(centres))]
-        return pd.DataFrame({"lang": key[0], "c": list(centres.astype(np.float32)), "low": low})
+        return pd.DataFrame({"lang": key[0], "c": list(centres.astype(np.float32))})
 
-    found = sorted(vectors.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>, low double").collect(), key=lambda r: (r["lang"], list(r["c"][:8])))
+    found = sorted(vectors.groupBy("lang").applyInPandas(cluster, "lang string, c array<float>").collect(), key=lambda r: (r["lang"], list(r["c"][:8])))
     if not found:
-        return LanguageModel([], np.zeros((0, DIM)), idf, np.zeros(0))
-    return LanguageModel([r["lang"] for r in found], np.array([r["c"] for r in found], dtype=np.float32), idf, np.array([1 - REJECT_SHARE * r["low"] for r in found]))
+        return LanguageModel([], np.zeros((0, DIM)), idf, np.zeros((0, len(LENGTHS))))
+    languages, centroids = [r["lang"] for r in found], np.array([r["c"] for r in found], dtype=np.float32)
+
+    def cosines(batches):
+        for batch in batches:
+            rows = []
+            for name, t in zip(batch["lang"], batch["text"], strict=True):
+                own = centroids[[x == name for x in languages]]
+                for i in range(_length(t) + 1):
+                    if len(own) and (c := ngram_counts(t if i + 1 == len(LENGTHS) else t[: LENGTHS[i]])) is not None:
+                        rows.append((name, i, float((own @ _unit((np.sqrt(c) * idf)[None])[0]).max())))
+            yield pd.DataFrame(rows, columns=["lang", "i", "cos"])
+
+    # of the texts held back; where a language has too few for any, those in the centroids
+    alone = ranked.where(F.col("place") % HELD_FOR_RADIUS == 0).select("lang", "text")
+    low: dict[str, dict[int, float]] = {}
+    for texts in (alone, ranked.select("lang", "text")):
+        for r in texts.mapInPandas(cosines, "lang string, i int, cos double").groupBy("lang", "i").agg(F.percentile("cos", 0.05).alias("low")).collect():
+            low.setdefault(r["lang"], {}).setdefault(r["i"], r["low"])
+        if set(languages) <= low.keys():
+            break
+    # a length without texts is judged like the longest one below it that has some, or else the shortest above
+    near = lambda of, i: of[max([j for j in of if j <= i], default=min(of))]
+    radius = np.array([[1 - REJECT_SHARE * near(low[name], i) for i in range(len(LENGTHS))] for name in languages])
+    return LanguageModel(languages, centroids, idf, radius)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -144,7 +173,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                 cos = x @ centroids.T
                 for i, j, s in zip(known, cos.argmax(1), cos.max(1), strict=True):
                     s = float(min(1.0, max(0.0, s)))
-                    best[i] = (languages[j], s, bool(1 - s <= radius[j]))
+                    best[i] = (languages[j], s, bool(1 - s <= radius[j, _length(texts.iloc[at + i])]))
             out += best
         return pd.DataFrame(out, columns=["lang_pred", "score", "accepted"])
 

@@ -52,6 +52,19 @@ def test_language_rejects_foreign_text(spark, mixed):
     assert [r["accepted"] for r in language_id.predict(odd, model).orderBy("doc_id").collect()] == [False, True]
 
 
+def test_language_rejects_latin_script_and_junk(spark):
+    rng = random.Random(5)
+    parts = {"en": "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve the and ing ion ly", "de": "en er ch de ei ie in te ge un nd ic es be he st sch ung keit lich der und ein \u00e4 \u00fc \u00f6 \u00df"}
+    word = lambda k: "".join(rng.choices(parts[k].split(), k=rng.randint(1, 4)))
+    text = lambda k, n: " ".join(word(k) for _ in range(n))
+    model = language_id.fit(documents(spark, [(i, text(k, rng.randint(3, 150)), k, None) for i, k in enumerate(["en", "de"] * 150)]))
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    odd = ["Kaikki ihmiset syntyv\u00e4t vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "Wszyscy ludzie rodz\u0105 si\u0119 wolni i r\u00f3wni pod wzgl\u0119dem swej godno\u015bci i swych praw.", *[letters(200) for _ in range(5)], *[" ".join(letters(rng.randint(2, 9)) for _ in range(60)) for _ in range(5)]]
+    clean = [text(k, n) for k in ("en", "de") for n in (3, 5, 10, 40, 150) for _ in range(8)]
+    found = [r["accepted"] for r in language_id.predict(documents(spark, [(i, t, None, None) for i, t in enumerate(odd + clean)]), model).orderBy("doc_id").collect()]
+    assert not any(found[: len(odd)]) and sum(found[len(odd) :]) >= 0.95 * len(clean)
+
+
 @pytest.fixture(scope="session")
 def bpe():
     path = P.path("byte_bpe_multi_50k.tiktoken")
