@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -25,14 +26,15 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # A filler is an identifier if it has a digit or an @ and at least this many characters.
-FILLER = re.compile(r"[A-Za-z0-9._%+()@-]+(?: [0-9()][0-9().-]*)*")
+# After its first word it takes any number of digit groups, whole ones only.
+FILLER = re.compile(r"[A-Za-z0-9._%+()@-]++(?: [0-9()][0-9().-]*+(?![A-Za-z0-9_%+@]))*+")
+FILLER_START = re.compile(r"[A-Za-z0-9._%+()@-]")
 LEAST_FILLER = 5
 
-#: A pattern needs seeds of this share of all seed matches, in two distinct values and three places at least. So there are
-#: never more patterns than PATTERNS_A_SEED / MIN_SHARE, and their list may be sent to every task.
-MIN_SHARE = 1 / 20_000
-PATTERNS_A_SEED = 2
+#: A pattern needs seeds in two distinct values and this many places, however large the corpus. Patterns are looked up in
+#: blocks of about PATTERN_BLOCK, so that what is sent to every task while they are learned is bounded.
 MIN_SUPPORT = 3
+PATTERN_BLOCK = 200_000
 ROUNDS = 3
 #: Confidence from which a pattern extracts.
 CONFIDENT = 0.8
@@ -105,14 +107,18 @@ def _slots(text: str, patterns: dict[str, list[str]]):
     """(pattern, start, filler or None) wherever a pattern's words stand before another word."""
     words = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)] if len(text) < 1 << 16 else re.finditer(r"\S+", text)
     last, last2 = None, None
+    run = (0, 0)  # the last filler: a digit group within it ends where it ends, and isn't read to the end again
     for w in words:
         s, e = w if isinstance(w, tuple) else w.span()
         if last is not None:
             for p in (last, last2):
                 if p is not None and p in patterns:
-                    m = FILLER.search(text, s, min(len(text), e + 20))
-                    good = m and m.start() < e and len(m[0]) >= LEAST_FILLER and any(c == "@" or "0" <= c <= "9" for c in m[0])
-                    yield p, (m.start(), m.end()) if good else None
+                    if not run[0] <= s < run[1]:
+                        first = FILLER_START.search(text, s, e)
+                        run = FILLER.match(text, first.start()).span() if first else (s, s)
+                    a, b = max(s, run[0]), run[1]
+                    good = b - a >= LEAST_FILLER and any(text[i] == "@" or "0" <= text[i] <= "9" for i in range(a, b))
+                    yield p, (a, b) if good else None
         word = text[s:e].lower()
         last2 = None if last is None else f"{last} {word}"
         last = word
@@ -122,15 +128,13 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
     """Patterns with high confidence and the kind each extracts; empty where the seeds share no words."""
     spark = docs.sparkSession
     edges = cut(seeds(docs, text))
-    total = edges.agg(F.sum("n")).first()[0] or 0
-    need = max(MIN_SUPPORT, total * MIN_SHARE / PATTERNS_A_SEED)
-    frequent = cut(edges.groupBy("kind", "pattern").agg(F.sum("n").alias("support"), F.countDistinct("value").alias("values")).where((F.col("support") >= need) & (F.col("values") >= 2)))
-    rows = frequent.select("pattern").distinct().collect()  # at most PATTERNS_A_SEED / MIN_SHARE of them
-    if not rows:
+    frequent = cut(edges.groupBy("kind", "pattern").agg(F.sum("n").alias("support"), F.countDistinct("value").alias("values")).where((F.col("support") >= MIN_SUPPORT) & (F.col("values") >= 2)))
+    names = cut(frequent.select("pattern").distinct())
+    blocks = -(-names.count() // PATTERN_BLOCK)
+    if not blocks:
         return {}
-    wanted = spark.sparkContext.broadcast({r["pattern"]: [] for r in rows})
 
-    def filled(batches):
+    def filled(wanted, batches):
         for batch in batches:
             tally: Counter = Counter()
             for t in batch["text"]:
@@ -138,7 +142,13 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
                     tally[p, None if at is None else _value(t[at[0] : at[1]])] += 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["pattern", "value", "n"])
 
-    slots = cut(docs.select(F.col(text).alias("text")).mapInPandas(filled, "pattern string, value string, n long").groupBy("pattern", "value").agg(F.sum("n").alias("n")))
+    slots = None
+    for i in range(blocks):
+        rows = names.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == i).collect()
+        wanted = spark.sparkContext.broadcast({r["pattern"]: [] for r in rows})
+        some = cut(docs.select(F.col(text).alias("text")).mapInPandas(partial(filled, wanted), "pattern string, value string, n long").groupBy("pattern", "value").agg(F.sum("n").alias("n")))
+        wanted.unpersist()
+        slots = some if slots is None else slots.unionByName(some)
     uses = slots.groupBy("pattern").agg(F.sum("n").alias("uses"))
     known = edges.select("kind", "value").distinct().withColumn("seed", F.lit(1.0))
     graph = cut(frequent.select("kind", "pattern").join(slots.where("value is not null"), "pattern").join(uses, "pattern"))

@@ -141,6 +141,22 @@ def test_pii_learns_a_pattern_and_finds_unseen_identifiers(spark):
     assert pii.masked(docs).columns == docs.columns and pii.masked(docs.where("false")).count() == 0
 
 
+def test_pii_fillers_run_over_whole_groups():
+    at = lambda t: [a and t[a[0] : a[1]] for _, a in pii._slots(t, {"iban:": [], "3704": []})]
+    assert at("my iban: DE89 3704 0044 0532 0130 00 is new") == ["DE89 3704 0044 0532 0130 00", "0044 0532 0130 00"]
+    assert at("my iban: 12345 6789 1234 5678 9012 34ab") == ["12345 6789 1234 5678 9012"]
+    assert at("my iban: nothing here 1") == [None] and at("iban: (a@b.c)") == ["(a@b.c)"] and at("iban: 1 2 3") == ["1 2 3"]
+    assert pii.all_spans("iban: " + "1 " * 100_000, {"iban:": "card", "1": "card"})[0][1:] == (6, 200_005)
+
+
+def test_pii_support_does_not_grow_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PATTERN_BLOCK", 5)
+    cards = ["4785380592391139", "4539578763621486", "4916338506082832", "4532015112830366"]
+    rows = [(i, f"words my card number: {cards[i % 4]} and more", None, None) for i in range(4)]
+    rows.append((9, " ".join(f"addr 10.{i % 200}.{i // 200}.1" for i in range(200_000)), None, None))
+    assert pii.learn(documents(spark, rows)).get("number:") == "card"
+
+
 def test_chat_round_trip_and_masks(spark):
     random.seed(4)
     parts = ["</s>", "[INST]", "[/INST]", "<|turn|>", "<|end|>\n", "\\", "word ", "é\n", "<s>", "<<SYS>>", "<", "|"]
