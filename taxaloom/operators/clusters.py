@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from taxaloom.operators import partitions
 from taxaloom.operators.partitions import unit
 from taxaloom.operators.rounds import greedy_representatives
+from taxaloom.session import cut
 
-#: A group's members up to which linkage and neighbour joining run, each group in one task.
+#: A group's members up to which its linkage runs in one task; larger groups run in rounds over all tasks, with the same result.
 GROUP_LIMIT = 2_000
 
 
@@ -112,9 +113,53 @@ def _merge(x: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
     return out
 
 
+def _linkage_rounds(points: DataFrame, method: str, metric: str) -> DataFrame:
+    """As linkage(), from a table of all pairs: in each round clusters that are nearest to each other merge. A cluster has the
+    number of its least leaf until the end; pairs are ordered by distance, then numbers, so that each round has a merge."""
+    leaf = F.row_number().over(Window.partitionBy("dataset").orderBy("taxon_id")) - 1
+    p = cut(points.select("dataset", leaf.cast("long").alias("i"), (unit(F.col("vec")) if metric == "cosine" else F.col("vec")).alias("v")))
+    dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y if metric == "cosine" else (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    d = 1 - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)) if metric == "cosine" else F.sqrt(dot)
+    x, y = (p.select("dataset", F.col("i").alias(c), F.lit(1).cast("long").alias(f"s{c}"), F.col("v").alias(f"v{c}")) for c in "ab")
+    pairs = cut(x.join(y, "dataset").where("a <> b").select("dataset", "a", "b", "sa", "sb", d.alias("d")))
+
+    def side(pairs: DataFrame, merges: DataFrame, c: str, o: str) -> DataFrame:
+        """pairs with the clusters of column c merged, those of column o as they are."""
+        both = merges.select("dataset", F.explode(F.array("a", "b")).alias(c), F.col("a").alias("to"), F.col("size").alias("whole"), F.col("height").alias("h"))
+        m, s, k = pairs.join(both, ["dataset", c], "left"), F.col(f"s{c}"), F.col(f"s{o}")
+        if method == "single":
+            new = F.min("d")
+        elif method == "complete":
+            new = F.max("d")
+        elif method == "ward":
+            pulled = (F.sum((s + k) * F.col("d") ** 2) - F.max(k) * F.max("h") ** 2) / (F.max("whole") + F.max(k))
+            new = F.when(F.max("h").isNull(), F.max("d")).otherwise(F.sqrt(pulled))
+        else:
+            new = F.when(F.max("h").isNull(), F.max("d")).otherwise(F.sum(s * F.col("d")) / F.max("whole"))
+        key = F.coalesce("to", c).alias(c)
+        return m.groupBy("dataset", key, o).agg(F.max(F.coalesce("whole", s)).alias(f"s{c}"), F.max(k).alias(f"s{o}"), new.alias("d"))
+
+    raw, turn = None, 0
+    while not pairs.isEmpty():
+        order = F.struct("d", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), (F.col("sa") + F.col("sb")).alias("size"))
+        near = pairs.groupBy("dataset", "a").agg(F.min(order).alias("e"))
+        mutual = near.groupBy("dataset", "e.lo", "e.hi").agg(F.count("*").alias("c"), F.max("e.d").alias("height"), F.max("e.size").alias("size")).where("c = 2")
+        merges = cut(mutual.select("dataset", F.col("lo").alias("a"), F.col("hi").alias("b"), "height", "size", F.lit(turn).alias("turn")))
+        raw, turn = merges if raw is None else raw.unionByName(merges), turn + 1
+        half = cut(side(side(pairs, merges, "a", "b"), merges, "b", "a").where("a < b").select("dataset", "a", "b", "sa", "sb", "d"))
+        pairs = half.unionByName(half.select("dataset", F.col("b").alias("a"), F.col("a").alias("b"), F.col("sb").alias("sa"), F.col("sa").alias("sb"), "d"))  # the same to the last bit
+    n = p.groupBy("dataset").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("dataset").orderBy("height", "turn", "a")) - 1
+    named = cut(raw.withColumn("place", place).join(n, "dataset").withColumn("step", F.col("n") + F.col("place")))
+    kept = named.select("dataset", F.col("a").alias("b"), "turn", "step").groupBy("dataset", "b").agg(F.max_by("step", "turn").alias("of_b"))
+    of_a = F.lag("step").over(Window.partitionBy("dataset", "a").orderBy("turn"))
+    both = named.withColumn("of_a", of_a).join(kept, ["dataset", "b"], "left").select("dataset", "step", F.coalesce("of_a", "a").alias("x"), F.coalesce("of_b", "b").alias("y"), "height", "size")
+    return both.select("dataset", "step", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "height", "size")
+
+
 def linkage(points: DataFrame, method: str = "average", metric: str = "cosine") -> DataFrame:
     """dataset, step, a, b, height, size of each group of (dataset, taxon_id, vec), leaves numbered by taxon_id. Groups run side by
-    side, one in a task; a group over GROUP_LIMIT gives no rows and is to be cut down first (cluster_from_pairs)."""
+    side, one in a task, and those over GROUP_LIMIT in rounds."""
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("taxon_id")
@@ -127,8 +172,11 @@ def linkage(points: DataFrame, method: str = "average", metric: str = "cosine")
         rows = _merge(d, method)
         return pd.DataFrame([(g["dataset"].iloc[0], len(g) + i, *r) for i, r in enumerate(rows)], columns=["dataset", "step", "a", "b", "height", "size"])
 
-    small = points.withColumn("n", F.count("*").over(Window.partitionBy("dataset"))).where(F.col("n") <= GROUP_LIMIT).drop("n")
-    return small.groupBy("dataset").applyInPandas(merged, "dataset string, step long, a long, b long, height double, size long")
+    size = points.groupBy("dataset").agg(F.count("*").alias("n"))
+    large = [r["dataset"] for r in size.where(F.col("n") > GROUP_LIMIT).collect()]
+    is_large = F.col("dataset").isin(large) if large else F.lit(False)
+    done = points.where(F.coalesce(~is_large, F.lit(True))).groupBy("dataset").applyInPandas(merged, "dataset string, step long, a long, b long, height double, size long")
+    return done.unionByName(_linkage_rounds(points.where(is_large), method, metric)) if large else done
 
 
 def cut_tree(merges: DataFrame, k: int) -> DataFrame:

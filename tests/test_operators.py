@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from taxaloom.operators import alignment, partitions, trees
@@ -104,3 +105,15 @@ def test_rerooting_keeps_path_lengths(spark):
     mid = cut(trees.node_depths(trees.midpoint_root(n)))
     deepest = [round(r["dist"], 6) for r in mid.where("is_leaf").orderBy(F.desc("dist")).limit(2).collect()]
     assert deepest == [max(before.values()) / 2] * 2
+
+
+@pytest.mark.parametrize("method", ["average", "ward"])
+def test_linkage_of_groups_over_the_limit(spark, monkeypatch, method):
+    from taxaloom.operators import clusters
+
+    rng = random.Random(3)
+    points = spark.createDataFrame([(g, f"t{i:02}", [rng.gauss(0, 1) for _ in range(3)]) for g, n in (("x", 9), ("y", 4)) for i in range(n)], "dataset string, taxon_id string, vec array<double>").cache()
+    listed = lambda: sorted((r["dataset"], r["step"], r["a"], r["b"], round(r["height"], 9), r["size"]) for r in clusters.linkage(points, method).collect())
+    want = listed()
+    monkeypatch.setattr(clusters, "GROUP_LIMIT", 5)
+    assert len(want) == 11 and listed() == want
