@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from taxaloom.llm import fingerprint, ngram_join, search, sharding, token_counts
 from taxaloom.llm.graph import components
@@ -36,7 +37,8 @@ def corpus(seed, n=150):
         b[random.randrange(100)] = word()
         rows.append(" ".join(b) if random.random() < 0.7 else " ".join(passage + [word() for _ in range(random.randint(5, 60))]))
     random.shuffle(rows)
-    return list(enumerate(rows)) + [(900, None), (901, ""), (902, " \n"), (903, "One two"), (904, "one TWO"), (0, rows[0])]
+    odd = [None, "", " \n", "One two", "one TWO", "a a a a", "a a a a a", "A a a a a a", "b b b", "b b b b", "x y x y x y", "y x y x y"]
+    return [*enumerate(rows), *enumerate(odd, 900), (0, rows[0])]
 
 
 def brute_components(rows, n, percent):
@@ -109,6 +111,14 @@ def test_join_shuffled_pairs_and_nulls(spark, monkeypatch):
     assert ngram_join.join(docs.where("false")).count() == 0
 
 
+def test_join_of_long_and_repeated_texts(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(5000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:30_000], "odd", *long[30_001:]])), (3, "a a a a"), (4, "a a a a a"), (4, "other words in this row"), (4, "a a a a a"), (5, "other words in this row")]
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(documents(spark, rows).withColumn("n", F.lit(1)).withColumn("sig", F.lit("x"))).collect())
+    assert [(i, c) for i, _, c in found] == [(1, 1), (2, 1), (3, 3), (4, 3), (4, 3), (4, 4), (5, 4)]
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(chain).collect()}
