@@ -1,9 +1,12 @@
-"""Byte-level BPE by corpus-level merge replay, and decoding.
+"""Byte-level BPE by merge replay with an inverted index, and decoding.
 
-Texts are cut by the tokenizer's pattern; each block of texts is reduced to its distinct words. An inverted index leads from
-a token pair (by the rank of its union) to the word positions where the pair stands. Ranks are taken in order from a heap,
-each applied at all its positions at once, and only the two touched neighbours of a position enter the index again. Words
-already replayed stay in a bounded cache of the worker, so that a block replays what it adds to the corpus.
+Texts are cut by the tokenizer's pattern; each part of the corpus that a task reads is reduced to its distinct words. An inverted
+index leads from a token pair (by the rank of its union) to the word positions where the pair stands. Merges are applied in rank
+order, each word taking its lowest rank at all its positions at once, and only the two touched neighbours of a position are
+looked up again. Words already replayed stay in a bounded cache of the worker, so that a part replays what it adds.
+
+The words of a part, not of the whole corpus, share an index: merges in one word don't depend on other words, so that ids are the
+same, and neither texts nor words are shuffled.
 """
 
 from __future__ import annotations
@@ -22,16 +25,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Words that a worker remembers; beyond that it forgets all and goes on.
 CACHE_WORDS = 300_000
 #: Characters of text whose new words are replayed together.
-PART_CHARS = 16 << 20
+PART_CHARS = 8 << 20
 #: Positions that are looked up together.
 CHUNK = 1 << 18
 #: Bytes of new words that are replayed together.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 2 << 20
+#: Ranks that share an entry of the index; each word still takes its merges one rank after the other.
+RANGE = 1024
+SLOT_BITS = 20
 
 
 def load_ranks(spark, path: str) -> bytes:
-    """The vocabulary file as text, read through Spark, so that any store it knows will do; a few hundred kB."""
-    return spark.read.format("binaryFile").load(path if ":" in path else f"file://{path}").select("content").first()["content"]
+    """The vocabulary file, a few hundred kB. A path with a scheme is read through Spark, from any store it knows; a plain path is
+    a file of the driver's machine, read there and sent along with the tasks."""
+    if ":" not in path:
+        with open(path, "rb") as f:
+            return f.read()
+    return spark.read.format("binaryFile").load(path).select("content").first()["content"]
 
 
 class Vocabulary:
@@ -40,16 +50,21 @@ class Vocabulary:
     def __init__(self, content: bytes):
         self.rank = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
         top = max(self.rank.values()) + 1
-        self.length = np.zeros(top, np.int64)
         pairs = array("q")
         for t, r in self.rank.items():
-            self.length[r] = len(t)
             for i in range(1, len(t)):
                 if (a := self.rank.get(t[:i])) is not None and (b := self.rank.get(t[i:])) is not None:
                     pairs.extend((a << 32 | b, r))
         table = np.frombuffer(pairs, np.int64).reshape(-1, 2)
         table = table[np.argsort(table[:, 0], kind="stable")]
-        self.pair, self.union = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
+        # a hash table of pairs; those whose slot another one has are looked up in a sorted list
+        self.slot, self.union = np.full(1 << SLOT_BITS, -1, np.int64), np.full(1 << SLOT_BITS, -1, np.int32)
+        _, first = np.unique(self._slot_of(table[:, 0]), return_index=True)
+        self.slot[self._slot_of(table[first, 0])], self.union[self._slot_of(table[first, 0])] = table[first].T
+        more = np.delete(table, first, axis=0)
+        self.shared = np.zeros(1 << SLOT_BITS, bool)
+        self.shared[self._slot_of(more[:, 0])] = True
+        self.more, self.more_union = np.append(more[:, 0], np.iinfo(np.int64).max), np.append(more[:, 1], -1)
         # of the pairs that a token is part of, the least rank: is it lower than the token's, its merges go one by one
         self.least = np.full(top, np.iinfo(np.int64).max)
         np.minimum.at(self.least, table[:, 0] >> 32, table[:, 1])
@@ -61,10 +76,21 @@ class Vocabulary:
         self.ids: dict[str, int] = _Numbered()
         self.packed: list[bytes] = []
 
+    @staticmethod
+    def _slot_of(pairs: np.ndarray) -> np.ndarray:
+        return (pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+
     def unions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = np.asarray(a, np.int64) << 32 | b
-        at = np.searchsorted(self.pair, key)
-        return np.where(self.pair[at] == key, self.union[at], -1)
+        """The rank of the union of each two tokens, -1 where there is none."""
+        pair = np.asarray(a, np.int64) << 32 | b
+        slot = self._slot_of(pair)
+        same = self.slot[slot] == pair
+        out = np.where(same, self.union[slot], -1)
+        again = np.flatnonzero(self.shared[slot] & ~same)
+        if len(again):
+            at = np.searchsorted(self.more, pair[again])
+            out[again] = np.where(self.more[at] == pair[again], self.more_union[at], -1)
+        return out
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """The packed ids of each word, all words at once; words are not empty."""
@@ -79,56 +105,65 @@ class Vocabulary:
         nxt[starts[1:] - 1] = prv[starts[:-1]] = -1
         word = np.repeat(np.arange(len(todo), dtype=np.int32), np.diff(starts))
 
-        # the inverted index: rank of a pair's union -> positions of the pairs
-        rank = np.full(n, -1, np.int32)
-        for a in range(0, n - 1, CHUNK):
-            b = min(n - 1, a + CHUNK)
-            rank[a:b] = np.where(nxt[a:b] >= 0, self.unions(tok[a:b], tok[a + 1 : b + 1]), -1)
-        here = np.flatnonzero(rank >= 0).astype(np.int32)
-        rank = rank[here]
-        order = np.argsort(rank, kind="stable")
-        ranks, first = np.unique(rank[order], return_index=True)
-        given = dict(zip(ranks.tolist(), np.split(here[order], first[1:]), strict=True)) if len(ranks) else {}
-        index: dict[int, list[int]] = {r: [] for r in given}
-        heap = list(index)
-        while heap:
-            r = heapq.heappop(heap)
-            at = np.array(index.pop(r), np.int32)
-            at = np.unique(np.concatenate((given.pop(r), at)) if r in given else at)
-            right = nxt[at]
-            at = at[(tok[at] >= 0) & (right >= 0)]
+        index: dict[int, list[np.ndarray]] = {}
+        ranges: list[int] = []
+
+        def enter(at: np.ndarray, ranks: np.ndarray) -> None:
+            """Positions enter the index under the range of their pair's rank."""
+            at, ranks = at[ranks >= 0], ranks[ranks >= 0] // RANGE
+            order = np.argsort(ranks, kind="stable")
+            at, ranks = at[order], ranks[order]
+            first = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1])) if len(ranks) else []
+            for x, some in zip(ranks[first].tolist() if len(ranks) else [], np.split(at, first[1:]) if len(ranks) else [], strict=True):
+                if x not in index:
+                    index[x] = []
+                    heapq.heappush(ranges, x)
+                index[x].append(some)
+
+        rank = np.full(n, -1, np.int32)  # of the pair that begins at each position
+
+        def look_up(at: np.ndarray) -> None:
             right = nxt[at]
-            whole = self.length[tok[at]] + self.length[tok[right]] == self.length[r]  # else a merge beside it took a part
-            at, right = at[whole], right[whole]
+            rank[at] = np.where(right >= 0, self.unions(tok[at], tok[right]), -1)
+            enter(at, rank[at])
+
+        for x in range(0, n, CHUNK):
+            look_up(np.arange(x, min(n, x + CHUNK), dtype=np.int32))
+        while ranges:
+            now = heapq.heappop(ranges)
+            at = np.sort(np.concatenate(index.pop(now)))
+            at = at[np.append(True, at[1:] != at[:-1])]
+            ranks = rank[at]
+            here = ranks // RANGE == now  # others were changed by a merge beside them, and entered anew where that made a pair
+            at, ranks = at[here], ranks[here]
             if not len(at):
                 continue
+            # each word takes its lowest rank; its others of this range wait
+            first = np.flatnonzero(np.append(True, word[at[1:]] != word[at[:-1]]))
+            lowest = ranks == np.repeat(np.minimum.reduceat(ranks, first), np.diff(np.append(first, len(at))))
+            wait, wait_ranks = at[~lowest], ranks[~lowest]
+            at, ranks = at[lowest], ranks[lowest]
+            right = nxt[at]
             # of pairs that overlap in a row, every other one
             i = np.arange(len(at))
             alone = (i - np.maximum.accumulate(np.where(np.append(True, right[:-1] != at[1:]), i, 0))) % 2 == 0
-            if self.least[r] < r and len(at) > 1:
+            if (self.least[ranks] < ranks).any():
                 # where a merge makes a pair of lower rank, that one goes before the word's other merges of this rank
-                x, y = at[alone], right[alone]
-                near = np.stack((self.unions(np.full(len(x), r), tok[nxt[y]]), self.unions(tok[prv[x]], np.full(len(x), r)), np.full(len(x), self.unions(r, r))))
+                x, y, r = at[alone], right[alone], ranks[alone]
+                near = np.stack((np.where(nxt[y] >= 0, self.unions(r, tok[nxt[y]]), -1), np.where(prv[x] >= 0, self.unions(tok[prv[x]], r), -1), self.unions(r, r)))
                 low = ((near >= 0) & (near < r)).any(0)
-                first = np.append(True, word[at[1:]] != word[at[:-1]])
-                later = np.isin(word[at], word[x[low]]) & ~first
-                if later.any():
-                    index[r] = at[later].tolist()
-                    heapq.heappush(heap, r)
-                    alone &= ~later
-            at, right = at[alone], right[alone]
+                leads = np.append(True, word[at[1:]] != word[at[:-1]])
+                later = np.isin(word[at], word[x[low]]) & ~leads
+                wait, wait_ranks = np.concatenate((wait, at[later])), np.concatenate((wait_ranks, ranks[later]))
+                alone &= ~later
+            enter(wait, wait_ranks)
+            at, right, ranks = at[alone], right[alone], ranks[alone]
             after, before = nxt[right], prv[at]
-            tok[at], tok[right], nxt[at] = r, -1, after
+            tok[at], tok[right], nxt[at], rank[right] = ranks, -1, after, -1
             prv[after[after >= 0]] = at[after >= 0]
-            i, j = np.concatenate((at[after >= 0], before[before >= 0])), np.concatenate((after[after >= 0], at[before >= 0]))
-            # a neighbour that was merged in the same step has moved its start to that of its left part
-            new = self.unions(tok[i], tok[j])
-            for q, x in zip(new[new >= 0].tolist(), i[new >= 0].tolist(), strict=True):
-                if (held := index.get(q)) is None:
-                    index[q] = [x]
-                    heapq.heappush(heap, q)
-                else:
-                    held.append(x)
+            # only the two touched neighbours; one that was merged in the same step has its start at that of its left part
+            touched = np.concatenate((at, before[before >= 0]))
+            look_up(np.where(tok[touched] >= 0, touched, prv[touched]))
         left = tok >= 0
         ends = np.concatenate(([0], np.cumsum(left)))[starts] * 4
         packed = tok[left].astype("<u4").tobytes()
@@ -151,9 +186,20 @@ class _Numbered(dict):
         return n
 
 
+def _gathered(flat: np.ndarray, offset: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """The stretches flat[offset[i] : offset[i + 1]] of all items, one after the other."""
+    start = offset[items]
+    size = offset[items + 1] - start
+    end = np.cumsum(size)
+    return flat[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+
+
 @lru_cache(2)
-def tokens(content: bytes) -> dict[int, bytes]:
-    return {int(b): base64.b64decode(a) for a, b in (line.split() for line in content.splitlines() if line)}
+def token_bytes(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens by rank, and their offsets."""
+    token = {int(b): base64.b64decode(a) for a, b in (line.split() for line in content.splitlines() if line)}
+    listed = [token.get(i, b"") for i in range(max(token) + 1)]
+    return np.frombuffer(b"".join(listed), np.uint8), np.cumsum([0, *map(len, listed)])
 
 
 @lru_cache(2)
@@ -174,10 +220,12 @@ def encode_column(text: Column, content: bytes, pattern: str) -> Column:
         def flush() -> None:
             nonlocal part, size
             v.learn()
-            packed = v.packed
-            out.extend(b"".join([packed[i] for i in x.tolist()]) for x in part)
+            flat, offset = np.frombuffer(b"".join(v.packed), "<u4"), np.cumsum([0, *map(len, v.packed)]) // 4
+            for words in part:
+                pieces = [_gathered(flat, offset, words[i : i + CHUNK]).tobytes() for i in range(0, len(words), CHUNK)]
+                out.append(pieces[0] if len(pieces) == 1 else b"".join(pieces))
             part, size = [], 0
-            if len(packed) > CACHE_WORDS:
+            if len(v.packed) > CACHE_WORDS:
                 v.forget()
 
         for t in texts:
@@ -193,12 +241,13 @@ def encode_column(text: Column, content: bytes, pattern: str) -> Column:
 
 
 def decode_column(ids: Column, content: bytes) -> Column:
-    """The bytes that the ids stand for."""
+    """The bytes that the ids stand for; none for null."""
 
     @F.pandas_udf("binary")
     def decode(series: pd.Series) -> pd.Series:
-        token = tokens(content)
-        return pd.Series([b"".join(map(token.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in series], dtype=object)
+        flat, offset = token_bytes(content)
+        rows = (np.frombuffer(x or b"", "<u4").astype(np.int64) for x in series)
+        return pd.Series([b"".join(_gathered(flat, offset, x[i : i + CHUNK]).tobytes() for i in range(0, len(x), CHUNK)) for x in rows], dtype=object)
 
     return decode(ids)
 

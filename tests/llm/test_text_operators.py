@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from taxaloom.llm import byte_bpe, chat, language_id, mixing, pii
 
@@ -87,6 +88,28 @@ def test_bpe_equals_the_library(spark, bpe):
         assert r["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_bpe_replay_of_random_words(bpe, monkeypatch):
+    content, enc = bpe
+    rng, v = random.Random(3), byte_bpe.vocabulary(content)
+    token = sorted(enc.token_byte_values())
+    words = ["".join(rng.choices(["a", "b", "ab", "th", "er", "é", "日", "0", " ", "--"], k=rng.randint(1, 30))).encode() for _ in range(3000)]
+    words += [b"".join(rng.choices(token, k=rng.randint(1, 5))) for _ in range(3000)] + [b"aab" * 500]
+    for ranks in (1, 64, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "RANGE", ranks)
+        some = words if ranks > 1 else words[:300]
+        for w, ids in zip(some, v.replay(some), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == enc._encode_single_piece(w)
+
+
+def test_bpe_parts_repeated_rows_and_clashing_columns(spark, bpe, monkeypatch):
+    content, enc = bpe
+    monkeypatch.setattr(byte_bpe, "PART_CHARS", 10)
+    rows = [(1, "the theory of 日本 names", None, None), (1, "the theory of 日本 names", None, None), (None, None, None, None), (2, "", None, None)]
+    found = byte_bpe.encode_documents(documents(spark, rows).withColumnRenamed("extra", "ids").withColumnRenamed("lang", "n_tokens"), content, P.PATTERN)
+    assert sorted(found.columns) == sorted(["doc_id", "text", "source", "n_chars", "ids", "n_tokens"])
+    assert [r["n_tokens"] for r in found.orderBy(F.col("doc_id").asc_nulls_first()).collect()] == [0, *[len(enc.encode_ordinary(rows[0][1]))] * 2, 0]
+
+
 def test_bpe_empty_table(spark, bpe):
     assert byte_bpe.round_trip(documents(spark, []), bpe[0], P.PATTERN).count() == 0
 
