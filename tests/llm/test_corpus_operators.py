@@ -148,7 +148,8 @@ def generalised_jaccard(a, b):
     return sum((x & y).values()) / max(1, sum((x | y).values()))
 
 
-def test_fingerprints(spark):
+def test_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BLOCK_CHARS", 3000)
     random.seed(6)
     words = ["w%d" % i for i in range(300)]
     rows = [(i, " ".join(random.choices(words[: random.randint(5, 300)], k=random.randint(1, 80)))) for i in range(150)] + [(500, None), (501, ""), (502, "...")]
@@ -161,12 +162,25 @@ def test_fingerprints(spark):
         n = len(t)
         edited = t[: n - n // 2] + nxt[: n // 2]
         assert r["n_chars"] == n and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        gaps.append(r["near_edited"] - (generalised_jaccard(t, edited) if t.strip(". ") else r["near_edited"]))
+        if t.strip(". "):
+            for near, other in (("near_edited", edited), ("near_next", nxt)):
+                p = generalised_jaccard(t, other)
+                gaps.append(r[near] - p)
+                assert abs(gaps[-1]) <= 1e-9 + 4 * math.sqrt(max(p * (1 - p), 0.01) / fingerprint.SAMPLES)
     assert found[10]["fingerprint"] == found[20]["fingerprint"] and found[501]["near_edited"] == 1.0
-    assert abs(sum(gaps) / len(gaps)) < 0.05 and max(map(abs, gaps)) < 0.6
+    assert abs(sum(gaps) / len(gaps)) < 4 * 0.5 / math.sqrt(fingerprint.SAMPLES * len(gaps))
+
+
+def test_fingerprints_of_odd_rows(spark):
     one = fingerprint.report(documents(spark, [(1, "a b c d")])).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
-    assert fingerprint.report(documents(spark, [(1, "a b"), (1, "a b")])).count() == 1
+    assert fingerprint.report(documents(spark, [])).count() == 0
+    rows = [(1, "a b"), (1, "a b"), (1, "a c"), (None, "x y z"), (None, None), (7, "!!!"), (8, "???"), (9, "\t \n"), (10, "w " * 300_000)]
+    docs = documents(spark, rows).withColumn("h", F.lit("h")).withColumn("block", F.lit(None).cast("string")).withColumn("side", F.lit(3))
+    found = fingerprint.report(docs).collect()
+    assert sorted(((r["doc_id"], r["n_chars"]) for r in found), key=str) == sorted(((i, len(t or "")) for i, t in rows), key=str)
+    prints = {r["doc_id"]: r for r in found}
+    assert prints[8]["near_next"] == 0.0 and prints[8]["fingerprint"] and prints[9]["fingerprint"] == ""
 
 
 def test_rollup_commits_once(spark, tmp_path):
