@@ -24,6 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{(spark.conf.get('spark.checkpoint.dir', None) or _own_folder()).rstrip('/')}/taxaloom"
 
 
+def free_name(df: DataFrame) -> str:
+    """A name that no column of ``df`` has."""
+    return "_" + "_".join(df.columns)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` as a table written to the cluster's checkpoint folder (spark.checkpoint.dir), without its lineage.
 
