@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from taxaloom.session import cut
+from taxaloom.session import cut, free_name
 
 #: Fitted on at most about this many texts a language (the sample is drawn by hash; twice as many is a hard limit).
 SAMPLE_PER_LANGUAGE = 400
@@ -93,16 +93,16 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, clusters: int = CLUSTERS) -> LanguageModel:
     """A model from the rows of ``labelled`` that have a text and a language.
 
-    The sample is bounded by ``per_language``; each language's sample is clustered in a task of its own. Without labelled
-    rows the model has no centroid, and every text is then ``und``.
+    The sample is bounded by ``per_language`` and drawn by a hash of the text alone, copies of a text counting once; each
+    language's sample is clustered in a task of its own. Without labelled rows the model has no centroid, and every text is then ``und``.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(*[F.col(f"`{c}`") for c, kind in labelled.dtypes if not kind.startswith("map")]).alias("h")).where("text is not null and lang is not null")
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h")).where("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return LanguageModel([], np.zeros((0, DIM)), np.ones(DIM), np.zeros((0, len(LENGTHS))))
     scale = 1 << 30
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, per_language / n) * scale))])
-    sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")])
+    sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).dropDuplicates(["lang", "h"])
 
     @F.pandas_udf("array<float>")
     def counted(texts: pd.Series) -> pd.Series:
@@ -178,7 +178,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
         return pd.DataFrame(out, columns=["lang_pred", "score", "accepted"])
 
     kept = docs.drop("lang_pred", "score", "accepted")
-    return kept.withColumn("__near", nearest(F.col(text))).select(*[F.col(f"`{c}`") for c in kept.columns], "__near.*")
+    near = free_name(kept)
+    return kept.withColumn(near, nearest(F.col(text))).select(*[F.col(f"`{c}`") for c in kept.columns], f"{near}.*")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -1,10 +1,11 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are validated matches of four base patterns. The words before a seed form lexical patterns (the last word, the last
-two words). Spark then scores the bipartite graph of patterns and slot fillers: a pattern's confidence is the share of all
-its occurrences in the corpus whose filler is believed to be an identifier of its kind, a filler's confidence is the
-noisy-or of its patterns'. After a few rounds the patterns with high confidence extract further identifiers: fillers that
-look like identifiers but which no base pattern covers. Base spans always stay.
+Seeds are validated matches of four base patterns. They induce lexical patterns of two kinds: the words before a seed (the last
+word, the last two words), which extract whatever identifier-like filler follows them, and the seed's own shape (digits, letters
+and marks in order), which extracts groups of words of the same shape that no base pattern covers, such as a number that a base
+match ran past. Spark then scores the bipartite graph of patterns and fillers: a pattern's trust is the share of the
+identifier-like fillers in its slots that are believed to be of its kind, with one imagined miss; a filler's belief is the
+noisy-or of its patterns' trust. After a few rounds the patterns with high trust extract further identifiers. Base spans stay.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from functools import partial
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from taxaloom.session import cut
+from taxaloom.session import cut, free_name
 
 # Kinds in the order in which spans are listed, and the base patterns (of e-mail the part from the @ on).
 KINDS = ["email", "ip", "card", "phone"]
@@ -36,8 +37,12 @@ LEAST_FILLER = 5
 MIN_SUPPORT = 3
 PATTERN_BLOCK = 200_000
 ROUNDS = 3
-#: Confidence from which a pattern extracts.
+#: Trust from which a pattern extracts.
 CONFIDENT = 0.8
+#: Words of a group whose shape is looked at, and its characters; e-mail addresses and the like that are longer have no shape.
+SHAPE_WORDS, LONGEST_SHAPE = 4, 64
+DIGITS, WORD_END = re.compile("[0-9@]+"), re.compile(r"[A-Za-z0-9._%+()@-]*+")
+FILLER_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+()@-")
 
 
 def luhn(digits: str) -> bool:
@@ -79,9 +84,31 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 
 def _before(text: str, at: int) -> list[str]:
-    """The last word and the last two words before a position, lower case; words end at white space."""
-    words = text[max(0, at - 80) : at].lower().split()
-    return [] if not words else [words[-1]] if len(words) == 1 else [words[-1], " ".join(words[-2:])]
+    """The last word and the last two words before a position, lower case. Words end at white space; of a word that the position
+    lies in, the part after the last digit counts."""
+    ends, words = at, []
+    while len(words) < 2 and ends:
+        if words or text[ends - 1].isspace():
+            while ends and text[ends - 1].isspace():
+                ends -= 1
+            start = ends
+            while start and not text[start - 1].isspace():
+                start -= 1
+        else:
+            start = ends
+            while start and not text[start - 1].isspace() and not "0" <= text[start - 1] <= "9":
+                start -= 1
+            if start == ends or (start and not text[start - 1].isspace()):
+                return [text[start:ends].lower()] if start < ends else []
+        if start < ends:
+            words.insert(0, text[start:ends].lower())
+        ends = start
+    return [] if not words else [words[-1]] if len(words) == 1 else [words[-1], " ".join(words)]
+
+
+def _shape(text: str) -> str:
+    """The pattern of a text's shape: each digit 9, each run of letters a, marks as they are."""
+    return "\t" + re.sub("[A-Za-z]+", "a", re.sub("[0-9]", "9", text))
 
 
 def _value(text: str) -> str:
@@ -89,14 +116,14 @@ def _value(text: str) -> str:
 
 
 def seeds(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, pattern, value, n): what base matches stand behind which words, summed before the shuffle."""
+    """(kind, pattern, value, n): what base matches stand behind which words and have which shape, summed before the shuffle."""
 
     def found(batches):
         for batch in batches:
             tally: Counter = Counter()
             for t in batch["text"]:
                 for kind, s, e in base_spans(t):
-                    for p in _before(t, s):
+                    for p in (*_before(t, s), _shape(t[s:e])) if e - s <= LONGEST_SHAPE else _before(t, s):
                         tally[kind, p, _value(t[s:e])] += 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["kind", "pattern", "value", "n"])
 
@@ -124,6 +151,31 @@ def _slots(text: str, patterns: dict[str, list[str]]):
         last = word
 
 
+def _shaped(text: str, patterns: dict[str, list[str]]):
+    """(pattern, span) of groups of up to SHAPE_WORDS words with digits or @, one blank apart, whose shape is a pattern. Marks
+    around a group are no part of it."""
+    words: list[tuple[int, int]] = []
+    end = 0
+    for m in DIGITS.finditer(text):
+        if m.start() < end:
+            continue
+        s = m.start()
+        while s > end and text[s - 1] in FILLER_CHARS:
+            s -= 1
+        end = WORD_END.match(text, m.end()).end()
+        if words and not (words[-1][1] + 1 == s and text[s - 1] == " "):
+            words = []
+        words = [*words[1 - SHAPE_WORDS :], (s, end)]
+        e = end
+        while not text[e - 1].isalnum():
+            e -= 1
+        for a, _ in words:  # the longest first
+            while not (text[a].isalnum() or text[a] in "+("):
+                a += 1
+            if e - a <= LONGEST_SHAPE and (p := _shape(text[a:e])) in patterns:
+                yield p, (a, e)
+
+
 def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict[str, str]:
     """Patterns with high confidence and the kind each extracts; empty where the seeds share no words."""
     spark = docs.sparkSession
@@ -138,8 +190,9 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
         for batch in batches:
             tally: Counter = Counter()
             for t in batch["text"]:
-                for p, at in _slots(t or "", wanted.value):
-                    tally[p, None if at is None else _value(t[at[0] : at[1]])] += 1
+                for p, at in (*_slots(t or "", wanted.value), *_shaped(t or "", wanted.value)):
+                    if at is not None:
+                        tally[p, _value(t[at[0] : at[1]])] += 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["pattern", "value", "n"])
 
     slots = None
@@ -151,11 +204,11 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
         slots = some if slots is None else slots.unionByName(some)
     uses = slots.groupBy("pattern").agg(F.sum("n").alias("uses"))
     known = edges.select("kind", "value").distinct().withColumn("seed", F.lit(1.0))
-    graph = cut(frequent.select("kind", "pattern").join(slots.where("value is not null"), "pattern").join(uses, "pattern"))
+    graph = cut(frequent.select("kind", "pattern").join(slots, "pattern").join(uses, "pattern"))
     belief = known.withColumnRenamed("seed", "belief")
     trust = None
     for _ in range(rounds):
-        trust = cut(graph.join(belief, ["kind", "value"], "left").groupBy("kind", "pattern").agg((F.sum(F.col("n") * F.coalesce("belief", F.lit(0.0))) / F.max("uses")).alias("trust")))
+        trust = cut(graph.join(belief, ["kind", "value"], "left").groupBy("kind", "pattern").agg((F.sum(F.col("n") * F.coalesce("belief", F.lit(0.0))) / (F.max("uses") + 1)).alias("trust")))
         scored = graph.join(trust, ["kind", "pattern"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))))).alias("noisy"))
         belief = cut(scored.join(known, ["kind", "value"], "full").select("kind", "value", F.coalesce("seed", "noisy").alias("belief")))
     best = trust.where(F.col("trust") >= confident).groupBy("pattern").agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))
@@ -168,15 +221,17 @@ def all_spans(text: str | None, patterns: dict[str, str]) -> list[tuple[str, int
     if not patterns or not text:
         return base
     taken = sorted((s, e) for _, s, e in base)
+    # the leftmost first, of those the longest
+    slots = {at: p for p, at in (*_slots(text, patterns), *_shaped(text, patterns)) if at is not None}
     more, i, end = [], 0, 0
-    for p, at in _slots(text, patterns):
-        if at is None or at[0] < end:
+    for at in sorted(slots, key=lambda x: (x[0], -x[1])):
+        if at[0] < end:
             continue
         while i < len(taken) and taken[i][1] <= at[0]:
             i += 1
         if i < len(taken) and taken[i][0] < at[1]:
             continue
-        more.append((patterns[p], *at))
+        more.append((patterns[slots[at]], *at))
         end = at[1]
     return sorted(base + more, key=lambda x: (KINDS.index(x[0]), x[1]))
 
@@ -192,7 +247,8 @@ def mark(docs: DataFrame, patterns: dict[str, str], text: str = "text") -> DataF
         return pd.DataFrame({"base": [named(a) for a, _ in rows], "spans": [named(b) for _, b in rows]})
 
     kept = docs.drop("base", "spans")
-    return kept.withColumn("__found", spans(F.col(text))).select(*[F.col(f"`{c}`") for c in kept.columns], "__found.*")
+    found = free_name(kept)
+    return kept.withColumn(found, spans(F.col(text))).select(*[F.col(f"`{c}`") for c in kept.columns], f"{found}.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -228,6 +284,7 @@ def masked(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, t[at:]]))
         return pd.Series(out, dtype=object)
 
-    shown = docs.withColumn("__hidden", hide(F.col("text")))
-    names = [F.col("__hidden").alias("text") if c == "text" else F.when(F.col("text") == F.col("__hidden"), F.col("n_chars")).otherwise(F.length("__hidden")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return shown.select(*names)
+    hidden = free_name(docs)
+    changed = F.length(hidden).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    named = {"text": F.col(hidden), "n_chars": F.when(F.col("text").eqNullSafe(F.col(hidden)), F.col("n_chars")).otherwise(changed) if changed is not None else None}
+    return docs.withColumn(hidden, hide(F.col("text"))).select(*[named[c].alias(c) if c in named else F.col(f"`{c}`") for c in docs.columns])

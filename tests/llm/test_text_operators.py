@@ -172,6 +172,20 @@ def test_pii_fillers_run_over_whole_groups():
     assert pii.all_spans("iban: " + "1 " * 100_000, {"iban:": "card", "1": "card"})[0][1:] == (6, 200_005)
 
 
+def test_pii_shapes_find_numbers_that_base_matches_run_past(spark):
+    rng = random.Random(4)
+    phone = lambda: f"+1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)}"
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = [(i, f"{word()} {phone()} {word()}", None, None) for i in range(30)]
+    rows += [(40, f"{word()} +1 (204) 555-1234 190.137.223.9 {word()}", None, None), (41, f"{word()} 4785380592391130 {word()}", None, None), (42, "x" * 200_000 + " 1", None, None)]
+    docs = documents(spark, rows).withColumn("base", F.lit(1)).withColumn("__found", F.lit(2)).withColumn("spans", F.lit(3))
+    found = {r["doc_id"]: r for r in pii.report(docs.union(docs.where("doc_id = 40"))).collect()}
+    assert found[40]["n_phone"] == 0 and found[40]["spans"] == "ip:25:38,phone:7:24"
+    assert found[41]["spans"] == found[42]["spans"] == ""
+    assert pii.masked(docs).columns == docs.columns
+    assert pii._before("12number:", 9) == ["number:"] and pii._before("a b  c ", 7) == ["c", "b c"] and pii._before(" 1", 2) == []
+
+
 def test_pii_support_does_not_grow_with_the_corpus(spark, monkeypatch):
     monkeypatch.setattr(pii, "PATTERN_BLOCK", 5)
     cards = ["4785380592391139", "4539578763621486", "4916338506082832", "4532015112830366"]
