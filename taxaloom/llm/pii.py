@@ -5,7 +5,7 @@ word, the last two words), which extract whatever identifier-like filler follows
 and marks in order), which extracts groups of words of the same shape that no base pattern covers, such as a number that a base
 match ran past. Spark then scores the bipartite graph of patterns and fillers: a pattern's trust is the share of the
 identifier-like fillers in its slots that are believed to be of its kind, with one imagined miss; a filler's belief is the
-noisy-or of its patterns' trust. After a few rounds the patterns with high trust extract further identifiers. Base spans stay.
+noisy-or of the trust of its other patterns. After a few rounds the patterns with high trust extract further identifiers. Base spans stay.
 """
 
 from __future__ import annotations
@@ -205,12 +205,15 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
     uses = slots.groupBy("pattern").agg(F.sum("n").alias("uses"))
     known = edges.select("kind", "value").distinct().withColumn("seed", F.lit(1.0))
     graph = cut(frequent.select("kind", "pattern").join(slots, "pattern").join(uses, "pattern"))
-    belief = known.withColumnRenamed("seed", "belief")
-    trust = None
+    edges_now = graph.join(known, ["kind", "value"], "left").withColumn("belief", F.coalesce("seed", F.lit(0.0)))
     for _ in range(rounds):
-        trust = cut(graph.join(belief, ["kind", "value"], "left").groupBy("kind", "pattern").agg((F.sum(F.col("n") * F.coalesce("belief", F.lit(0.0))) / (F.max("uses") + 1)).alias("trust")))
-        scored = graph.join(trust, ["kind", "pattern"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least("trust", F.lit(0.999)))))).alias("noisy"))
-        belief = cut(scored.join(known, ["kind", "value"], "full").select("kind", "value", F.coalesce("seed", "noisy").alias("belief")))
+        trust = cut(edges_now.groupBy("kind", "pattern").agg((F.sum(F.col("n") * F.col("belief")) / (F.max("uses") + 1)).alias("trust")))
+        doubt = F.log(1 - F.least("trust", F.lit(0.999)))
+        judged = edges_now.drop("belief").join(trust.select("kind", "pattern", doubt.alias("doubt")), ["kind", "pattern"])
+        all_doubt = judged.groupBy("kind", "value").agg(F.sum("doubt").alias("all"))
+        # what a pattern itself says of a filler is no support of the pattern
+        others = F.greatest(F.lit(0.0), 1 - F.exp(F.col("all") - F.col("doubt")))
+        edges_now = cut(judged.join(all_doubt, ["kind", "value"]).withColumn("belief", F.coalesce("seed", others)).drop("doubt", "all"))
     best = trust.where(F.col("trust") >= confident).groupBy("pattern").agg(F.max_by("kind", F.struct("trust", "kind")).alias("kind"))
     return {r["pattern"]: r["kind"] for r in best.collect()}
 
