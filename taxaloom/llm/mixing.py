@@ -57,16 +57,19 @@ def position(c: Column, target: Column, start: Column, end: Column) -> Column:
     return F.least(F.lit(1.0), F.abs(F.when(F.abs(slope) < 1e-12, share / start).otherwise((F.sqrt(F.greatest(start * start + 2 * slope * share, F.lit(0.0))) - start) / slope)))
 
 
-def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", keep: tuple = (), split_last: bool = True) -> DataFrame:
-    """One row per document: the columns of ``keep``, doc_id, source, size, source_size, target, taken, first, passes.
+def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", keep: bool = False, split_last: bool = True) -> DataFrame:
+    """One row per document: with ``keep`` the whole row as kept, a struct; doc_id, source, size, source_size, target, taken, first, passes.
 
     taken: words of the document that the mix takes. With ``split_last`` the document in which a stream ends gives only the
     words still asked for; else it is taken whole if at least half of it is asked for. first: position of its first copy,
     null if none is taken. Documents without words take no part (taken 0). Rows that agree in everything keep their own
-    places; a null source is a source, sorted last. Columns beside those asked for are left out, so their names can't clash.
+    places; a null source is a source, sorted last. Other columns are left out or in the struct, so their names can't clash.
     """
     key = F.xxhash64(F.col(doc_id), F.col(text))
-    rows = docs.select(*[F.col(c).alias(f"__{c}") for c in keep], F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), key.alias("h"))
+    kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")] if keep else []
+    rows = docs.select(*kept, F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(F.col(text)).alias("size"), key.alias("h"))
+    if not keep:
+        rows = cut(rows)  # the texts are read once
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     sums = cut(sums)
     blocks = max(1, math.ceil((sums.agg(F.sum("rows")).first()[0] or 0) / BLOCK_ROWS))
@@ -91,7 +94,7 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
     laps = F.array(*[F.struct(asked(i).alias("words"), position(F.lit(i) * F.col("source_size") + F.col("at"), F.col("target"), F.col("start"), F.col("end")).alias("t")) for i in range(MAX_PASSES)])
     out = placed.withColumn("passes", F.filter(laps, lambda x: x["words"] > 0))
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    return out.select(*[F.col(f"__{c}").alias(c) for c in keep if c not in ("doc_id", "source")], "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), taken.alias("taken"), F.get("passes", F.lit(0))["t"].alias("first"), "passes")
+    return out.select(*(["kept"] if keep else []), "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), taken.alias("taken"), F.get("passes", F.lit(0))["t"].alias("first"), "passes")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -102,7 +105,5 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the training stream, whole documents in the order of their positions, a row for each copy taken."""
-    names = docs.columns
-    rest = tuple(c for c in names if c not in ("doc_id", "source"))
-    out = plan(docs, keep=rest, split_last=False).withColumn("__pass", F.explode("passes")).withColumn("__t", F.col("__pass")["t"])
-    return out.repartitionByRange("__t", "doc_id").sortWithinPartitions("__t", "doc_id").select(*[F.col(f"`{c}`") for c in names])
+    out = plan(docs, keep=True, split_last=False).select("kept", "doc_id", F.explode("passes").alias("taken")).select("kept", "doc_id", "taken.t")
+    return out.repartitionByRange("t", "doc_id").sortWithinPartitions("t", "doc_id").select(*[F.col("kept")[c].alias(c) for c in docs.columns])

@@ -2,8 +2,7 @@
 
 Changes (inserts, deletes, revised counts) become signed sums by source, language and tokenizer version. A batch's sums are
 one partition of the ledger, written by overwriting that partition alone: sending a batch again, after a failure or by
-mistake, replaces it by the same rows. Totals are the sums over the ledger; compaction adds up closed batches. Nothing reads
-the documents again.
+mistake, replaces it by the same rows. Totals are the sums over the ledger. Nothing reads the documents again.
 """
 
 from __future__ import annotations
@@ -43,11 +42,13 @@ class Rollup:
         self.schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch long"
 
     def commit(self, batch: int, changes: DataFrame) -> None:
-        """Idempotent: the batch's partition is replaced whole, others stay."""
-        self._write(signed(changes).withColumn("batch", F.lit(batch).cast("long")))
+        """Idempotent: the batch's partition is replaced whole, others stay. A row that counts nothing goes along, so that a batch
+        without changes replaces what was sent under its number before. Columns beside those of CHANGES are left out."""
+        nothing = self.spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in KEYS], *[F.lit(0).cast("long").alias(c) for c in SUMS])
+        self._write(signed(changes).unionByName(nothing).withColumn("batch", F.lit(batch).cast("long")))
 
     def _write(self, rows: DataFrame) -> None:
-        rows.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.folder)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.folder)
 
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.folder)

@@ -190,6 +190,10 @@ def test_rollup_commits_once(spark, tmp_path):
     for _ in range(3):
         r.commit(2, feed([("delete", "a", "en", "t1", 5, None), ("revise", "a", "en", "t1", 12, 10), ("delete", None, None, "t1", 7, None)]))
     assert [tuple(x) for x in r.totals().collect()] == [("a", "en", "t1", 1, 12)]
+    r.commit(3, feed([("insert", "b", "en", "t1", 4, None)]).withColumn("batch", F.lit(9)).withColumn("n_docs", F.lit("x")))
+    assert r.totals().count() == 2
+    r.commit(3, feed([]))
+    assert [tuple(x) for x in r.totals().collect()] == [("a", "en", "t1", 1, 12)]
 
 
 def test_search_equals_brute_force(spark, monkeypatch):

@@ -247,3 +247,23 @@ def test_mixing_stream_is_ordered_and_whole(spark):
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
     rows = stream.collect()
     assert all(text[r["doc_id"]] == r["text"] for r in rows) and max(sum(1 for r in rows if r["doc_id"] == i) for i in text) <= 2
+
+
+def test_chat_large_turns_repeats_and_extra_columns(spark):
+    row = lambda i, role, n: (1, i, role, " ".join(["w"] * n))
+    rows = [row(0, "system", 600), *[row(i, "user" if i % 2 else "assistant", 20) for i in range(1, 40)], row(40, "assistant", 900), row(40, "assistant", 900)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1)).withColumn("loss", F.lit("x"))
+    windows = chat.format_windows(turns).collect()
+    assert sum(w["turns"] for w in windows) == len(rows)
+    assert all(w["tokens"] <= chat.BUDGET or w["turns"] == 1 for w in windows)
+    assert chat.read_back(chat.format_windows(turns)).first()["n_turns"] == len(rows)
+
+
+def test_mixing_keeps_clashing_columns_and_repeated_rows(spark):
+    rows = [(i % 30, "w " * (i % 7 + 1), "en", f"s{i % 3}") for i in range(90)] + [(100, "long " * 50_000, "en", "s1")]
+    docs = documents(spark, rows)
+    for name in ("size", "passes", "taken", "target", "first", "source_size", "t", "kept", "block", "h"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and {r["size"] for r in out.collect()} == {"size"}
+    assert mixing.digest(docs).count() == len(rows)
