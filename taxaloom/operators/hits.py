@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Limits, databases by kind of structure, ranks kept of a lineage.
 MAX_EVALUE = 1e-3
-PREDICTED, EXPERIMENTAL = ["afdb50", "afdb-proteome", "afdb-swissprot", "bfvd", "bfvd_v3", "BFVD", "mgnify_esm30", "gmgcl_id"], ["pdb100", "cath50"]
+PREDICTED = [
+    "bfvd_v3", "BFVD_folddisco", "afdb50", "afdb50_folddisco", "afdb-swissprot", "afdb-proteome", "afdb-proteome_folddisco",
+    "esm30_folddisco", "mgnify_esm30", "cath50", "bfmd",
+]
 NATIVE_CONFIDENCE = ["bfvd", "afdb"]
-RANKS = ["superkingdom", "realm", "kingdom", "phylum", "class", "order", "family", "subfamily", "genus", "species"]
+RANKS = ["superkingdom", "kingdom", "phylum", "class", "order", "suborder", "family", "subfamily", "genus", "subgenus", "species"]
+#: Least value of the upper three bands of each scale; of B-factors, where low is good, the greatest.
+BANDS = {"plddt": (90, 70, 50), "lddt": (0.8, 0.6, 0.4), "bfactor": (20, 40, 60)}
+BAND_NAMES = ("very high", "high", "low", "very low")
+PLDDT_CATEGORIES = ("Very high (>90)", "Confident (70-90)", "Low (50-70)", "Disordered (<50)")
 
 
 def coverage(aln: str = "aln_length", q: str = "q_len") -> Column:
@@ -21,11 +28,17 @@ def gate(hits: DataFrame, max_evalue: float = MAX_EVALUE, min_length: int = 0, m
 
 
 def accession(target: Column, db: Column) -> Column:
-    """PDB id_CHAIN, AFDB accession, CATH acc_start-end, else the first token."""
-    token = F.split_part(F.trim(target), F.lit(" "), F.lit(1))
-    bare = F.regexp_replace(token, r"\.(pdb|cif|mmcif)(\.gz)?$", "")
-    pdb = F.concat_ws("_", F.lower(F.regexp_extract(bare, r"^([0-9][A-Za-z0-9]{3})", 1)), F.nullif(F.regexp_extract(bare, r"_([A-Za-z0-9]+)$", 1), F.lit("")))
-    return F.when(db.startswith("pdb") & bare.rlike(r"^[0-9][A-Za-z0-9]{3}"), pdb).when(db.startswith("afdb") & bare.rlike("^AF-"), F.regexp_extract(bare, r"^AF-([A-Z0-9]+)-F", 1)).when(db.startswith("cath") & bare.rlike("^af_"), F.regexp_replace(bare, r"^af_([A-Z0-9]+)_(\d+)_(\d+).*$", "$1_$2-$3")).otherwise(bare)
+    """In PDB databases ID_CHAIN in upper case, if the name is four letters or digits before - or _; of AlphaFold names (AF-) the
+    accession, of CATH domains (af_) accession_start-end, whatever the database; else the first word."""
+    head = F.regexp_extract(target, r"^\s*(\S+)", 1)
+    entry, chain = F.regexp_extract(head, "^([0-9a-zA-Z]{4})[-_]", 1), F.regexp_extract(head, "^.{5}.*?_([A-Za-z0-9]+)$", 1)
+    pdb = F.upper(F.concat_ws("_", entry, F.nullif(chain, F.lit(""))))
+    return (
+        F.when(db.startswith("pdb") & (entry != ""), pdb)
+        .when(head.rlike(r"^AF-[A-Z0-9]+-F\d+"), F.regexp_extract(head, r"^AF-([A-Z0-9]+)-F", 1))
+        .when(head.rlike(r"^af_[A-Z0-9]+_\d+_\d+_"), F.regexp_replace(head, r"^af_([A-Z0-9]+)_(\d+)_(\d+)_.*$", "$1_$2-$3"))
+        .otherwise(head)
+    )
 
 
 def cath_parent(name: Column) -> list[Column]:
@@ -56,7 +69,7 @@ def per_db(hits: DataFrame, passed: DataFrame) -> DataFrame:
 
 
 def structure_kind(db: Column) -> Column:
-    return F.when(db.isin(EXPERIMENTAL), "experimental").otherwise("predicted")
+    return F.when(db.isin(PREDICTED), "predicted").otherwise("experimental")
 
 
 def confidence_plan(db: Column) -> Column:
@@ -99,9 +112,12 @@ def sidecar(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
     return kept.select(key, F.to_json(F.struct(*fields), {"ignoreNullFields": "true"}).alias("sidecar"))
 
 
-def classify_query(q: Column) -> Column:
+def classify_query(q: Column, files: Column | None = None) -> Column:
+    """file where ``files`` (by default: the name ends like a structure file) holds, ncbi for a versioned protein accession of
+    NCBI (two letters and _, or three letters and five digits), else uniprot: what it is, the lookup there will tell."""
     t = F.trim(q)
-    return F.when(t.rlike(r"\.(pdb|cif|mmcif|fa|fasta)(\.gz)?$"), "file").when(t.rlike(r"^[OPQ][0-9][A-Z0-9]{3}[0-9]$|^[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2}$"), "uniprot").when(t.rlike(r"^[A-Z]{1,3}_?[0-9]{5,9}(\.[0-9]+)?$"), "ncbi").otherwise("unknown")
+    is_file = t.rlike(r"\.(pdb|cif|mmcif)(\.gz)?$") if files is None else files
+    return F.when(is_file, "file").when(t.rlike(r"^([A-Z]{2}_[0-9]+|[A-Z]{3}[0-9]{5})\.[0-9]+$"), "ncbi").otherwise("uniprot")
 
 
 def accession_list(lines: DataFrame, most: int = 0) -> DataFrame:
@@ -118,7 +134,8 @@ def canonical_entry(entries: DataFrame) -> DataFrame:
 
 
 def plddt_category(x: Column) -> Column:
-    return F.when(x.isNull(), "Unknown").when(x >= 90, "Very high").when(x >= 70, "Confident").when(x >= 50, "Low").otherwise("Very low")
+    best, good, low, none = PLDDT_CATEGORIES
+    return F.when(x.isNull(), "Unknown").when(x >= 90, best).when(x >= 70, good).when(x >= 50, low).otherwise(none)
 
 
 def entry_metadata(rows: DataFrame) -> DataFrame:
@@ -126,9 +143,18 @@ def entry_metadata(rows: DataFrame) -> DataFrame:
     return rows.select("accession", F.coalesce(F.nullif(F.trim("description"), F.lit("")), F.lit("Unknown")).alias("protein"), F.coalesce("organism", F.lit("Unknown")).alias("organism"), F.coalesce("plddt", F.lit(0.0)).alias("plddt"), plddt_category(F.col("plddt")).alias("category"))
 
 
-def residue_band(x: Column, mode: str) -> Column:
-    """Band of a residue's confidence: plddt (90, 70, 50), lddt (the same as shares), bfactor (inverted: low is good)."""
-    if mode == "bfactor":
-        return F.when(x.isNull(), "none").when(x <= 20, "very high").when(x <= 40, "high").when(x <= 60, "low").otherwise("very low")
-    scale = 1.0 if mode == "plddt" else 0.01
-    return F.when(x.isNull(), "none").when(x >= 90 * scale, "very high").when(x >= 70 * scale, "high").when(x >= 50 * scale, "low").otherwise("very low")
+def residue_mode(want: Column, has_lddt: Column, kind: Column) -> Column:
+    """The scale that a structure is coloured by: the one asked for (lddt, native or auto: LDDT where there is some, else native).
+    kind is the native one, none if there is none, plddt where it isn't told."""
+    native, lddt = F.coalesce(kind, F.lit("plddt")), F.coalesce(has_lddt, F.lit(False))
+    return F.when(want == "lddt", F.when(lddt, "lddt").otherwise("none")).when(want == "native", native).otherwise(F.when(lddt, "lddt").otherwise(native))
+
+
+def residue_band(x: Column, mode: Column) -> Column:
+    """Band of a residue's value on the scale ``mode``; none for null and for other scales."""
+    out = F.lit("none")
+    for name, (a, b, c) in BANDS.items():
+        reached = (lambda t: x <= t) if name == "bfactor" else (lambda t: x >= t)
+        band = F.when(reached(a), BAND_NAMES[0]).when(reached(b), BAND_NAMES[1]).when(reached(c), BAND_NAMES[2]).otherwise(BAND_NAMES[3])
+        out = F.when(mode == name, band).otherwise(out)
+    return F.when(x.isNull(), "none").otherwise(out)

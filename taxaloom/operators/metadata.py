@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Limits, and column names that are tried in order.
 ID_OVERLAP, ID_UNIQUE, MAX_CATEGORIES, MIN_NUMERIC = 0.30, 0.70, 65, 8
 ID_NAMES = ["id", "taxon", "taxon_id", "name", "accession", "sequence", "protein"]
-COLOUR_NAMES = ["family", "genus", "species", "clade"]
+COLOUR_GROUPS = [["family", "taxon", "lineage", "clade"], ["class", "fold", "struct", "cluster"], ["bind", "affinity", "host", "phenotype"]]
+COLOUR_CATEGORIES = (2, 30)
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -54,10 +55,17 @@ def assign_palette(values: DataFrame, fixed: DataFrame, size: int = 40) -> DataF
 
 
 def default_colour_column(specs: DataFrame) -> DataFrame:
-    """The column to colour by: a known name, else the first categorical one, else the first continuous one."""
-    at = F.array_position(F.array(*[F.lit(x) for x in COLOUR_NAMES]), F.lower("column"))
-    rule = F.when((at > 0) & (F.col("kind") == "categorical"), at).when(F.col("kind") == "categorical", 50).when(F.col("kind") == "continuous", 60)
-    return specs.withColumn("rule", rule).where("rule is not null").agg(F.min_by("column", F.struct("rule", "ord")).alias("column"))
+    """The column to colour by, from (column, kind, cardinality, ord): of the categorical ones the first whose name has a word of
+    the first group of words (families and the like), else of the second, else of the third, else the first of 2 to 30 values,
+    else the first; without categorical ones the first continuous one."""
+    name, rule = F.lower("column"), F.when(F.col("kind") == "continuous", 9)
+    has = lambda words: F.greatest(*[F.contains(name, F.lit(w)) for w in words])
+    category = F.when(F.lit(False), 0)
+    for i, words in enumerate(COLOUR_GROUPS):
+        category = category.when(has(words), i)
+    category = category.when(F.col("cardinality").between(*COLOUR_CATEGORIES), 7).otherwise(8)
+    ruled = specs.withColumn("rule", F.when(F.col("kind") == "categorical", category).otherwise(rule)).where("rule is not null")
+    return ruled.agg(F.min_by("column", F.struct("rule", "ord")).alias("column"))
 
 
 def normalise_values(cells: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 #: Limits of selection and refinement, and threshold grids.
 MIN_SIZE, MIN_RETAINED, RETENTION_GAIN, RETENTION_BAND = 10, 0.70, 0.10, 0.03
 TREE_MIN_TAXA, RECURSE_MIN_KEPT, MAX_ATTEMPTS = 4, 0.70, 3
-GRIDS = {"evalue": [1e-3, 1e-2, 1e-1, 1.0, 10.0], "tmscore": [0.4, 0.5, 0.6, 0.7, 0.8], "min_seq_id": [0.2, 0.3, 0.4, 0.5, 0.7, 0.9]}
-EVALUE_STEPS = [0.3, 0.1, 0.03, 0.01]
+GRIDS = {"evalue": [0.001, 0.01, 1.0, 10.0], "tmscore": [0.4, 0.5, 0.6, 0.7], "min_seq_id": [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]}
+EVALUE_STEPS = [10.0, 1.0, 0.3, 0.1, 0.03, 0.01, 0.001]
+TAGS = {"evalue": "e", "tmscore": "tm", "min_seq_id": "id", "k": "k"}
 
 
 def label_partition(members: DataFrame, taxa: DataFrame) -> DataFrame:
@@ -143,9 +144,9 @@ def report(clusters: DataFrame, recursion: bool = True, min_size: int = MIN_SIZE
     return c.withColumn("kept_because", F.when(F.col("over"), why))
 
 
-def cluster_name(clusters: DataFrame, kind: str, by: tuple = ("candidate_id",)) -> DataFrame:
-    """cluster_<n>_<tag> by size, then representative."""
-    tag = {"evalue": "struct", "tmscore": "tm", "min_seq_id": "seq", "k": "plm"}.get(kind, kind)
+def cluster_name(clusters: DataFrame, kind: str, threshold: float, by: tuple = ("candidate_id",)) -> DataFrame:
+    """cluster_<n>_<tag> by size, then representative; the tag tells the kind of threshold and its value."""
+    tag = f"{TAGS.get(kind, 't')}{threshold:g}"
     n = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("size"), "rep"))
     return clusters.withColumn("name", F.format_string(f"cluster_%d_{tag}", n))
 

@@ -106,7 +106,7 @@ SQL = {
     "f1_find_id_column": "SELECT 'p_partkey' AS \"column\", count(*) AS records, count(*) FILTER (p_size > 20) AS hits, count(DISTINCT p_partkey) AS distinct FROM part",
     "f2_classify_columns": f"WITH {_MELT}, {_SPEC} SELECT \"column\", kind, cardinality, CASE WHEN kind = 'continuous' THEN round(lo, 4) END AS min, CASE WHEN kind = 'continuous' THEN round(hi, 4) END AS max FROM specs",
     "f3_assign_palette": f"WITH {_MELT}, v AS (SELECT DISTINCT \"column\", value FROM cells WHERE \"column\" IN ('p_brand', 'p_type')) SELECT \"column\", value, CASE WHEN \"column\" = 'p_brand' THEN length(value) ELSE (row_number() OVER (PARTITION BY \"column\" ORDER BY value) - 1) % 40 END AS slot FROM v",
-    "f4_default_colour_column": f"WITH {_MELT}, {_SPEC} SELECT arg_min(\"column\", CASE kind WHEN 'categorical' THEN ord ELSE 100 + ord END) AS \"column\" FROM specs WHERE kind <> 'text'",
+    "f4_default_colour_column": f"WITH {_MELT}, {_SPEC} SELECT \"column\" FROM specs WHERE kind <> 'text' ORDER BY CASE WHEN kind = 'continuous' THEN 9 WHEN regexp_matches(lower(\"column\"), 'family|taxon|lineage|clade') THEN 0 WHEN regexp_matches(lower(\"column\"), 'class|fold|struct|cluster') THEN 1 WHEN regexp_matches(lower(\"column\"), 'bind|affinity|host|phenotype') THEN 2 WHEN cardinality BETWEEN 2 AND 30 THEN 7 ELSE 8 END, ord LIMIT 1",
     "f5_normalise_values": f"WITH {_MELT} SELECT p_partkey, \"column\", CASE WHEN TRY_CAST(value AS DOUBLE) = floor(TRY_CAST(value AS DOUBLE)) THEN TRY_CAST(value AS DOUBLE) ELSE round(TRY_CAST(value AS DOUBLE), 3) END AS number, CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text FROM cells",
     "f6_enrich_missing": "SELECT p_partkey, CASE WHEN p_size > 10 THEN p_brand ELSE p_type END AS p_brand FROM part",
     "f7_from_structures": "SELECT l_orderkey AS taxon, coalesce(nullif(count(*) FILTER (l_linenumber > 1), 0), 300) AS length, coalesce(round(avg(l_quantity) FILTER (l_linenumber > 2), 2), 75.0) AS mean_confidence FROM lineitem GROUP BY 1",

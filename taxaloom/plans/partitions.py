@@ -92,7 +92,7 @@ def c25_report(spark, d):
 
 def c26_cluster_name(spark, d):
     s = ad.memberships(spark, d).groupBy("candidate_id", "label").agg(F.count("*").alias("size"), F.min("taxon_id").alias("rep"))
-    return op.cluster_name(s, "evalue").select("candidate_id", "label", "name")
+    return op.cluster_name(s, "evalue", 1.0).select("candidate_id", "label", "name")
 
 
 def c27_operating_point(spark, d):
@@ -140,7 +140,12 @@ SQL = {
     "c20_summary": f"WITH {_CAND} SELECT run, grid_pos, usable FROM candidates",
     "c22_fraction_kept": "WITH t AS (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS ps FROM lineitem GROUP BY 1), g AS (SELECT l_orderkey AS parent, l_returnflag AS attempt, count(*) AS n_sub, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_quantity >= 4), 0) / max(ps) AS k FROM lineitem JOIN t USING (l_orderkey) GROUP BY ALL) SELECT parent, attempt, n_sub, round(k, 6) AS kept, n_sub > 1 AND k >= 0.7 AS accepted FROM g",
     "c25_report": "WITH c AS (SELECT p_partkey, p_size >= 4 AS eligible, p_size >= 4 AND (p_partkey % 10 / 10 >= 0.65 OR p_partkey % 7 / 1.5 > 3.0) AS over, p_size, p_partkey % 3 AS depth FROM part) SELECT p_partkey, eligible, over, CASE WHEN over THEN CASE WHEN p_size < 20 THEN 'too small to split' WHEN depth >= 2 THEN 'depth limit' ELSE 'not divisible' END END AS kept_because FROM c",
-    "c26_cluster_name": f"WITH {_V}, s AS (SELECT candidate_id, label, count(*) AS size, min(taxon_id) AS rep FROM memberships GROUP BY ALL) SELECT candidate_id, label, 'cluster_' || row_number() OVER (PARTITION BY candidate_id ORDER BY size DESC, rep) || '_struct' AS name FROM s",
+    "c21_schedule": """WITH p AS (SELECT DISTINCT ['evalue', 'tmscore', 'min_seq_id'][l_linenumber % 3 + 1] AS kind, round(l_discount * 10, 2) AS threshold FROM lineitem),
+g AS (SELECT *, CASE kind WHEN 'evalue' THEN [0.001, 0.01, 1.0, 10.0]::DOUBLE[] WHEN 'tmscore' THEN [0.4, 0.5, 0.6, 0.7]::DOUBLE[] ELSE [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[] END AS grid FROM p),
+s AS (SELECT *, CASE WHEN kind = 'evalue' THEN list_max(list_filter(grid, lambda t: t < threshold)) ELSE list_min(list_filter(grid, lambda t: t > threshold)) END AS next,
+  CASE WHEN kind = 'evalue' THEN list_concat([threshold], list_reverse_sort(list_filter([10.0, 1.0, 0.3, 0.1, 0.03, 0.01, 0.001]::DOUBLE[], lambda t: t < threshold))) ELSE list_sort(list_filter(grid, lambda t: t > threshold)) END AS plan FROM g)
+SELECT kind, threshold, next, array_to_string(plan[1:3], ',') AS schedule FROM s""",
+    "c26_cluster_name": f"WITH {_V}, s AS (SELECT candidate_id, label, count(*) AS size, min(taxon_id) AS rep FROM memberships GROUP BY ALL) SELECT candidate_id, label, 'cluster_' || row_number() OVER (PARTITION BY candidate_id ORDER BY size DESC, rep) || '_e1' AS name FROM s",
     "c27_operating_point": f"WITH {_V} SELECT candidate_id, count(DISTINCT label) AS n_clusters, (SELECT count(*) FROM vectors) AS taxa, 'auto' AS mode, 'evalue' AS threshold_kind, 'e-values depend on the size of the set: compare runs of like size only' AS note FROM memberships GROUP BY 1",
     "c28_align_spaces": f"WITH {ad.VECTORS} SELECT taxon_id FROM vectors WHERE label NOT IN (3, 5)",
     "c31_disagreement": f"WITH {_CAND} , k AS (SELECT p.run, h.grid_pos AS primary_pos, p.grid_pos AS other_pos FROM pool p JOIN chosen h ON p.run = h.run QUALIFY row_number() OVER (PARTITION BY p.run ORDER BY coalesce(p.tm, -1) DESC, p.grid_pos) = 1) SELECT run, 'tm' AS space, primary_pos, other_pos FROM k WHERE primary_pos <> other_pos",

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import alignment, partitions, trees
+from taxaloom.operators import alignment, hits, metadata, partitions, trees
 from taxaloom.operators.rounds import greedy_representatives
 from taxaloom.session import cut
 from taxaloom.sources import readers
@@ -52,7 +52,7 @@ def test_shape_and_unassigned(spark):
 
 def test_schedules(spark):
     s = {r["kind"]: r["schedule"] for r in partitions.schedule(spark.createDataFrame([("evalue", 1.0), ("tmscore", 0.5)], "kind string, threshold double")).collect()}
-    assert s == {"evalue": [1.0, 0.3, 0.1], "tmscore": [0.6, 0.7, 0.8]}
+    assert s == {"evalue": [1.0, 0.3, 0.1], "tmscore": [0.6, 0.7]}
 
 
 NEWICK = [(1, "((a:1,b:2)90/95:0.5,(c:1,(d:1,e:2)0.8:0.3):1,f:3);"), (2, "(('x y':1,'it''s':2)[note]:3,z);"), (3, "((a,b);")]
@@ -117,3 +117,21 @@ def test_linkage_of_groups_over_the_limit(spark, monkeypatch, method):
     want = listed()
     monkeypatch.setattr(clusters, "GROUP_LIMIT", 5)
     assert len(want) == 11 and listed() == want
+
+
+def test_hit_names_and_kinds(spark):
+    rows = [("A0A7M2QE25 ORF8 protein", "bfvd_v3", "A0A7M2QE25"), ("af_A0A2R8QEK5_306_422_2.60.120.290", "cath50", "A0A2R8QEK5_306-422"), ("2hey-assembly1.cif.gz_F Crystal structure", "pdb100", "2HEY_F"), ("AF-P12345-F1-model_v4", "afdb50", "P12345"), ("1abc_A", "pdb100", "1ABC"), ("longname x", "pdb100", "longname"), ("AF-P12345-F1-model_v4", "mgnify_esm30", "P12345")]
+    found = spark.createDataFrame(rows, "target string, db string, want string").select("want", hits.accession(F.col("target"), F.col("db")).alias("got")).collect()
+    assert all(r["want"] == r["got"] for r in found), found
+    kinds = spark.createDataFrame([("cath50",), ("pdb100",), ("bfmd",), ("new_db",)], "db string").select("db", hits.structure_kind(F.col("db")).alias("kind")).collect()
+    assert {r["db"]: r["kind"] for r in kinds} == {"cath50": "predicted", "pdb100": "experimental", "bfmd": "predicted", "new_db": "experimental"}
+    asked = spark.createDataFrame([("NP_123456.1",), ("AAB12345.1",), ("NP_123456",), ("P0DTC2",), ("x.pdb",)], "q string").select("q", hits.classify_query(F.col("q")).alias("kind")).collect()
+    assert [r["kind"] for r in asked] == ["ncbi", "ncbi", "uniprot", "uniprot", "file"]
+
+
+def test_default_colour_column_by_groups(spark):
+    pick = lambda rows: metadata.default_colour_column(spark.createDataFrame([(c, k, n, i) for i, (c, k, n) in enumerate(rows)], "column string, kind string, cardinality int, ord int")).first()["column"]
+    assert pick([("Cluster", "categorical", 3), ("Host_family", "categorical", 60), ("x", "continuous", 9)]) == "Host_family"
+    assert pick([("many", "categorical", 60), ("host", "categorical", 60), ("few", "categorical", 4)]) == "host"
+    assert pick([("many", "categorical", 60), ("one", "categorical", 1), ("few", "categorical", 4)]) == "few"
+    assert pick([("many", "categorical", 60), ("one", "categorical", 1)]) == "many" and pick([("t", "text", 99), ("a", "continuous", 9)]) == "a"
