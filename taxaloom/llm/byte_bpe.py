@@ -23,13 +23,13 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words that a worker remembers; beyond that it forgets all and goes on.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Characters of text whose new words are replayed together.
-PART_CHARS = 8 << 20
+PART_CHARS = 4 << 20
 #: Positions that are looked up together.
 CHUNK = 1 << 18
 #: Bytes of new words that are replayed together.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Ranks that share an entry of the index; each word still takes its merges one rank after the other.
 RANGE = 1024
 SLOT_BITS = 20

@@ -22,8 +22,8 @@ WEIGHTS = (5, 2, 1)
 RAMPS = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
 TOTAL_SHARE = 1.5
 MAX_PASSES = 2
-#: Documents of a block of the prefix sums, about.
-BLOCK_ROWS = 20_000
+#: Documents of a block of the prefix sums, about; rows of the blocks' table (40 bytes each) up to which it is broadcast.
+BLOCK_ROWS, BROADCAST_ROWS = 20_000, 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -72,7 +72,10 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
         rows = cut(rows)  # the texts are read once
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     sums = cut(sums)
-    blocks = max(1, math.ceil((sums.agg(F.sum("rows")).first()[0] or 0) / BLOCK_ROWS))
+    all_rows, sources = sums.agg(F.sum("rows"), F.count("*")).first()
+    blocks = max(1, math.ceil((all_rows or 0) / BLOCK_ROWS))
+    # where they are known to be small, so that the texts stay where the window has put them
+    near = F.broadcast if blocks * sources <= BROADCAST_ROWS else lambda df: df
     aims = targets(sums.select("source", "source_size"))
     rows = rows.withColumn("block", F.pmod(F.shiftright("h", 8), F.lit(blocks)).cast("int"))
     in_order = Window.partitionBy("source", "block").orderBy("h", F.col("doc_id").asc_nulls_last())
@@ -81,9 +84,9 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
     base = totals.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("block")) - F.col("n")).drop("n")
     base = base.withColumnRenamed("source", "s2").withColumnRenamed("block", "b2")
     same = F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2"))
-    placed = inside.join(base, same).drop("s2", "b2").withColumn("at", F.col("base") + F.col("inside"))
+    placed = inside.join(near(base), same).drop("s2", "b2").withColumn("at", F.col("base") + F.col("inside"))
     aims = aims.withColumnRenamed("source", "s2")
-    placed = placed.join(aims, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    placed = placed.join(near(aims), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     whole = F.round("target").cast("long")
 
     def asked(lap: int) -> Column:
