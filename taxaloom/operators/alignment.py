@@ -132,7 +132,7 @@ def roster(aln: DataFrame, min_size: int = 1) -> DataFrame:
 def msa_rows(aln: DataFrame, by: list[str], order: DataFrame, least: float = 0.0) -> DataFrame:
     """taxon_id and place: rows with enough coverage, in the tree's leaf order (leaf_ord), those not in it last."""
     cov = sequence_coverage(aln, by).where(F.col("sequence_coverage") >= least)
-    return cov.join(order, "taxon_id", "left").select(*by, "taxon_id", F.coalesce("leaf_ord", F.lit(99999)).alias("leaf_ord")).withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("leaf_ord", "taxon_id")))
+    return cov.join(order, "taxon_id", "left").select(*by, "taxon_id", "leaf_ord").withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.col("leaf_ord").asc_nulls_last(), "taxon_id")))
 
 
 def comparability(a: DataFrame, b: DataFrame, least: int = 50, overlap: float = 0.80, identical: float = 0.99) -> DataFrame:

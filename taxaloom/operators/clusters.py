@@ -53,7 +53,10 @@ def sequence_cluster(seqs: DataFrame, min_identity: float, coverage: float, k: i
 
 
 def plm_cluster(vectors: DataFrame, k: int, algorithm: str = "kmeans", cosine: bool = True, seed: int = 42, runs: int = 3) -> DataFrame:
-    """taxon_id, label of k clusters (k is held within 1 and the number of vectors); the best of several seeds by cost."""
+    """taxon_id, label of k clusters (k is held within 1 and the number of vectors); the best of several seeds by cost. Algorithms are
+    kmeans and bisecting; others raise an error (linkage and cut_tree are operators of their own)."""
+    if algorithm not in ("kmeans", "bisecting"):
+        raise ValueError(f"unknown algorithm {algorithm!r}: kmeans or bisecting")
     v = vectors.select("taxon_id", array_to_vector(unit(F.col("vec")) if cosine else F.col("vec")).alias("features")).cache()
     n = v.count()
     k = max(1, min(k, n))

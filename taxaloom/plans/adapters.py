@@ -24,12 +24,12 @@ def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = d.select("doc_id", "partition", F.posexplode(F.expr(f"transform(sequence(0, cast(char_length(t) as int) div {2 * SEGMENT}), i -> substr(t, i * {2 * SEGMENT} + 1, {2 * SEGMENT}))")).alias("i", "s"))
     row = lambda a: F.rpad(F.regexp_replace(F.substring("s", a, SEGMENT), "[^a-z]", "-"), SEGMENT, "-")
     both = F.array(F.struct(F.lit("aa").alias("alphabet"), row(1).alias("row")), F.struct(F.lit("3di").alias("alphabet"), row(1 + SEGMENT).alias("row")))
-    return seg.select("partition", F.format_string("d%d.%d", "doc_id", "i").alias("taxon_id"), (F.col("doc_id") * 100000 + F.col("i")).alias("ord"), F.explode(both).alias("r")).select("partition", "taxon_id", "ord", "r.alphabet", "r.row")
+    return seg.select("partition", F.format_string("d%d.%d", "doc_id", "i").alias("taxon_id"), (F.col("doc_id") * F.lit(10**9) + F.col("i")).alias("ord"), F.explode(both).alias("r")).select("partition", "taxon_id", "ord", "r.alphabet", "r.row")
 
 
 ALIGNMENT = f"""segments AS (SELECT doc_id, source AS "partition", i, substr(t, CAST(i * {2 * SEGMENT} + 1 AS BIGINT), {2 * SEGMENT}) AS s FROM (
   SELECT doc_id, source, lower(coalesce(text, '')) AS t, unnest(range(0, length(lower(coalesce(text, ''))) // {2 * SEGMENT} + 1)) AS i FROM documents)),
-alignment AS (SELECT "partition", 'd' || doc_id || '.' || i AS taxon_id, doc_id * 100000 + i AS ord, alphabet, rpad(regexp_replace(substr(s, o, {SEGMENT}), '[^a-z]', '-', 'g'), {SEGMENT}, '-') AS row
+alignment AS (SELECT "partition", 'd' || doc_id || '.' || i AS taxon_id, doc_id * 1000000000 + i AS ord, alphabet, rpad(regexp_replace(substr(s, o, {SEGMENT}), '[^a-z]', '-', 'g'), {SEGMENT}, '-') AS row
   FROM segments, (VALUES ('aa', 1), ('3di', {1 + SEGMENT})) AS v(alphabet, o))"""
 
 
