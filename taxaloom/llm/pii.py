@@ -132,6 +132,8 @@ def seeds(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _slots(text: str, patterns: dict[str, list[str]]):
     """(pattern, start, filler or None) wherever a pattern's words stand before another word."""
+    if all(p.startswith("\t") for p in patterns):  # shapes only
+        return
     words = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)] if len(text) < 1 << 16 else re.finditer(r"\S+", text)
     last, last2 = None, None
     run = (0, 0)  # the last filler: a digit group within it ends where it ends, and isn't read to the end again
