@@ -18,38 +18,57 @@ from taxaloom.session import cut
 
 #: A group's members up to which its linkage runs in one task; larger groups run in rounds over all tasks, with the same result.
 GROUP_LIMIT = 2_000
+#: Fixed value: silhouette above which a later local maximum is a peak.
+PEAK = 0.35
+#: A grid of thresholds, a row a point.
+GRID = "candidate_id string, threshold double, least_coverage double"
 
 
 def cluster_from_pairs(pairs: DataFrame, taxa: DataFrame, kind: str, threshold: float, coverage: float = 0.0) -> DataFrame:
     """taxon_id, rep from (a, b, score, coverage): set cover, taxa with most neighbours first."""
-    near = (F.col("score") <= threshold) if kind == "evalue" else (F.col("score") >= threshold)
-    kept = pairs.where(near & (F.coalesce("coverage", F.lit(1.0)) >= coverage) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    degree = kept.select(F.col("a").alias("taxon_id")).union(kept.select("b")).groupBy("taxon_id").agg(F.count("*").alias("n"))
-    ranked = taxa.select("taxon_id").join(degree, "taxon_id", "left").fillna(0).withColumn("g", F.lit(0))
+    grid = taxa.sparkSession.createDataFrame([("0", float(threshold), float(coverage))], GRID)
+    return cluster_grid(pairs, taxa, kind, grid).select("taxon_id", "rep")
+
+
+def cluster_grid(pairs: DataFrame, taxa: DataFrame, kind: str, grid: DataFrame) -> DataFrame:
+    """candidate_id, taxon_id, rep: cluster_from_pairs at every point of a grid (GRID) in the same rounds, from one scan of the pairs."""
+    near = (F.col("score") <= F.col("threshold")) if kind == "evalue" else (F.col("score") >= F.col("threshold"))
+    points, by = F.broadcast(grid), ["candidate_id"]
+    met = pairs.where("a <> b").crossJoin(points).where(near & (F.coalesce(pairs["coverage"], F.lit(1.0)) >= F.col("least_coverage")))
+    kept = cut(met.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    degree = kept.select(*by, F.col("a").alias("taxon_id")).union(kept.select(*by, "b")).groupBy(*by, "taxon_id").agg(F.count("*").alias("n"))
+    ranked = taxa.select("taxon_id").crossJoin(points.select(*by)).join(degree, [*by, "taxon_id"], "left").fillna(0, ["n"])
     rank = ranked.withColumn("rank", F.struct((-F.col("n")).alias("n"), "taxon_id"))  # an order, not a number: no global sort
-    return greedy_representatives(rank.select("g", "taxon_id", "rank"), kept.withColumn("g", F.lit(0)), ["g"]).select("taxon_id", "rep")
+    return greedy_representatives(rank.select(*by, "taxon_id", "rank"), kept, by).select(*by, "taxon_id", "rep")
 
 
-def kmer_pairs(seqs: DataFrame, k: int = 6, most: int = 200) -> DataFrame:
-    """a < b and shared, the share of the shorter sequence's distinct k-mers in common. k-mers held by more than ``most`` sequences
-    don't bring pairs together, but count in the share of those that others did."""
+def kmer_pairs(seqs: DataFrame, least: float, coverage: float, k: int = 6) -> DataFrame:
+    """a < b, score and coverage of all pairs that share at least ``least`` of the shorter one's distinct k-mers and whose numbers of
+    them are alike by ``coverage``. Such a pair has a k-mer in common among the rarest n - ceil(least * coverage * n) + 1 of
+    each, so only those bring pairs together."""
     mers = seqs.select("taxon_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("seq") - k + 1, F.lit(1))), lambda i: F.substr(F.col("seq"), i, F.lit(k))))).alias("m"))
-    size = mers.groupBy("taxon_id").agg(F.count("*").alias("n"))
-    rare = mers.groupBy("m").agg(F.count("*").alias("df")).where((F.col("df") > 1) & (F.col("df") <= most)).select("m")
-    r = mers.join(rare, "m")
-    met = r.select("m", F.col("taxon_id").alias("a")).join(r.select("m", F.col("taxon_id").alias("b")), "m").where("a < b").select("a", "b").distinct()
-    x, y = mers.select(F.col("taxon_id").alias("a"), "m"), mers.select(F.col("taxon_id").alias("b"), F.col("m").alias("m2"))
-    common = met.join(x, "a").join(y, (met["b"] == y["b"]) & (F.col("m") == F.col("m2"))).groupBy(met["a"], met["b"]).agg(F.count("*").alias("common"))
-    na, nb = size.select(F.col("taxon_id").alias("a"), F.col("n").alias("na")), size.select(F.col("taxon_id").alias("b"), F.col("n").alias("nb"))
-    return common.join(na, "a").join(nb, "b").select("a", "b", (F.col("common") / F.least("na", "nb")).alias("shared"), (F.least("na", "nb") / F.greatest("na", "nb")).alias("coverage"))
+    df = mers.groupBy("m").agg(F.count("*").alias("df"))
+    sets = cut(mers.join(df, "m").groupBy("taxon_id").agg(F.array_sort(F.collect_list(F.struct("df", "m"))).alias("s")).select("taxon_id", F.col("s.m").alias("s"), F.size("s").alias("n")))
+    needed = F.greatest(F.ceil(F.col("n") * least * coverage - 1e-9), F.lit(1)).cast("int")
+    keys = sets.select("taxon_id", "n", F.explode(F.slice("s", F.lit(1), F.col("n") - needed + 1)).alias("m"))
+    x, y = (keys.select("m", F.col("taxon_id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+    alike = F.least("na", "nb") / F.greatest("na", "nb")
+    met = x.join(y, "m").where((F.col("a") < F.col("b")) & (alike >= coverage)).select("a", "b").distinct()
+    sa, sb = (sets.select(F.col("taxon_id").alias(c), F.col("s").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+    both = met.join(sa, "a").join(sb, "b").select("a", "b", (F.size(F.array_intersect("sa", "sb")) / F.least("na", "nb")).alias("score"), alike.alias("coverage"))
+    return both.where(F.col("score") >= least)
 
 
 def sequence_cluster(seqs: DataFrame, min_identity: float, coverage: float, k: int = 6) -> DataFrame:
     """taxon_id, rep: clusters of sequences that share k-mers as sequences of that identity do; similar to, not the same as, what
-    an alignment-based clusterer finds."""
+    an alignment-based clusterer finds. Equal sequences are one, named by the least of their ids, until the end; a null
+    sequence is empty."""
+    text = seqs.select("taxon_id", F.coalesce("seq", F.lit("")).alias("seq"))
+    distinct = cut(text.groupBy("seq").agg(F.min("taxon_id").alias("taxon_id")))
     least = max(0.0, 1 - k * (1 - min_identity))  # a changed letter spoils up to k of the k-mers
-    pairs = kmer_pairs(seqs, k).withColumnRenamed("shared", "score")
-    return cluster_from_pairs(pairs, seqs, "shared", least, coverage)
+    found = cluster_from_pairs(kmer_pairs(distinct, least, coverage, k), distinct, "shared", least, coverage)
+    named = distinct.join(found, "taxon_id").select("seq", "rep")
+    return text.join(named, "seq").select("taxon_id", "rep")
 
 
 def plm_cluster(vectors: DataFrame, k: int, algorithm: str = "kmeans", cosine: bool = True, seed: int = 42, runs: int = 3) -> DataFrame:
@@ -182,23 +201,63 @@ def linkage(points: DataFrame, method: str = "average", metric: str = "cosine")
     return done.unionByName(_linkage_rounds(points.where(is_large), method, metric)) if large else done
 
 
+def _cuts(merges: DataFrame, ks: DataFrame) -> DataFrame:
+    """dataset, k, step, a, b, kept: whether a merge is done when at most k clusters are to remain. Merges of equal height are done
+    together, so that ties give fewer clusters."""
+    m = merges.withColumn("last", F.max("step").over(Window.partitionBy("dataset"))).crossJoin(F.broadcast(ks))
+    limit = F.max(F.when(F.col("step") <= F.col("last") - (F.col("k") - 1), F.col("height"))).over(Window.partitionBy("dataset", "k"))
+    return m.select("dataset", "k", "step", "a", "b", F.coalesce(F.col("height") <= limit, F.lit(False)).alias("kept"))
+
+
 def cut_tree(merges: DataFrame, k: int) -> DataFrame:
-    """dataset, node, part: nodes of the linkage that are whole clusters when all but the k - 1 highest merges are done."""
-    n = F.max("step").over(Window.partitionBy("dataset"))
-    done = merges.withColumn("last", n).withColumn("kept", F.col("step") <= F.col("last") - (k - 1))
-    undone = done.where("not kept").select("dataset", F.explode(F.array("a", "b")).alias("node"), "last")
-    return undone.where(F.col("node") <= F.col("last") - (k - 1)).select("dataset", "node").withColumn("part", F.row_number().over(Window.partitionBy("dataset").orderBy("node")) - 1)
-
-
-def sweep(grid: Iterable[tuple[float, float]], cluster_fn: Callable[[float, float], DataFrame], taxa: DataFrame, spaces: dict[str, DataFrame], min_size: int = 10) -> DataFrame:
-    """Candidates of a grid of (threshold, coverage), all scored in one job; cluster_fn gives (taxon_id, rep) of one point."""
-    labels, where = None, []
-    for i, (threshold, coverage) in enumerate(grid):
-        one = partitions.label_partition(cluster_fn(threshold, coverage), taxa).select(F.lit(f"g{i}").alias("candidate_id"), "taxon_id", "label")
-        labels = one if labels is None else labels.unionByName(one)
-        where.append((f"g{i}", i, float(threshold), float(coverage)))
-    at = taxa.sparkSession.createDataFrame(where, "candidate_id string, grid_pos int, threshold double, coverage double")
-    return at.join(partitions.score(labels, spaces, min_size), "candidate_id")
+    """dataset, node, part: nodes of the linkage that are whole clusters when it is cut into at most k."""
+    c = _cuts(merges, merges.sparkSession.range(k, k + 1).withColumnRenamed("id", "k"))
+    nodes = c.select("dataset", F.explode(F.array("a", "b")).alias("node"), F.col("kept").alias("inside")).unionByName(c.groupBy("dataset").agg(F.max("step").alias("node")).withColumn("inside", F.lit(False)))
+    done = c.where("not kept").select("dataset", F.col("step").alias("node"))
+    return nodes.where("not inside").join(done, ["dataset", "node"], "left_anti").select("dataset", "node").withColumn("part", F.row_number().over(Window.partitionBy("dataset").orderBy("node")) - 1)
+
+
+def cut_labels(merges: DataFrame, points: DataFrame, ks: Iterable[int]) -> DataFrame:
+    """dataset, k, taxon_id, label of every leaf at every cut; a cluster's label is its highest node. Pointers to parents are
+    doubled until all are at the top, all groups and cuts together."""
+    spark, by = merges.sparkSession, ["dataset", "k"]
+    c = _cuts(merges, spark.createDataFrame([(k,) for k in ks], "k long")).where("kept")
+    up = cut(c.select(*by, F.explode(F.array("a", "b")).alias("node"), F.col("step").alias("to")))
+    while True:
+        jump = up.select(*by, F.col("node").alias("to"), F.col("to").alias("top"))
+        nxt = cut(up.join(jump, [*by, "to"], "left").select(*by, "node", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")))
+        up = nxt.drop("moved")
+        if nxt.where("moved").isEmpty():
+            break
+    leaf = points.select("dataset", "taxon_id", (F.row_number().over(Window.partitionBy("dataset").orderBy("taxon_id")) - 1).cast("long").alias("node"))
+    every = leaf.crossJoin(F.broadcast(spark.createDataFrame([(k,) for k in ks], "k long")))
+    return every.join(up, [*by, "node"], "left").select(*by, "taxon_id", F.coalesce("to", "node").alias("label"))
+
+
+def silhouette_profile(points: DataFrame, merges: DataFrame, max_k: int = 20) -> DataFrame:
+    """dataset, k, score, sizes, is_peak, is_best of the cuts into 2 to max_k clusters (below the number of points) of each group's
+    linkage, by mean cosine silhouette. A peak is no lower than its neighbours, and above PEAK unless it is the first; the
+    best is the first with the greatest score. Cuts that ties leave with one cluster give no row; the members are cut_labels()."""
+    labels = cut(cut_labels(merges, points, range(2, max_k + 1)))
+    n = F.count("*").over(Window.partitionBy("dataset", "k"))
+    inside = labels.withColumn("n", n).where("k < n").drop("n").join(points.select("dataset", "taxon_id", "vec"), ["dataset", "taxon_id"])
+    size = labels.groupBy("dataset", "k", "label").agg(F.count("*").alias("n")).groupBy("dataset", "k").agg(F.sort_array(F.collect_list("n"), asc=False).alias("sizes"))
+    s = partitions.silhouette(inside, ("dataset", "k")).where(F.col("silhouette").isNotNull()).join(size, ["dataset", "k"])
+    w = Window.partitionBy("dataset").orderBy("k")
+    # digits beyond the tenth are those of summing; a tie stays one
+    score, before, after = F.round("silhouette", 10), F.lag(F.round("silhouette", 10)).over(w), F.lead(F.round("silhouette", 10)).over(w)
+    peak = F.coalesce(score >= before, F.lit(True)) & F.coalesce(score >= after, F.lit(True)) & ((score > PEAK) | before.isNull())
+    first = F.row_number().over(Window.partitionBy("dataset").orderBy(score.desc(), "k"))
+    return s.select("dataset", "k", F.round("silhouette", 4).alias("score"), "sizes", peak.alias("is_peak"), (first == 1).alias("is_best"))
+
+
+def sweep(pairs: DataFrame, taxa: DataFrame, kind: str, grid: Iterable[tuple[float, float]], spaces: dict[str, DataFrame], min_size: int = 10) -> DataFrame:
+    """Candidates of a grid of (threshold, coverage), clustered from one pair table and scored in one job."""
+    at = taxa.sparkSession.createDataFrame([(f"g{i}", float(t), float(c)) for i, (t, c) in enumerate(grid)], GRID)
+    found = cut(cluster_grid(pairs, taxa, kind, at))
+    label = found.select("candidate_id", "rep").distinct().withColumn("label", F.dense_rank().over(Window.partitionBy("candidate_id").orderBy("rep")) - 1)  # one row a cluster
+    labels = found.join(label, ["candidate_id", "rep"]).select("candidate_id", "taxon_id", "label")
+    return at.withColumn("grid_pos", F.substring("candidate_id", 2, 9).cast("int")).join(partitions.score(labels, spaces, min_size), "candidate_id")
 
 
 def sweep_k(vectors: DataFrame, ks: Iterable[int], min_size: int = 10, min_retained: float = 0.70) -> DataFrame:

@@ -57,8 +57,8 @@ def silhouette(points: DataFrame, by: tuple = ("candidate_id",)) -> DataFrame:
     a = F.max(F.when(own & (F.col("n") > 1), (F.col("n") - F.col("us") - (1 - self_similarity)) / (F.col("n") - 1)))
     each = met.groupBy(*by, "taxon_id", "label").agg(a.alias("a"), F.min(F.when(~own, 1 - F.col("us") / F.col("n"))).alias("b"))
     score = F.when(F.col("a").isNull(), 0.0).when(F.greatest("a", "b") > 0, (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(0.0)
-    out = each.groupBy(*by).agg(F.avg(score).alias("s"), F.count("*").alias("n"), F.count_distinct("label").alias("k"))
-    return out.select(*by, F.when((F.col("k") >= 2) & (F.col("n") > F.col("k")), F.col("s")).alias("silhouette"))
+    out = each.groupBy(*by).agg(F.avg(score).alias("s"), F.count("*").alias("n"), F.count_distinct("label").alias("parts"))
+    return out.select(*by, F.when((F.col("parts") >= 2) & (F.col("n") > F.col("parts")), F.col("s")).alias("silhouette"))
 
 
 def scoped_silhouette(points: DataFrame, min_size: int, by: tuple = ("candidate_id",)) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.operators import clusters as op, distances
 from taxaloom.plans import adapters as ad
-from taxaloom.session import table
+from taxaloom.session import cut, table
 from taxaloom.streaming import monitor
 
 
@@ -41,6 +41,18 @@ def c10_cut_tree(spark, d):
     return op.cut_tree(op.linkage(_datasets(spark, d)), 4)
 
 
+def c11_silhouette_profile(spark, d):
+    p = _datasets(spark, d)
+    return op.silhouette_profile(p, cut(op.linkage(p)), 10)
+
+
+def c16_sweep(spark, d):
+    v = ad.vectors(spark, d)
+    p = distances.pairs(v, "cosine", by=("label",)).select("a", "b", F.col("d").alias("score"), F.lit(1.0).alias("coverage"))
+    found = op.sweep(p, v, "evalue", [(0.2, 0.0), (0.5, 0.0), (0.8, 0.0)], {"vectors": v}, 4)
+    return found.select("candidate_id", "threshold", "grid_pos", "n_clusters", "usable", "retained_fraction", F.round(F.col("silhouette")["vectors"], 6).alias("silhouette"))
+
+
 def c17_sweep_k(spark, d):
     return op.sweep_k(ad.vectors(spark, d), [2, 4, 8]).select("candidate_id", "n_clusters", "usable", "chosen")
 

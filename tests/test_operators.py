@@ -1,11 +1,13 @@
 """Operators on small literals with results worked out by hand."""
 
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import alignment, hits, metadata, partitions, trees
+from taxaloom.operators import alignment, clusters, hits, metadata, partitions, trees
 from taxaloom.operators.rounds import greedy_representatives
 from taxaloom.session import cut
 from taxaloom.sources import readers
@@ -109,8 +111,6 @@ def test_rerooting_keeps_path_lengths(spark):
 
 @pytest.mark.parametrize("method", ["average", "ward"])
 def test_linkage_of_groups_over_the_limit(spark, monkeypatch, method):
-    from taxaloom.operators import clusters
-
     rng = random.Random(3)
     points = spark.createDataFrame([(g, f"t{i:02}", [rng.gauss(0, 1) for _ in range(3)]) for g, n in (("x", 9), ("y", 4)) for i in range(n)], "dataset string, taxon_id string, vec array<double>").cache()
     listed = lambda: sorted((r["dataset"], r["step"], r["a"], r["b"], round(r["height"], 9), r["size"]) for r in clusters.linkage(points, method).collect())
@@ -119,6 +119,84 @@ def test_linkage_of_groups_over_the_limit(spark, monkeypatch, method):
     assert len(want) == 11 and listed() == want
 
 
+def _mean_silhouette(x, labels):
+    """Mean cosine silhouette from all distances."""
+    u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    d = 1 - u @ u.T
+    out = []
+    for i, c in enumerate(labels):
+        own = [j for j in range(len(x)) if labels[j] == c and j != i]
+        if not own:
+            out.append(0.0)
+            continue
+        a, b = d[i, own].mean(), min(d[i, [j for j in range(len(x)) if labels[j] == o]].mean() for o in set(labels) - {c})
+        out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return float(np.mean(out))
+
+
+def test_silhouette_profile_equals_all_distances(spark):
+    rng = np.random.default_rng(5)
+    groups = {"x": rng.normal(size=(11, 3)), "pair": rng.normal(size=(2, 3))}
+    rows = [(g, f"t{i:02}", v.tolist()) for g, x in groups.items() for i, v in enumerate(x)]
+    points = spark.createDataFrame(rows, "dataset string, taxon_id string, vec array<double>").cache()
+    merges = cut(clusters.linkage(points))
+    labels = clusters.cut_labels(merges, points, range(2, 7)).where("dataset = 'x'").toPandas()
+    found = clusters.silhouette_profile(points, merges, 6).orderBy("k").collect()
+    assert {r["dataset"] for r in found} == {"x"} and [r["k"] for r in found] == [2, 3, 4, 5, 6]  # two points have no cut below their number
+    scores = []
+    for r in found:
+        own = labels[labels["k"] == r["k"]].sort_values("taxon_id")["label"].tolist()
+        assert len(set(own)) == r["k"] == clusters.cut_tree(merges, r["k"]).where("dataset = 'x'").count()
+        assert sorted(Counter(own).values(), reverse=True) == r["sizes"]
+        scores.append(_mean_silhouette(groups["x"], own))
+        assert abs(scores[-1] - r["score"]) < 1e-4
+    padded = [-2, *scores, -2]
+    assert [r["is_peak"] for r in found] == [padded[i + 1] >= max(padded[i], padded[i + 2]) and (i == 0 or padded[i + 1] > 0.35) for i in range(5)]
+    assert [r["k"] for r in found if r["is_best"]] == [2 + int(np.argmax(scores))]
+
+
+def test_cuts_of_equal_heights_are_done_together(spark):
+    merges = spark.createDataFrame([("d", 4, 0, 1, 0.1, 2), ("d", 5, 2, 3, 0.1, 2), ("d", 6, 4, 5, 0.9, 4)], "dataset string, step long, a long, b long, height double, size long")
+    assert [sorted(r["node"] for r in clusters.cut_tree(merges, k).collect()) for k in (1, 2, 3, 4)] == [[6], [4, 5], [4, 5], [0, 1, 2, 3]]
+
+
+def test_kmer_pairs_equal_all_pairs(spark):
+    random.seed(4)
+    seqs = {}
+    for f in range(4):
+        root = [random.choice("ACDE") for _ in range(40)]
+        for i in range(12):
+            one = list(root)
+            for _ in range(random.randrange(4)):
+                one[random.randrange(40)] = random.choice("ACDE")
+            seqs[f"f{f}.{i:02}"] = "".join(one)[: random.randrange(30, 41)]
+    mers = {t: {s[i : i + 4] for i in range(len(s) - 3)} for t, s in seqs.items()}
+    df = spark.createDataFrame(sorted(seqs.items()), "taxon_id string, seq string")
+    for least, coverage in ((0.7, 0.8), (0.3, 0.0), (0.0, 0.0)):
+        want = {(a, b) for a in mers for b in mers if a < b and mers[a] & mers[b] and len(mers[a] & mers[b]) >= least * min(len(mers[a]), len(mers[b])) and min(len(mers[a]), len(mers[b])) >= coverage * max(len(mers[a]), len(mers[b]))}
+        assert {(r["a"], r["b"]) for r in clusters.kmer_pairs(df, least, coverage, 4).collect()} == want and want
+
+
+def test_large_families_stay_together(spark):
+    family = [(f"t{i:03}", "MKLVNDPQRSTWYACDEFGH" * 3 + "ACDEFGHIKL"[i % 10]) for i in range(450)]
+    df = spark.createDataFrame([*family, ("none", None)], "taxon_id string, seq string")
+    found = clusters.sequence_cluster(df, 0.95, 0.8)
+    assert found.count() == 451 and found.select("rep").distinct().count() == 2
+
+
+def test_grid_equals_its_points(spark):
+    random.seed(7)
+    taxa = spark.createDataFrame([(f"t{i:02}",) for i in range(20)], "taxon_id string")
+    rows = [(f"t{a:02}", f"t{b:02}", random.random(), random.random()) for a in range(20) for b in range(a) if random.random() < 0.4]
+    pairs = spark.createDataFrame(rows, "a string, b string, score double, coverage double").cache()
+    grid = [(0.2, 0.5), (0.6, 0.0)]
+    space = spark.createDataFrame([(f"t{i:02}", [random.random() for _ in range(3)]) for i in range(20)], "taxon_id string, vec array<double>")
+    found = {r["candidate_id"]: r for r in clusters.sweep(pairs, taxa, "evalue", grid, {"s": space}, 2).collect()}
+    for i, (threshold, coverage) in enumerate(grid):
+        one = clusters.cluster_from_pairs(pairs, taxa, "evalue", threshold, coverage).toPandas()
+        assert sorted(one["rep"].value_counts(), reverse=True) == found[f"g{i}"]["sizes"] and len(one) == found[f"g{i}"]["taxa_total"] == 20
+
+
 def test_hit_names_and_kinds(spark):
     rows = [("A0A7M2QE25 ORF8 protein", "bfvd_v3", "A0A7M2QE25"), ("af_A0A2R8QEK5_306_422_2.60.120.290", "cath50", "A0A2R8QEK5_306-422"), ("2hey-assembly1.cif.gz_F Crystal structure", "pdb100", "2HEY_F"), ("AF-P12345-F1-model_v4", "afdb50", "P12345"), ("1abc_A", "pdb100", "1ABC"), ("longname x", "pdb100", "longname"), ("AF-P12345-F1-model_v4", "mgnify_esm30", "P12345")]
     found = spark.createDataFrame(rows, "target string, db string, want string").select("want", hits.accession(F.col("target"), F.col("db")).alias("got")).collect()
