@@ -340,6 +340,41 @@ def merges_to_newick(merges: DataFrame, leaves: DataFrame) -> DataFrame:
     return g.withColumn("start", start).withColumn("all", F.expr(fold)).select("dataset", F.concat(F.col("all")[F.element_at("m", -1)["step"]]["t"], F.lit(";")).alias("newick"))
 
 
+def resolve_polytomies(nodes: DataFrame, seed: int = 1) -> DataFrame:
+    """nodes in which the root has three children and all other inner nodes two, and resolves, the node that an added one resolves.
+
+    Single children merge, a root of two takes in the children of its first one that is no leaf, and surplus children are joined
+    one after the other, in an order drawn from the seed, by branches of TINY length. Branches without a positive length get
+    that too. Inner names go; ids become strings. Tips have distinct names in a tree.
+    """
+    n = cut(prune(nodes, tips(nodes)).withColumn("node_id", F.col("node_id").cast("string")).withColumn("parent_id", F.col("parent_id").cast("string")))
+    root = n.where("parent_id is null").select("tree_id", F.col("node_id").alias("root"))
+    inner = F.min(F.when(~F.col("is_leaf"), F.struct("lo", "hi", "node_id", "length")))
+    two = n.join(root, "tree_id").where("parent_id = root").groupBy("tree_id").agg(F.count("*").alias("c"), inner.alias("m")).where("c = 2 and m is not null")
+    j = n.join(root, "tree_id").join(two.select("tree_id", "m"), "tree_id", "left").where("m is null or node_id <> m.node_id")
+    inside = F.expr("coalesce(lo >= m.lo and hi <= m.hi and node_id <> root, false)").cast("int")
+    length = F.coalesce("length", F.lit(0.0)) + F.expr("if(parent_id = root, coalesce(m.length, 0), 0)")
+    flat = cut(j.select("tree_id", "node_id", F.expr("if(parent_id = m.node_id, root, parent_id)").alias("parent_id"), (F.col("depth") - inside).alias("depth"), "lo", "hi", "is_leaf", "name", length.alias("length"), (F.col("node_id") == F.col("root")).alias("is_root")))
+    # children in the drawn order, and what it makes of the intervals
+    place = _reorder(below(flat), F.xxhash64(F.lit(seed), F.array_min("tips")))
+    leaf = flat.where("is_leaf").select("tree_id", "name", F.col("lo").alias("leaf")).join(place, ["tree_id", "name"]).select("tree_id", "leaf", "rank")
+    ends = flat.select("tree_id", "node_id", F.explode(F.sequence("lo", "hi")).alias("leaf")).join(leaf, ["tree_id", "leaf"]).groupBy("tree_id", "node_id").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+    up = flat.select("tree_id", F.col("node_id").alias("parent_id"), F.when(F.col("is_root"), 3).otherwise(2).alias("target"))
+    put = flat.drop("lo", "hi").join(ends, ["tree_id", "node_id"]).join(up, ["tree_id", "parent_id"], "left")
+    w = Window.partitionBy("tree_id", "parent_id")
+    put = put.withColumn("j", F.row_number().over(w.orderBy("lo"))).withColumn("joins", F.greatest(F.count("*").over(w) - F.coalesce("target", F.lit(9)), F.lit(0))).withColumn("from", F.min("lo").over(w))
+    # the i-th added node has children 1 to i + 1 below it
+    above = F.when(F.col("joins") == 0, 0).when(F.col("j") == 1, F.col("joins")).otherwise(F.greatest(F.col("joins") - F.col("j") + 2, F.lit(0)))
+    put = put.withColumn("above", above.cast("int"))
+    shift = node_depths(put.withColumn("length", F.col("above").cast("double"))).select("tree_id", "node_id", F.col("dist").cast("int").alias("shift"))
+    put = cut(put.join(shift, ["tree_id", "node_id"]))
+    added = lambda i: F.concat("parent_id", F.lit("+"), i.cast("string"))
+    old = put.select("tree_id", "node_id", F.when(F.col("above") > 0, added(F.greatest(F.col("j") - 1, F.lit(1)))).otherwise(F.col("parent_id")).alias("parent_id"), (F.col("depth") + F.col("shift")).alias("depth"), "lo", "hi", "is_leaf", "name", F.when(F.col("parent_id").isNull(), 0.0).when(F.col("length") > 0, F.col("length")).otherwise(TINY).alias("length"), F.lit(None).cast("string").alias("resolves"))
+    i = F.col("j") - 1
+    new = put.where("j between 2 and joins + 1").select("tree_id", added(i).alias("node_id"), F.when(i < F.col("joins"), added(i + 1)).otherwise(F.col("parent_id")).alias("parent_id"), (F.col("depth") + F.col("shift") - F.col("above") + F.col("joins") - i).cast("int").alias("depth"), F.col("from").alias("lo"), "hi", F.lit(False).alias("is_leaf"), F.lit(None).cast("string").alias("name"), F.lit(TINY).alias("length"), F.col("parent_id").alias("resolves"))
+    return old.unionByName(new)
+
+
 def _path(nodes: DataFrame, at: DataFrame) -> DataFrame:
     """nodes with the chosen node's xl, xh, xd, and i, place and depth of the lowest node on its way to the root that holds them
     (i counts from its parent, 1)."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaloom.operators import trees as op
-from taxaloom.session import table
+from taxaloom.session import cut, table
 
 
 def _leaves(spark, d):
@@ -139,6 +139,13 @@ def d23_validate(spark, d):
     return op.validate(_a(spark, d), _leaves(spark, d).where("length > 0.15").select("tree_id", "name"))
 
 
+def d24_resolve_polytomies(spark, d):
+    n = cut(op.resolve_polytomies(_a(spark, d)))
+    kids = n.where("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.count("*").alias("kids")).groupBy("tree_id").agg(F.max("kids").alias("kids"))
+    size = n.groupBy("tree_id").agg(F.count_if("is_leaf").alias("tips"), F.count("*").alias("nodes"), F.count_if((F.col("length") <= 0) & F.col("parent_id").isNotNull()).alias("no_length"))
+    return size.join(kids, "tree_id", "left").select("tree_id", "tips", "nodes", "no_length", "kids")
+
+
 def d28_congruence(spark, d):
     a, b = _a(spark, d), _b(spark, d)
     out = op.robinson_foulds(a, b).join(op.cophenetic_r(a, b), "tree_id").join(op.crossings(a, b), "tree_id")
@@ -181,6 +188,7 @@ _INFO = "cnt AS (SELECT b.tree_id, node_id, depth, lo, hi, value, count(*) AS n
 _LABEL = "CASE WHEN l_linenumber % 3 = 0 THEN CAST(trunc(l_quantity) AS INT) || '/' || (l_linenumber * 10) WHEN l_linenumber % 3 = 1 THEN CAST(l_discount AS VARCHAR) ELSE l_returnflag END"
 
 SQL = {
+    "d24_resolve_polytomies": "SELECT c_nationkey AS tree_id, count(*) AS tips, CASE count(*) WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 2 * count(*) - 2 END AS nodes, CAST(0 AS BIGINT) AS no_length, CASE WHEN count(*) > 1 THEN least(3, count(*)) END AS kids FROM customer GROUP BY 1",
     "d1_parse_newick": f"{_W} SELECT tree_id, depth, lo, hi, is_leaf, name, round(length, 6) AS length FROM a",
     "d2_support_values": f"WITH l AS (SELECT {_LABEL} AS label, CASE WHEN l_linenumber % 3 = 0 THEN trunc(l_quantity) END AS alrt, CASE WHEN l_linenumber % 3 = 0 THEN l_linenumber * 10.0 END AS ufboot, CASE WHEN l_linenumber % 3 = 0 THEN l_linenumber * 10.0 WHEN l_linenumber % 3 = 1 THEN CASE WHEN l_discount > 0 THEN l_discount * 100 ELSE l_discount END END AS support, CASE WHEN l_linenumber % 3 = 2 THEN l_returnflag END AS clade_name FROM lineitem) SELECT label, alrt, ufboot, support, clade_name, count(*) AS n FROM l GROUP BY ALL",
     "d3_support_kind": f"""{_W}, kids AS (SELECT tree_id, 'r' AS node_id, count(DISTINCT seg) AS n FROM leaves GROUP BY 1 UNION ALL SELECT tree_id, 'r/' || seg, count(DISTINCT band) FROM leaves GROUP BY tree_id, seg UNION ALL SELECT tree_id, 'r/' || seg || '/' || band, count(*) FROM leaves GROUP BY tree_id, seg, band),

@@ -72,6 +72,28 @@ def test_newick(spark):
     assert p["a", "b"] == 3.0 and p["a", "f"] == 4.5 and p["d", "e"] == 3.0 and p["a", "c"] == 3.5
 
 
+def test_polytomies_are_resolved(spark):
+    given = [("x", "((a:1,b:1,c:0,d:1,e:2)p:1,(f:1,(g:1)u:2):3,h:1,i:1);"), ("two", "((a:1,b:2):0.5,(c:1,d:1,e:1):0.25);"), ("pair", "(a:1,b:1);"), ("bin", "(a:1,b:1,(c:1,d:1):1);")]
+    n = trees.parse_newick(spark.createDataFrame(given, "tree_id string, newick string"))
+    out = cut(trees.resolve_polytomies(n, 3))
+    text = {r["tree_id"]: r["newick"] for r in trees.write_newick(out).collect()}
+    again = trees.parse_newick(spark.createDataFrame(sorted(text.items()), "tree_id string, newick string"))
+    kids = {}
+    for r in again.where("parent_id is not null").groupBy("tree_id", "parent_id").count().join(again.select("tree_id", F.col("node_id").alias("parent_id"), "depth"), ["tree_id", "parent_id"]).collect():
+        kids.setdefault(r["tree_id"], set()).add((r["depth"] == 0, r["count"]))
+    assert kids == {"x": {(True, 3), (False, 2)}, "two": {(True, 3), (False, 2)}, "pair": {(True, 2)}, "bin": {(True, 3), (False, 2)}}
+    # numbering is that of the text
+    shape = lambda t: sorted((r["tree_id"], r["depth"], r["lo"], r["hi"], r["name"] or "", round(r["length"], 6)) for r in t.collect())
+    assert shape(out) == shape(again)
+    resolved = {r["tree_id"]: r["n"] for r in out.groupBy("tree_id").agg(F.count_distinct("resolves").alias("n")).collect()}
+    assert resolved == {"x": 2, "two": 1, "pair": 0, "bin": 0}
+    lengths = {r["name"]: r["length"] for r in out.where("tree_id = 'x' and is_leaf").collect()}
+    assert lengths["g"] == 3.0 and lengths["c"] == 1e-6 and lengths["e"] == 2.0
+    sides = lambda t: {r["tree_id"] + "".join(sorted(r["tips"])) for r in trees.below(t).where("not is_leaf").collect()}
+    assert {"xabcde", "xfg"} <= sides(out) and ({"twoab"} <= sides(out) or {"twocde"} <= sides(out))
+    assert shape(out) == shape(trees.resolve_polytomies(n, 3))
+
+
 def test_prune_merges_single_children(spark):
     n = trees.parse_newick(spark.createDataFrame(NEWICK[:1], "tree_id int, newick string"))
     keep = spark.createDataFrame([(1, "a"), (1, "d"), (1, "e")], "tree_id int, name string")
