@@ -88,6 +88,14 @@ def plm_cluster(vectors: DataFrame, k: int, algorithm: str = "kmeans", cosine: b
     return best.transform(v).select("taxon_id", F.col("prediction").alias("label"))
 
 
+def _distances(group: pd.DataFrame, metric: str) -> np.ndarray:
+    x = np.stack(group["vec"]).astype(float)
+    if metric == "cosine":
+        u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        return 1 - np.clip(u @ u.T, -1, 1)
+    return np.sqrt(np.maximum(((x[:, None] - x[None]) ** 2).sum(-1), 0))
+
+
 def _merge(x: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
     """Merges by nearest-neighbour chains from a distance matrix."""
     n, d = len(x), x.astype(float).copy()
@@ -185,13 +193,7 @@ def linkage(points: DataFrame, method: str = "average", metric: str = "cosine")
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("taxon_id")
-        x = np.stack(g["vec"]).astype(float)
-        if metric == "cosine":
-            u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-            d = 1 - np.clip(u @ u.T, -1, 1)
-        else:
-            d = np.sqrt(np.maximum(((x[:, None] - x[None]) ** 2).sum(-1), 0))
-        rows = _merge(d, method)
+        rows = _merge(_distances(g, metric), method)
         return pd.DataFrame([(g["dataset"].iloc[0], len(g) + i, *r) for i, r in enumerate(rows)], columns=["dataset", "step", "a", "b", "height", "size"])
 
     size = points.groupBy("dataset").agg(F.count("*").alias("n"))
@@ -201,6 +203,44 @@ def linkage(points: DataFrame, method: str = "average", metric: str = "cosine")
     return done.unionByName(_linkage_rounds(points.where(is_large), method, metric)) if large else done
 
 
+def _neighbors(x: np.ndarray) -> list[tuple[int, int, float]]:
+    """node, parent, length of the tree that neighbour joining gives; the last parent is the root."""
+    d, ids, new, out = x.astype(float).copy(), list(range(len(x))), len(x), []
+    np.fill_diagonal(d, 0)
+    while len(ids) > 3:
+        m, r = len(ids), d.sum(1)
+        q = (m - 2) * d - r[:, None] - r[None]
+        np.fill_diagonal(q, np.inf)
+        i, j = sorted(divmod(int(np.argmin(q)), m))
+        to_i = d[i, j] / 2 + (r[i] - r[j]) / (2 * (m - 2))
+        out += [(ids[i], new, to_i), (ids[j], new, d[i, j] - to_i)]
+        d[i] = d[:, i] = (d[i] + d[j] - d[i, j]) / 2
+        d[i, i], ids[i] = 0, new
+        d, new = np.delete(np.delete(d, j, 0), j, 1), new + 1
+        del ids[j]
+    if len(ids) == 3:
+        half = d.sum() / 4
+        return out + [(ids[i], new, half - d[(i + 1) % 3, (i + 2) % 3]) for i in range(3)]
+    return out + [(i, new, d[0, 1] / 2) for i in ids] if len(ids) == 2 else out
+
+
+def neighbor_joining(points: DataFrame, metric: str = "cosine") -> DataFrame:
+    """dataset, node, parent, taxon_id, length: each group's tree as edges, leaves numbered by taxon_id, the root (no row of its own)
+    with three children, or with two halfway between two leaves; a single leaf gives no row. One group runs in a task, side by
+    side with the others, since each join depends on the last; groups over GROUP_LIMIT are an error."""
+    large = points.groupBy("dataset").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_LIMIT).select("dataset").head(5)
+    if large:
+        raise ValueError(f"more than {GROUP_LIMIT} members, cut these groups first: {[r['dataset'] for r in large]}")
+
+    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        g = group.sort_values("taxon_id")
+        names = g["taxon_id"].tolist()
+        rows = [(g["dataset"].iloc[0], node, parent, names[node] if node < len(names) else None, float(length)) for node, parent, length in _neighbors(_distances(g, metric))]
+        return pd.DataFrame(rows, columns=["dataset", "node", "parent", "taxon_id", "length"])
+
+    return points.groupBy("dataset").applyInPandas(joined, "dataset string, node long, parent long, taxon_id string, length double")
+
+
 def _cuts(merges: DataFrame, ks: DataFrame) -> DataFrame:
     """dataset, k, step, a, b, kept: whether a merge is done when at most k clusters are to remain. Merges of equal height are done
     together, so that ties give fewer clusters."""

@@ -37,6 +37,11 @@ def c8_linkage(spark, d):
     return op.linkage(_datasets(spark, d)).select("dataset", "step", "a", "b", F.round("height", 6).alias("height"), "size")
 
 
+def c9_neighbor_joining(spark, d):
+    e = op.neighbor_joining(_datasets(spark, d))
+    return e.groupBy("dataset").agg(F.count("taxon_id").alias("leaves"), F.count("*").alias("edges"), F.count_distinct("parent").alias("joins"))
+
+
 def c10_cut_tree(spark, d):
     return op.cut_tree(op.linkage(_datasets(spark, d)), 4)
 
@@ -79,6 +84,7 @@ QUERIES = {k: f for k, f in globals().items() if k[:1] in "ch" and k[1:2].isdigi
 
 SQL = {
     "c1_embedding_pairs": f"WITH {ad.VECTORS}, u AS (SELECT label, taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT x.label, x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.label = y.label AND x.taxon_id < y.taxon_id",
+    "c9_neighbor_joining": f"WITH {ad.VECTORS} SELECT 'l' || label AS dataset, count(*) AS leaves, CASE count(*) WHEN 2 THEN 2 ELSE 2 * count(*) - 3 END AS edges, greatest(count(*) - 2, 1) AS joins FROM vectors GROUP BY label HAVING count(*) > 1",
     "c29_project_2d": f"WITH {ad.VECTORS} SELECT taxon_id, true AS x_in, true AS y_in FROM vectors",
     "c30_embed_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id, CAST(64 AS INT) AS dim, 1.0 AS total FROM sequences",
     "h1_gate_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id FROM sequences WHERE length(seq) >= 120",

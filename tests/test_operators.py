@@ -141,6 +141,36 @@ def test_linkage_of_groups_over_the_limit(spark, monkeypatch, method):
     assert len(want) == 11 and listed() == want
 
 
+def test_neighbor_joining_finds_additive_trees(spark, monkeypatch):
+    rng = random.Random(2)
+    edges, n = {}, 8  # a random tree over n leaves
+    top, new = list(range(n)), n
+    while len(top) > 3:
+        a, b = (top.pop(rng.randrange(len(top))) for _ in range(2))
+        edges[a], edges[b] = (new, rng.uniform(0.5, 2)), (new, rng.uniform(0.5, 2))
+        top, new = [*top, new], new + 1
+    edges |= {x: (new, rng.uniform(0.5, 2)) for x in top}
+
+    def ways(edges):
+        up = {}
+        for x in range(n):
+            up[x], at, far = {}, x, 0.0
+            while True:
+                up[x][at] = far
+                if at not in edges:
+                    break
+                at, far = edges[at][0], far + edges[at][1]
+        return np.array([[min(up[a][m] + up[b][m] for m in up[a].keys() & up[b].keys()) for b in range(n)] for a in range(n)])
+
+    found = clusters._neighbors(ways(edges))
+    assert len(found) == 2 * n - 3 and np.allclose(ways({x: (p, w) for x, p, w in found}), ways(edges))
+    points = spark.createDataFrame([("one", "a", [1.0, 0.0]), ("two", "a", [0.0, 0.0]), ("two", "b", [3.0, 4.0])], "dataset string, taxon_id string, vec array<double>")
+    assert sorted((r["dataset"], r["node"], r["parent"], r["taxon_id"], r["length"]) for r in clusters.neighbor_joining(points, "euclidean").collect()) == [("two", 0, 2, "a", 2.5), ("two", 1, 2, "b", 2.5)]
+    monkeypatch.setattr(clusters, "GROUP_LIMIT", 1)
+    with pytest.raises(ValueError, match="two"):
+        clusters.neighbor_joining(points)
+
+
 def _mean_silhouette(x, labels):
     """Mean cosine silhouette from all distances."""
     u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
