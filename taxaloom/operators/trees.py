@@ -452,7 +452,12 @@ def tree_catalog(files: DataFrame) -> DataFrame:
     return files.withColumn("rank", rank).where("rank is not null").withColumn("k", k).where("k = 1").drop("k", "rank")
 
 
-def tree_provenance(clusters: DataFrame, own: DataFrame, whole: DataFrame) -> DataFrame:
-    """Which tree shows a cluster (run, cluster): its own, the whole set's pruned to it, or none; and why."""
-    c = clusters.join(own.select("run", "cluster", F.lit(True).alias("own")), ["run", "cluster"], "left").join(whole.select("run", F.lit(True).alias("whole")).distinct(), "run", "left")
-    return c.select("run", "cluster", F.when(F.col("own"), "own tree").when(F.col("whole"), "pruned whole-set tree").otherwise("none").alias("tree"), F.when(F.col("own"), "a tree was made for this cluster").when(F.col("whole"), "no tree of its own: the whole set's, cut to its taxa").otherwise("no tree in this run").alias("reason"))
+def tree_provenance(clusters: DataFrame, own: DataFrame) -> DataFrame:
+    """Which tree shows a cluster (run, cluster; "all" is the whole set): the whole set's, its own, or the whole set's pruned to its
+    taxa, and why; own lists the clusters (run, cluster) with a tree."""
+    has = own.select("run", "cluster").distinct().withColumn("own", F.lit(True))
+    c = clusters.join(has, ["run", "cluster"], "left").join(has.select("run", F.lit(True).alias("some")).distinct(), "run", "left")
+    whole, mine = F.col("cluster") == "all", F.col("own").isNotNull()
+    label = F.when(whole, "Whole-set tree").when(mine, F.concat("cluster", F.lit(" tree"))).otherwise("Whole-set tree, pruned")
+    reason = F.when(whole | mine, F.lit(None)).when(F.col("some"), "this cluster has no tree of its own").otherwise("no per-cluster trees in this run")
+    return c.select("run", "cluster", F.when(whole, "master").when(mine, "cluster").otherwise("master-pruned").alias("kind"), label.alias("label"), reason.alias("reason"))

@@ -146,6 +146,13 @@ def d24_resolve_polytomies(spark, d):
     return size.join(kids, "tree_id", "left").select("tree_id", "tips", "nodes", "no_length", "kids")
 
 
+def d27_tree_provenance(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("run"), F.col("c_mktsegment").alias("cluster"), "c_acctbal")
+    own = c.where("run % 3 > 0").groupBy("run", "cluster").agg(F.max("c_acctbal").alias("top")).where("top > 9000")
+    every = c.select("run", "cluster").distinct()
+    return op.tree_provenance(every.unionByName(every.select("run", F.lit("all").alias("cluster")).distinct()), own)
+
+
 def d28_congruence(spark, d):
     a, b = _a(spark, d), _b(spark, d)
     out = op.robinson_foulds(a, b).join(op.cophenetic_r(a, b), "tree_id").join(op.crossings(a, b), "tree_id")
@@ -188,6 +195,10 @@ _INFO = "cnt AS (SELECT b.tree_id, node_id, depth, lo, hi, value, count(*) AS n
 _LABEL = "CASE WHEN l_linenumber % 3 = 0 THEN CAST(trunc(l_quantity) AS INT) || '/' || (l_linenumber * 10) WHEN l_linenumber % 3 = 1 THEN CAST(l_discount AS VARCHAR) ELSE l_returnflag END"
 
 SQL = {
+    "d27_tree_provenance": """WITH c AS (SELECT c_nationkey AS run, c_mktsegment AS cluster, max(c_acctbal) AS top FROM customer GROUP BY 1, 2), own AS (SELECT run, cluster FROM c WHERE run % 3 > 0 AND top > 9000)
+SELECT run, cluster, CASE WHEN (run, cluster) IN (FROM own) THEN 'cluster' ELSE 'master-pruned' END AS kind, CASE WHEN (run, cluster) IN (FROM own) THEN cluster || ' tree' ELSE 'Whole-set tree, pruned' END AS label,
+  CASE WHEN (run, cluster) IN (FROM own) THEN NULL WHEN run IN (SELECT run FROM own) THEN 'this cluster has no tree of its own' ELSE 'no per-cluster trees in this run' END AS reason FROM c
+UNION ALL SELECT DISTINCT run, 'all', 'master', 'Whole-set tree', NULL FROM c""",
     "d24_resolve_polytomies": "SELECT c_nationkey AS tree_id, count(*) AS tips, CASE count(*) WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 2 * count(*) - 2 END AS nodes, CAST(0 AS BIGINT) AS no_length, CASE WHEN count(*) > 1 THEN least(3, count(*)) END AS kids FROM customer GROUP BY 1",
     "d1_parse_newick": f"{_W} SELECT tree_id, depth, lo, hi, is_leaf, name, round(length, 6) AS length FROM a",
     "d2_support_values": f"WITH l AS (SELECT {_LABEL} AS label, CASE WHEN l_linenumber % 3 = 0 THEN trunc(l_quantity) END AS alrt, CASE WHEN l_linenumber % 3 = 0 THEN l_linenumber * 10.0 END AS ufboot, CASE WHEN l_linenumber % 3 = 0 THEN l_linenumber * 10.0 WHEN l_linenumber % 3 = 1 THEN CASE WHEN l_discount > 0 THEN l_discount * 100 ELSE l_discount END END AS support, CASE WHEN l_linenumber % 3 = 2 THEN l_returnflag END AS clade_name FROM lineitem) SELECT label, alrt, ufboot, support, clade_name, count(*) AS n FROM l GROUP BY ALL",

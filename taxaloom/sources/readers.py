@@ -210,6 +210,14 @@ def input_inventory(spark: SparkSession, path: str, with_content: bool = True) -
     return each.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.array_sort(F.collect_set("ext")).alias("extensions"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "name", "digest"))), "\n"), 256).alias("digest"))
 
 
+def artifact_inventory(declared: DataFrame, path: str) -> DataFrame:
+    """declared outputs (path, and columns of their own) that exist below ``path``, with absolute path and bytes; contents aren't
+    read. Paths are absolute, with or without the scheme of local files; missing and null ones give no row."""
+    bare = F.regexp_replace("path", "^file:/+", "/")
+    found = declared.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(bare.alias("path"), F.col("length").alias("bytes"))
+    return declared.withColumn("path", bare).join(found, "path")
+
+
 def provenance(files: DataFrame) -> DataFrame:
     """dataset and revision from a snapshot's path."""
     return files.select("path", F.nullif(F.regexp_extract("path", r"datasets--([^/]+)/", 1), F.lit("")).alias("dataset"), F.nullif(F.regexp_extract("path", r"/snapshots/([^/]+)/", 1), F.lit("")).alias("revision"))

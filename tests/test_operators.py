@@ -72,6 +72,13 @@ def test_newick(spark):
     assert p["a", "b"] == 3.0 and p["a", "f"] == 4.5 and p["d", "e"] == 3.0 and p["a", "c"] == 3.5
 
 
+def test_inventory_of_outputs(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.nwk").write_text("(a,b);")
+    declared = spark.createDataFrame([("r", f"{tmp_path}/a/x.nwk"), ("s", f"file://{tmp_path}/a/x.nwk"), ("r", f"{tmp_path}/gone"), ("r", None)], "run string, path string")
+    assert sorted((r["run"], r["path"], r["bytes"]) for r in readers.artifact_inventory(declared, str(tmp_path)).collect()) == [("r", f"{tmp_path}/a/x.nwk", 6), ("s", f"{tmp_path}/a/x.nwk", 6)]
+
+
 def test_polytomies_are_resolved(spark):
     given = [("x", "((a:1,b:1,c:0,d:1,e:2)p:1,(f:1,(g:1)u:2):3,h:1,i:1);"), ("two", "((a:1,b:2):0.5,(c:1,d:1,e:1):0.25);"), ("pair", "(a:1,b:1);"), ("bin", "(a:1,b:1,(c:1,d:1):1);")]
     n = trees.parse_newick(spark.createDataFrame(given, "tree_id string, newick string"))
