@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.llm import byte_bpe, chat, fingerprint, language_id, manifest, mixing, ngram_join, pii, search, sharding, token_counts
+from taxaloom.llm import byte_bpe, chat, fingerprint, language_id, manifest, mixing, ngram_join, packing, pii, search, sharding, token_counts
 from taxaloom.session import table
 
 #: Where the vocabulary file lies; a parameter, since on a cluster it is put where all machines see it.
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PACKING_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +59,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op4_token_counts, op5_sharding, op6_mixing, op7_exact_top_k, op8_chat_format, op9_fingerprint, op10_personal_data, op12_merkle_manifest)}
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), byte_bpe.load_ranks(spark, PACKING_VOCABULARY))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op4_token_counts, op5_sharding, op6_mixing, op7_exact_top_k, op8_chat_format, op9_fingerprint, op10_personal_data, op12_merkle_manifest, op13_packing)}
 
 SQL: dict[str, str] = {"op4_token_counts": token_counts.REPLAY_SQL, "op12_merkle_manifest": manifest.SQL}
