@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.llm import byte_bpe, chat, fingerprint, language_id, manifest, mixing, ngram_join, packing, pii, search, sharding, token_counts
+from taxaloom.llm import byte_bpe, chat, fingerprint, language_id, manifest, mixing, ngram_join, packing, pii, search, sharding, spelling, token_counts
 from taxaloom.session import table
 
 #: Where the vocabulary file lies; a parameter, since on a cluster it is put where all machines see it.
@@ -55,6 +55,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.digest(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,6 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), byte_bpe.load_ranks(spark, PACKING_VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op4_token_counts, op5_sharding, op6_mixing, op7_exact_top_k, op8_chat_format, op9_fingerprint, op10_personal_data, op12_merkle_manifest, op13_packing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_byte_bpe, op3_ngram_jaccard_join, op4_token_counts, op5_sharding, op6_mixing, op7_exact_top_k, op8_chat_format, op9_fingerprint, op10_personal_data, op11_spelling_variants, op12_merkle_manifest, op13_packing)}
 
-SQL: dict[str, str] = {"op4_token_counts": token_counts.REPLAY_SQL, "op12_merkle_manifest": manifest.SQL}
+SQL: dict[str, str] = {"op4_token_counts": token_counts.REPLAY_SQL, "op11_spelling_variants": spelling.SQL, "op12_merkle_manifest": manifest.SQL}
