@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from taxaloom.session import cut, free_name
 
@@ -93,23 +93,19 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, clusters: int = CLUSTERS) -> LanguageModel:
     """A model from the rows of ``labelled`` that have a text and a language.
 
-    The sample is bounded by ``per_language`` and drawn by a hash of the text alone, copies of a text counting once; each
-    language's sample is clustered in a task of its own. Without labelled rows the model has no centroid, and every text is then ``und``.
+    The sample has the ``per_language`` distinct texts of least hash of each language, or all if they are fewer, so that no language
+    with a lettered text is lost, however often its texts repeat; each language's sample is clustered in a task of its own.
+    Without labelled rows the model has no centroid, and every text is then ``und``.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h")).where("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return LanguageModel([], np.zeros((0, DIM)), np.ones(DIM), np.zeros((0, len(LENGTHS))))
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, per_language / n) * scale))])
-    sample = rows.where(F.pmod("h", F.lit(scale)) < share[F.col("lang")]).dropDuplicates(["lang", "h"])
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("h")).where("text is not null and lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    # the least hashes of each language: tasks pass on no more than that many each, and texts are read for the chosen alone
+    hashes = rows.select("lang", "h").distinct().withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= per_language)
+    ranked = cut(rows.join(F.broadcast(hashes), ["lang", "h"]).dropDuplicates(["lang", "h"]))
 
     @F.pandas_udf("array<float>")
     def counted(texts: pd.Series) -> pd.Series:
         return pd.Series([None if (c := ngram_counts(t)) is None else c.astype(np.float32) for t in texts])
 
-    # what the share left over is bounded, so that ranking it by language is a small job
-    ranked = sample.selectExpr("*", "row_number() over (partition by lang order by h, text) as place").where(F.col("place") <= 2 * per_language)
     kept = ranked.where(F.col("place") % HELD_FOR_RADIUS != 0)
     vectors = cut(kept.repartition(F.col("lang"), F.col("h")).select("lang", "h", counted("text").alias("v")).where("v is not null"))
     seen = vectors.select(F.posexplode("v").alias("i", "c")).where("c > 0").groupBy("i").agg(F.count("*").alias("df")).collect()
