@@ -6,7 +6,7 @@ shard's residual capacity is highest, among the shards with room in bytes; large
 Groups of at least 1/LARGE_PARTS of a shard's share are few (at most SHARDS * LARGE_PARTS * 3, whatever the input), so they
 are placed one after the other. What they leave free is handed out to blocks of the small groups in proportion to the blocks'
 totals, and each block places its groups in its part, all blocks at once. A group larger than SPLIT of a shard is dealt out by
-doc_id over so many pieces that each can be placed.
+row over so many pieces that each can be placed.
 """
 
 from __future__ import annotations
@@ -44,13 +44,14 @@ def assign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shards:
     """doc_id, size (UTF-8 bytes and 1), text_crc32, shard and slot (gapless from 0 in each shard) of every document.
 
     Equal texts share a shard, unless together they exceed SPLIT of one. Null texts form one group, of size 1 each, with the
-    check sum of the empty text; empty texts form another. Repeated rows have a slot each; which of two rows equal in doc_id and
-    text comes first doesn't matter, as they are alike. An empty table gives an empty table.
+    check sum of the empty text; empty texts form another. Repeated rows have a slot each, and are dealt out row by row like other
+    copies. Whole texts are hashed and counted where they are read, however long. Other columns are left out, so their names
+    can't clash. An empty table gives an empty table.
     """
     t = F.col(text)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"), words(t).alias("tokens"),
-        F.coalesce(F.crc32(t.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), F.when(t.isNotNull(), F.xxhash64(t)).otherwise(-1).alias("h"), F.xxhash64(F.col(doc_id), t).alias("own"),
+        F.coalesce(F.crc32(t.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), F.when(t.isNotNull(), F.xxhash64(t)).otherwise(-1).alias("h"), F.xxhash64(F.col(doc_id), t, F.monotonically_increasing_id()).alias("own"),  # rows that agree in all differ in this
     )
     rows = cut(rows)
     key = ["h", "text_crc32", "size", "piece"]  # of a null text h is -1
