@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.operators import partitions
 from taxaloom.operators.partitions import unit
@@ -36,10 +37,15 @@ def cluster_grid(pairs: DataFrame, taxa: DataFrame, kind: str, grid: DataFrame)
     points, by = F.broadcast(grid), ["candidate_id"]
     met = pairs.where("a <> b").crossJoin(points).where(near & (F.coalesce(pairs["coverage"], F.lit(1.0)) >= F.col("least_coverage")))
     kept = cut(met.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    degree = kept.select(*by, F.col("a").alias("taxon_id")).union(kept.select(*by, "b")).groupBy(*by, "taxon_id").agg(F.count("*").alias("n"))
-    ranked = taxa.select("taxon_id").crossJoin(points.select(*by)).join(degree, [*by, "taxon_id"], "left").fillna(0, ["n"])
+    return set_cover(kept, taxa.select("taxon_id").crossJoin(points.select(*by)), by)
+
+
+def set_cover(edges: DataFrame, taxa: DataFrame, by: list[str]) -> DataFrame:
+    """by, taxon_id, rep of each group's taxa from its edges (by, a, b): taxa with most neighbours are representatives first, then by name."""
+    degree = edges.select(*by, F.col("a").alias("taxon_id")).union(edges.select(*by, "b")).groupBy(*by, "taxon_id").agg(F.count("*").alias("n"))
+    ranked = taxa.select(*by, "taxon_id").join(degree, [*by, "taxon_id"], "left").fillna(0, ["n"])
     rank = ranked.withColumn("rank", F.struct((-F.col("n")).alias("n"), "taxon_id"))  # an order, not a number: no global sort
-    return greedy_representatives(rank.select(*by, "taxon_id", "rank"), kept, by).select(*by, "taxon_id", "rep")
+    return greedy_representatives(rank.select(*by, "taxon_id", "rank"), edges, by).select(*by, "taxon_id", "rep")
 
 
 def kmer_pairs(seqs: DataFrame, least: float, coverage: float, k: int = 6) -> DataFrame:
@@ -88,6 +94,47 @@ def plm_cluster(vectors: DataFrame, k: int, algorithm: str = "kmeans", cosine: b
     return best.transform(v).select("taxon_id", F.col("prediction").alias("label"))
 
 
+def _squares(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+
+
+def grouped_kmeans(points: DataFrame, by: list[str], ks: Iterable[int], rounds: int = 30) -> DataFrame:
+    """by, k, taxon_id, label of (by, taxon_id, vec): k-means of every group at every k below its size, all in the same rounds.
+
+    Seeds are the point farthest from the group's mean, then in turn the one farthest from those before, ties by name. Each round
+    sums the points of a centre with partial aggregation; a centre without points stays. Rounds end when no centre moves.
+    """
+    ks, most = sorted(set(ks)), max(ks)
+    p = points.select(*by, "taxon_id", "vec")
+    total = lambda df, keys: df.groupBy(*keys).agg(Summarizer.sum(array_to_vector("vec")).alias("s"), F.count("*").alias("n"))
+    mean = F.transform(vector_to_array("s"), lambda x: x / F.col("n"))
+    sizes = cut(total(p, by).select(*by, "n", F.array(mean).alias("seeds")))
+    seeds = sizes
+    for turn in range(most):
+        gap = F.array_min(F.transform("seeds", lambda c: _squares(F.col("vec"), c)))
+        far = p.join(seeds, by).groupBy(*by).agg(F.max_by("vec", F.struct(F.round(gap, 12).alias("d"), "taxon_id")).alias("next"))
+        grown = F.array("next") if turn == 0 else F.concat("seeds", F.array("next"))
+        seeds = cut(seeds.join(far, by).select(*by, "n", grown.alias("seeds")))
+    options = F.array(*[F.struct(F.lit(k).alias("k"), F.slice("seeds", 1, k).alias("c")) for k in ks])
+    centres = cut(seeds.select(*by, F.filter(options, lambda o: o["k"] < F.col("n")).alias("cs")).where(F.size("cs") > 0))
+
+    def nearest(o: Column) -> Column:
+        d = F.transform(o["c"], lambda c, i: F.struct(_squares(F.col("vec"), c).alias("d"), i.alias("label")))
+        return F.struct(o["k"].alias("k"), F.array_min(d)["label"].alias("label"))
+
+    for _ in range(rounds):
+        near = p.join(centres, by).select(*by, "vec", F.inline(F.transform("cs", nearest)))
+        moved = total(near, [*by, "k", "label"]).select(*by, "k", "label", mean.alias("new"))
+        old = centres.select(*by, F.inline("cs")).select(*by, "k", F.posexplode("c").alias("label", "c"))
+        both = old.join(moved, [*by, "k", "label"], "left").select(*by, "k", "label", F.coalesce("new", "c").alias("c"), F.coalesce(_squares(F.col("c"), F.col("new")), F.lit(0.0)).alias("shift"))
+        each = both.groupBy(*by, "k").agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("x"), F.max("shift").alias("shift"))
+        step = cut(each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("k", F.col("x.c").alias("c")))).alias("cs"), F.max("shift").alias("shift")))
+        centres = step.select(*by, "cs")
+        if (step.agg(F.max("shift")).first()[0] or 0.0) < 1e-18:
+            break
+    return p.join(centres, by).select(*by, "taxon_id", F.inline(F.transform("cs", nearest)))
+
+
 def _distances(group: pd.DataFrame, metric: str) -> np.ndarray:
     x = np.stack(group["vec"]).astype(float)
     if metric == "cosine":

@@ -9,6 +9,7 @@ MIN_SIZE, MIN_RETAINED, RETENTION_GAIN, RETENTION_BAND = 10, 0.70, 0.10, 0.03
 TREE_MIN_TAXA, RECURSE_MIN_KEPT, MAX_ATTEMPTS = 4, 0.70, 3
 GRIDS = {"evalue": [0.001, 0.01, 1.0, 10.0], "tmscore": [0.4, 0.5, 0.6, 0.7], "min_seq_id": [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]}
 EVALUE_STEPS = [10.0, 1.0, 0.3, 0.1, 0.03, 0.01, 0.001]
+KEPT_BECAUSE = ("recursion disabled", "no split kept enough taxa in clusters of 4+", "recursion depth limit reached", "too small to split")
 TAGS = {"evalue": "e", "tmscore": "tm", "min_seq_id": "id", "k": "k"}
 
 
@@ -137,11 +138,12 @@ def fraction_kept(subs: DataFrame, min_taxa: int = TREE_MIN_TAXA, least: float =
     return g.withColumn("accepted", (F.col("n_sub") > 1) & (F.col("kept") >= least))
 
 
-def report(clusters: DataFrame, recursion: bool = True, min_size: int = MIN_SIZE, max_depth: int = 2) -> DataFrame:
-    """Clusters of tree size, whether over the limits and, if so, why they were kept whole."""
-    c = clusters.withColumn("eligible", F.col("size") >= TREE_MIN_TAXA).withColumn("over", F.col("eligible") & ((F.col("gap_fraction") >= 0.65) | (F.col("expansion") > 3.0)))
-    why = F.when(~F.lit(recursion), "recursion disabled").when(F.col("size") < 2 * max(2, min_size), "too small to split").when(F.col("depth") >= max_depth, "depth limit").otherwise("not divisible")
-    return c.withColumn("kept_because", F.when(F.col("over"), why))
+def report(clusters: DataFrame, recursion: bool = True, max_depth: int = 2, max_gap: float = 0.65, max_expansion: float = 3.0) -> DataFrame:
+    """Clusters with eligible (of tree size), over (their alignment is over the limits) and, if so, why they were kept: the first of the
+    reasons that holds. not_divisible says that no split kept enough, as the refinement's log has it."""
+    over = F.coalesce((F.col("gap_fraction") >= max_gap) | (F.col("expansion") > max_expansion), F.lit(False))
+    why = F.when(~F.lit(recursion), KEPT_BECAUSE[0]).when(F.col("not_divisible"), KEPT_BECAUSE[1]).when(F.col("depth") >= max_depth, KEPT_BECAUSE[2]).otherwise(KEPT_BECAUSE[3])
+    return clusters.withColumn("eligible", F.col("size") >= TREE_MIN_TAXA).withColumn("over", over).withColumn("kept_because", F.when(over, why))
 
 
 def cluster_name(clusters: DataFrame, kind: str, threshold: float, by: tuple = ("candidate_id",)) -> DataFrame:

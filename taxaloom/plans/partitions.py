@@ -85,11 +85,6 @@ def c22_fraction_kept(spark, d):
     return op.fraction_kept(_subs(spark, d)).withColumn("kept", F.round("kept", 6))
 
 
-def c25_report(spark, d):
-    p = table(spark, d, "part")
-    return op.report(p.select("p_partkey", F.col("p_size").alias("size"), ((F.col("p_partkey") % 10) / 10).alias("gap_fraction"), ((F.col("p_partkey") % 7) / 1.5).alias("expansion"), (F.col("p_partkey") % 3).alias("depth"))).select("p_partkey", "eligible", "over", "kept_because")
-
-
 def c26_cluster_name(spark, d):
     s = ad.memberships(spark, d).groupBy("candidate_id", "label").agg(F.count("*").alias("size"), F.min("taxon_id").alias("rep"))
     return op.cluster_name(s, "evalue", 1.0).select("candidate_id", "label", "name")
@@ -139,7 +134,6 @@ SQL = {
     "c19_alternative": f"WITH {_CAND}, v AS (SELECT c.run, h.grid_pos AS base_pos, c.grid_pos, c.usable, c.retained_fraction AS r FROM candidates c JOIN chosen h ON c.run = h.run AND c.retained_fraction >= h.retained_fraction + 0.1 AND c.usable >= greatest(2, floor(h.usable * 0.75)) AND c.grid_pos <> h.grid_pos), n AS (SELECT * FROM v QUALIFY r >= max(r) OVER (PARTITION BY run) - 0.03) SELECT run, base_pos, grid_pos FROM n QUALIFY row_number() OVER (PARTITION BY run ORDER BY usable DESC, r DESC, grid_pos) = 1",
     "c20_summary": f"WITH {_CAND} SELECT run, grid_pos, usable FROM candidates",
     "c22_fraction_kept": "WITH t AS (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS ps FROM lineitem GROUP BY 1), g AS (SELECT l_orderkey AS parent, l_returnflag AS attempt, count(*) AS n_sub, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_quantity >= 4), 0) / max(ps) AS k FROM lineitem JOIN t USING (l_orderkey) GROUP BY ALL) SELECT parent, attempt, n_sub, round(k, 6) AS kept, n_sub > 1 AND k >= 0.7 AS accepted FROM g",
-    "c25_report": "WITH c AS (SELECT p_partkey, p_size >= 4 AS eligible, p_size >= 4 AND (p_partkey % 10 / 10 >= 0.65 OR p_partkey % 7 / 1.5 > 3.0) AS over, p_size, p_partkey % 3 AS depth FROM part) SELECT p_partkey, eligible, over, CASE WHEN over THEN CASE WHEN p_size < 20 THEN 'too small to split' WHEN depth >= 2 THEN 'depth limit' ELSE 'not divisible' END END AS kept_because FROM c",
     "c21_schedule": """WITH p AS (SELECT DISTINCT ['evalue', 'tmscore', 'min_seq_id'][l_linenumber % 3 + 1] AS kind, round(l_discount * 10, 2) AS threshold FROM lineitem),
 g AS (SELECT *, CASE kind WHEN 'evalue' THEN [0.001, 0.01, 1.0, 10.0]::DOUBLE[] WHEN 'tmscore' THEN [0.4, 0.5, 0.6, 0.7]::DOUBLE[] ELSE [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[] END AS grid FROM p),
 s AS (SELECT *, CASE WHEN kind = 'evalue' THEN list_max(list_filter(grid, lambda t: t < threshold)) ELSE list_min(list_filter(grid, lambda t: t > threshold)) END AS next,
