@@ -22,6 +22,8 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from taxaloom.llm.memory import release
+
 #: Words that a worker remembers; beyond that it forgets all and goes on.
 CACHE_WORDS = 200_000
 #: Characters of text whose new words are replayed together.
@@ -235,6 +237,7 @@ def encode_column(text: Column, content: bytes, pattern: str) -> Column:
             if size >= PART_CHARS:
                 flush()
         flush()
+        release()
         return pd.Series(out, dtype=object)
 
     return encode(text)

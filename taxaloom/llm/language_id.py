@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from taxaloom.llm.memory import release
 from taxaloom.session import cut, free_name
 
 #: Fitted on at most about this many texts a language (the sample is drawn by hash; twice as many is a hard limit).
@@ -171,6 +172,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
                     s = float(min(1.0, max(0.0, s)))
                     best[i] = (languages[j], s, bool(1 - s <= radius[j, _length(texts.iloc[at + i])]))
             out += best
+        release()
         return pd.DataFrame(out, columns=["lang_pred", "score", "accepted"])
 
     kept = docs.drop("lang_pred", "score", "accepted")

@@ -17,6 +17,7 @@ from functools import partial
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from taxaloom.llm.memory import release
 from taxaloom.session import cut, free_name
 
 # Kinds in the order in which spans are listed, and the base patterns (of e-mail the part from the @ on).
@@ -249,6 +250,7 @@ def mark(docs: DataFrame, patterns: dict[str, str], text: str = "text") -> DataF
     def spans(texts: pd.Series) -> pd.DataFrame:
         rows = [(base_spans(t), all_spans(t, held.value)) for t in texts]
         named = lambda xs: [{"kind": k, "start": s, "end": e} for k, s, e in xs]
+        release()
         return pd.DataFrame({"base": [named(a) for a, _ in rows], "spans": [named(b) for _, b in rows]})
 
     kept = docs.drop("base", "spans")
@@ -287,6 +289,7 @@ def masked(docs: DataFrame) -> DataFrame:
                 parts += [t[at:s], f"[{k.upper()}]"]
                 at = e
             out.append("".join([*parts, t[at:]]))
+        release()
         return pd.Series(out, dtype=object)
 
     hidden = free_name(docs)
