@@ -13,12 +13,16 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.operators import partitions
+from taxaloom.operators.numbering import numbered
 from taxaloom.operators.partitions import unit
 from taxaloom.operators.rounds import greedy_representatives
 from taxaloom.session import cut
 
 #: A group's members up to which its linkage runs in one task; larger groups run in rounds over all tasks, with the same result.
 GROUP_LIMIT = 2_000
+#: Points of a block when trees are spanned: two blocks are 2 * SPAN_ROWS vectors and SPAN_ROWS squared distances in a task.
+SPAN_ROWS = 1_000
+MERGES = "dataset string, step long, a long, b long, height double, size long"
 #: Fixed value: silhouette above which a later local maximum is a peak.
 PEAK = 0.35
 #: A grid of thresholds, a row a point.
@@ -78,15 +82,21 @@ def sequence_cluster(seqs: DataFrame, min_identity: float, coverage: float, k: i
 
 
 def plm_cluster(vectors: DataFrame, k: int, algorithm: str = "kmeans", cosine: bool = True, seed: int = 42, runs: int = 3) -> DataFrame:
-    """taxon_id, label of k clusters (k is held within 1 and the number of vectors); the best of several seeds by cost. Algorithms are
-    kmeans and bisecting; others raise an error (linkage and cut_tree are operators of their own)."""
-    if algorithm not in ("kmeans", "bisecting"):
-        raise ValueError(f"unknown algorithm {algorithm!r}: kmeans or bisecting")
-    v = vectors.select("taxon_id", array_to_vector(unit(F.col("vec")) if cosine else F.col("vec")).alias("features")).cache()
-    n = v.count()
+    """taxon_id, label of k clusters (k is held within 1 and the number of vectors): kmeans (the best of several seeds by cost), bisecting,
+    agglomerative (average linkage) or ward (of unit vectors), the last two cut into at most k. Other names raise an error."""
+    if algorithm not in ("kmeans", "bisecting", "agglomerative", "ward"):
+        raise ValueError(f"unknown algorithm {algorithm!r}: kmeans, bisecting, agglomerative or ward")
+    n = vectors.count()
     k = max(1, min(k, n))
     if k == 1:
-        return v.select("taxon_id", F.lit(0).alias("label"))
+        return vectors.select("taxon_id", F.lit(0).alias("label"))
+    if algorithm in ("agglomerative", "ward"):
+        points = cut(vectors.select(F.lit("all").alias("dataset"), "taxon_id", (unit(F.col("vec")) if algorithm == "ward" else F.col("vec")).alias("vec")))
+        merges = cut(linkage(points, "average" if algorithm == "agglomerative" else "ward", "cosine" if cosine and algorithm == "agglomerative" else "euclidean"))
+        labels = cut_labels(merges, points, [k])
+        dense = labels.select("label").distinct().withColumn("dense", F.row_number().over(Window.orderBy("label")) - 1)  # k rows
+        return labels.join(F.broadcast(dense), "label").select("taxon_id", F.col("dense").alias("label"))
+    v = cut(vectors.select("taxon_id", (unit(F.col("vec")) if cosine else F.col("vec")).alias("vec"))).select("taxon_id", array_to_vector("vec").alias("features"))
     if algorithm == "bisecting":
         return BisectingKMeans(k=k, seed=seed).fit(v).transform(v).select("taxon_id", F.col("prediction").alias("label"))
     models = [KMeans(k=k, seed=seed + i).fit(v) for i in range(runs)]
@@ -114,7 +124,7 @@ def grouped_kmeans(points: DataFrame, by: list[str], ks: Iterable[int], rounds:
         gap = F.array_min(F.transform("seeds", lambda c: _squares(F.col("vec"), c)))
         far = p.join(seeds, by).groupBy(*by).agg(F.max_by("vec", F.struct(F.round(gap, 12).alias("d"), "taxon_id")).alias("next"))
         grown = F.array("next") if turn == 0 else F.concat("seeds", F.array("next"))
-        seeds = cut(seeds.join(far, by).select(*by, "n", grown.alias("seeds")))
+        seeds = cut(seeds.join(far, by).select(*by, "n", grown.alias("seeds")), seeds)
     options = F.array(*[F.struct(F.lit(k).alias("k"), F.slice("seeds", 1, k).alias("c")) for k in ks])
     centres = cut(seeds.select(*by, F.filter(options, lambda o: o["k"] < F.col("n")).alias("cs")).where(F.size("cs") > 0))
 
@@ -128,11 +138,11 @@ def grouped_kmeans(points: DataFrame, by: list[str], ks: Iterable[int], rounds:
         old = centres.select(*by, F.inline("cs")).select(*by, "k", F.posexplode("c").alias("label", "c"))
         both = old.join(moved, [*by, "k", "label"], "left").select(*by, "k", "label", F.coalesce("new", "c").alias("c"), F.coalesce(_squares(F.col("c"), F.col("new")), F.lit(0.0)).alias("shift"))
         each = both.groupBy(*by, "k").agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("x"), F.max("shift").alias("shift"))
-        step = cut(each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("k", F.col("x.c").alias("c")))).alias("cs"), F.max("shift").alias("shift")))
-        centres = step.select(*by, "cs")
+        step = cut(each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("k", F.col("x.c").alias("c")))).alias("cs"), F.max("shift").alias("shift")), centres)
+        centres = step
         if (step.agg(F.max("shift")).first()[0] or 0.0) < 1e-18:
             break
-    return p.join(centres, by).select(*by, "taxon_id", F.inline(F.transform("cs", nearest)))
+    return p.join(centres.select(*by, "cs"), by).select(*by, "taxon_id", F.inline(F.transform("cs", nearest)))
 
 
 def _distances(group: pd.DataFrame, metric: str) -> np.ndarray:
@@ -234,9 +244,93 @@ def _linkage_rounds(points: DataFrame, method: str, metric: str) -> DataFrame:
     return both.select("dataset", "step", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "height", "size")
 
 
+def _kruskal(edges: pd.DataFrame, n: int) -> list[tuple[int, int, float, int]]:
+    """Merges from a spanning tree's edges (a, b, d) over leaves 0 to n - 1."""
+    root, number, size, out = list(range(n)), list(range(n)), [1] * n, []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for step, (a, b, h) in enumerate(edges.sort_values(["d", "a", "b"], kind="stable")[["a", "b", "d"]].itertuples(index=False)):
+        i, j = find(int(a)), find(int(b))
+        out.append((min(number[i], number[j]), max(number[i], number[j]), float(h), size[i] + size[j]))
+        root[j] = i
+        number[i], size[i] = n + step, size[i] + size[j]
+    return out
+
+
+def spanning_forest(points: DataFrame, metric: str = "cosine", rows: int = SPAN_ROWS) -> DataFrame:
+    """dataset, a, b, d: the least spanning tree of each group of (dataset, i, vec), i from 0, by rounds in which each component takes its
+    nearest neighbour outside. Blocks of ``rows`` points meet as matrix products and pass on one edge for each component, so that
+    no table of pairs arises; edges are ordered by distance, then ends, so that rounds close no circle."""
+    vec = unit(F.col("vec")) if metric == "cosine" else F.col("vec")
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        g = group.sort_values("i")
+        return pd.DataFrame({"dataset": [g["dataset"].iloc[0]], "block": [g["block"].iloc[0]], "ids": [g["i"].to_numpy()], "m": [np.stack(g["v"].to_list()).astype("<f8").tobytes()]})
+
+    p = points.select("dataset", "i", vec.alias("v"), F.floor(F.col("i") / rows).alias("block"))
+    blocks = cut(p.groupBy("dataset", "block").applyInPandas(pack, "dataset string, block long, ids array<long>, m binary"))
+    part = cut(points.select("dataset", "i", F.col("i").alias("c")))
+    forest = None
+
+    def nearest(batches):
+        for b in batches:
+            for r in b.to_dict("records"):
+                (x, ci, i), (y, cj, j) = ((np.frombuffer(r[f"m{n}"], "<f8").reshape(len(r[f"ids{n}"]), -1), np.asarray(r[f"c{n}"]), np.asarray(r[f"ids{n}"])) for n in "xy")
+                if len(set(ci)) == 1 and len(set(cj)) == 1 and ci[0] == cj[0]:
+                    continue
+                d = 1 - np.clip(x @ y.T, -1, 1) if metric == "cosine" else np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0))
+                d = np.where(ci[:, None] == cj[None], np.inf, d)
+                to_y, to_x = d.argmin(1), d.argmin(0)
+                own = np.concatenate((ci, cj))
+                a, e = np.concatenate((i, i[to_x])), np.concatenate((j[to_y], j))
+                far = np.concatenate((d[np.arange(len(i)), to_y], d[to_x, np.arange(len(j))]))
+                other = np.concatenate((cj[to_y], ci[to_x]))
+                f = pd.DataFrame({"dataset": pd.Series([r["dataset"]] * len(own), dtype=object), "c": own, "d": far, "lo": np.minimum(a, e), "hi": np.maximum(a, e), "other": other})
+                yield f[np.isfinite(f["d"])].sort_values(["d", "lo", "hi"], kind="stable").drop_duplicates("c")
+
+    while True:
+        member = part.withColumn("block", F.floor(F.col("i") / rows)).groupBy("dataset", "block").agg(F.array_sort(F.collect_list(F.struct("i", "c"))).alias("x")).select("dataset", "block", F.col("x.c").alias("cs"))
+        now = cut(blocks.join(member, ["dataset", "block"]))
+        side = lambda n, now=now: now.select("dataset", F.col("block").alias(f"b{n}"), F.col("ids").alias(f"ids{n}"), F.col("m").alias(f"m{n}"), F.col("cs").alias(f"c{n}"))
+        keys = now.select("dataset", F.col("block").alias("bx")).join(now.select("dataset", F.col("block").alias("by")), "dataset").where("bx <= by")
+        both = keys.join(side("x"), ["dataset", "bx"]).join(side("y"), ["dataset", "by"])
+        best = both.mapInPandas(nearest, "dataset string, c long, d double, lo long, hi long, other long").groupBy("dataset", "c").agg(F.min(F.struct("d", "lo", "hi", "other")).alias("e"))
+        chosen = cut(best.select("dataset", "c", "e.d", "e.lo", "e.hi", "e.other"), now)
+        if chosen.isEmpty():
+            break
+        new = chosen.select("dataset", F.col("lo").alias("a"), F.col("hi").alias("b"), "d").distinct()
+        forest = new if forest is None else forest.unionByName(new)
+        # each component points at the one it takes; of two that take each other the lesser is the root
+        back = chosen.select("dataset", F.col("c").alias("other"), F.col("other").alias("back"))
+        up = cut(chosen.join(back, ["dataset", "other"], "left").select("dataset", "c", F.when((F.col("back") == F.col("c")) & (F.col("c") < F.col("other")), F.col("c")).otherwise(F.col("other")).alias("to")))
+        while True:
+            over = up.select("dataset", F.col("c").alias("to"), F.col("to").alias("top"))
+            up = cut(up.select("dataset", "c", "to").join(over, ["dataset", "to"]).select("dataset", "c", F.col("top").alias("to"), (F.col("top") != F.col("to")).alias("moved")), up)
+            if up.where("moved").isEmpty():
+                break
+        part = cut(part.join(up, ["dataset", "c"], "left").select("dataset", "i", F.coalesce("to", "c").alias("c")), part, up)
+    return forest if forest is not None else points.sparkSession.createDataFrame([], "dataset string, a long, b long, d double")
+
+
+def _single_linkage(points: DataFrame, metric: str) -> DataFrame:
+    """As linkage(method="single"), from the least spanning tree; its n - 1 edges are put in order in one task for a group, some 100 bytes each."""
+    numbers = cut(numbered(points.select("dataset", "taxon_id", "vec"), ["dataset"], ["taxon_id"], "i"))
+
+    def merged(group: pd.DataFrame) -> pd.DataFrame:
+        n = len(group) + 1
+        return pd.DataFrame([(group["dataset"].iloc[0], n + i, *r) for i, r in enumerate(_kruskal(group, n))], columns=["dataset", "step", "a", "b", "height", "size"])
+
+    return spanning_forest(numbers.select("dataset", "i", "vec"), metric).groupBy("dataset").applyInPandas(merged, MERGES)
+
+
 def linkage(points: DataFrame, method: str = "average", metric: str = "cosine") -> DataFrame:
     """dataset, step, a, b, height, size of each group of (dataset, taxon_id, vec), leaves numbered by taxon_id. Groups run side by
-    side, one in a task, and those over GROUP_LIMIT in rounds."""
+    side, one in a task; those over GROUP_LIMIT by their least spanning tree (single), or in rounds over a table of their pairs."""
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("taxon_id")
@@ -246,8 +340,11 @@ def linkage(points: DataFrame, method: str = "average", metric: str = "cosine")
     size = points.groupBy("dataset").agg(F.count("*").alias("n"))
     large = [r["dataset"] for r in size.where(F.col("n") > GROUP_LIMIT).collect()]
     is_large = F.col("dataset").isin(large) if large else F.lit(False)
-    done = points.where(F.coalesce(~is_large, F.lit(True))).groupBy("dataset").applyInPandas(merged, "dataset string, step long, a long, b long, height double, size long")
-    return done.unionByName(_linkage_rounds(points.where(is_large), method, metric)) if large else done
+    done = points.where(F.coalesce(~is_large, F.lit(True))).groupBy("dataset").applyInPandas(merged, MERGES)
+    if not large:
+        return done
+    rest = points.where(is_large)
+    return done.unionByName(_single_linkage(rest, metric) if method == "single" else _linkage_rounds(rest, method, metric))
 
 
 def _neighbors(x: np.ndarray) -> list[tuple[int, int, float]]:
@@ -312,10 +409,11 @@ def cut_labels(merges: DataFrame, points: DataFrame, ks: Iterable[int]) -> DataF
     up = cut(c.select(*by, F.explode(F.array("a", "b")).alias("node"), F.col("step").alias("to")))
     while True:
         jump = up.select(*by, F.col("node").alias("to"), F.col("to").alias("top"))
-        nxt = cut(up.join(jump, [*by, "to"], "left").select(*by, "node", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")))
-        up = nxt.drop("moved")
+        nxt = cut(up.join(jump, [*by, "to"], "left").select(*by, "node", F.coalesce("top", "to").alias("to"), F.col("top").isNotNull().alias("moved")), up)
+        up = nxt
         if nxt.where("moved").isEmpty():
             break
+    up = up.drop("moved")
     leaf = points.select("dataset", "taxon_id", (F.row_number().over(Window.partitionBy("dataset").orderBy("taxon_id")) - 1).cast("long").alias("node"))
     every = leaf.crossJoin(F.broadcast(spark.createDataFrame([(k,) for k in ks], "k long")))
     return every.join(up, [*by, "node"], "left").select(*by, "taxon_id", F.coalesce("to", "node").alias("label"))
@@ -347,15 +445,30 @@ def sweep(pairs: DataFrame, taxa: DataFrame, kind: str, grid: Iterable[tuple[flo
     return at.withColumn("grid_pos", F.substring("candidate_id", 2, 9).cast("int")).join(partitions.score(labels, spaces, min_size), "candidate_id")
 
 
-def sweep_k(vectors: DataFrame, ks: Iterable[int], min_size: int = 10, min_retained: float = 0.70) -> DataFrame:
-    """Candidates of several k; chosen marks the best silhouette among those feasible, or of all if none is."""
-    labels = None
-    for k in ks:
-        one = plm_cluster(vectors, k).select(F.lit(f"k{k}").alias("candidate_id"), "taxon_id", "label")
-        labels = one if labels is None else labels.unionByName(one)
-    s = partitions.score(labels, {"vectors": vectors}, min_size).withColumn("run", F.lit(0)).withColumn("grid_pos", F.substring("candidate_id", 2, 9).cast("int"))
-    best = partitions.select(s, "vectors", min_retained).select(F.col("candidate_id"), F.lit(True).alias("chosen"))
-    return s.join(best, "candidate_id", "left").fillna(False, ["chosen"]).drop("run")
+def sweep_k(vectors: DataFrame, k_min: int = 2, k_max: int = 30, min_size: int = 10, min_retained: float = 0.70) -> DataFrame:
+    """Candidates of each k from k_min to k_max, held within 2 and the number of vectors less one; all are clustered in the same rounds.
+
+    chosen: of those that retain enough in two clusters of min_size (else of those with two clusters of tree size, else of all: relaxed)
+    the one of best silhouette over all points, in want of one that of the usable clusters, then of most retained, then of
+    most usable clusters; the least k of equals.
+    """
+    n = vectors.count()
+    low, high = max(2, k_min), min(k_max, n - 1)
+    if high < low:
+        high = max(2, n - 1)
+        low = min(low, high)
+    points = vectors.select(F.lit(0).alias("all"), "taxon_id", unit(F.col("vec")).alias("vec"))
+    found = grouped_kmeans(points, ["all"], range(low, high + 1))
+    labels = cut(found.select(F.concat(F.lit("k"), F.col("k").cast("string")).alias("candidate_id"), "taxon_id", "label"))
+    s = partitions.score(labels, {"vectors": vectors}, min_size)
+    whole = partitions.silhouette(labels.join(vectors.select("taxon_id", "vec"), "taxon_id")).select("candidate_id", F.round("silhouette", 4).alias("silhouette_all"))
+    trees = partitions.shape(labels, partitions.TREE_MIN_TAXA).select("candidate_id", (F.col("usable") >= 2).alias("viable"))
+    s = s.join(whole, "candidate_id", "left").join(trees, "candidate_id").withColumn("k", F.substring("candidate_id", 2, 9).cast("int"))
+    feasible = (F.col("retained_fraction") >= min_retained) & (F.col("usable") >= 2)
+    tier = F.when(feasible, 0).when(F.col("viable"), 1).otherwise(2)
+    best = F.coalesce("silhouette_all", F.col("silhouette")["vectors"], F.lit(-1.0))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(tier, best.desc(), F.desc("retained_fraction"), F.desc("usable"), "k"))  # a row for each k
+    return s.withColumn("chosen", place == 1).withColumn("relaxed", F.min(tier).over(Window.partitionBy(F.lit(0))) > 0).drop("viable")
 
 
 def project_2d(vectors: DataFrame, span: float = 500.0) -> DataFrame:

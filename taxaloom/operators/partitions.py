@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from taxaloom.operators.numbering import numbered
+
 #: Limits of selection and refinement, and threshold grids.
 MIN_SIZE, MIN_RETAINED, RETENTION_GAIN, RETENTION_BAND = 10, 0.70, 0.10, 0.03
 TREE_MIN_TAXA, RECURSE_MIN_KEPT, MAX_ATTEMPTS = 4, 0.70, 3
+TOP_SIZES = 25
 GRIDS = {"evalue": [0.001, 0.01, 1.0, 10.0], "tmscore": [0.4, 0.5, 0.6, 0.7], "min_seq_id": [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]}
 EVALUE_STEPS = [10.0, 1.0, 0.3, 0.1, 0.03, 0.01, 0.001]
 KEPT_BECAUSE = ("recursion disabled", "no split kept enough taxa in clusters of 4+", "recursion depth limit reached", "too small to split")
@@ -15,19 +18,24 @@ TAGS = {"evalue": "e", "tmscore": "tm", "min_seq_id": "id", "k": "k"}
 
 def label_partition(members: DataFrame, taxa: DataFrame) -> DataFrame:
     """taxon_id, label of every taxon: representatives numbered in sorted order, -1 where unassigned."""
-    reps = members.select("rep").distinct().withColumn("label", F.dense_rank().over(Window.orderBy("rep")) - 1)  # one row a cluster
+    reps = numbered(members.select("rep").distinct(), [], ["rep"], "label")
     return taxa.select("taxon_id").join(members.join(reps, "rep").select("taxon_id", "label"), "taxon_id", "left").select("taxon_id", F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def shape(labels: DataFrame, min_size: int, by: tuple = ("candidate_id",)) -> DataFrame:
-    """Cluster sizes of each candidate and how much its clusters of at least ``min_size`` retain."""
+    """Cluster sizes of each candidate (the TOP_SIZES largest listed) and how much its clusters of at least ``min_size`` retain."""
     sizes = labels.groupBy(*by, "label").agg(F.count("*").alias("n"))
     real = F.when(F.col("label") >= 0, F.col("n"))
     big = F.when(real >= min_size, real)
+    # clusters of a size are counted, and of a candidate's sizes only the largest TOP_SIZES listed
+    kinds = sizes.where("label >= 0").groupBy(*by, "n").agg(F.least(F.count("*"), F.lit(TOP_SIZES)).cast("int").alias("c"))
+    top = kinds.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n")))).where(F.col("place") <= TOP_SIZES)
+    listed = top.groupBy(*by).agg(F.slice(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("n", "c")), asc=False), lambda x: F.array_repeat(x["n"], x["c"]))), 1, TOP_SIZES).alias("sizes"))
     out = sizes.groupBy(*by).agg(
-        F.count(real).alias("n_clusters"), F.slice(F.sort_array(F.collect_list(real), asc=False), 1, 25).alias("sizes"), F.coalesce(F.max(real), F.lit(0)).alias("largest"), F.count_if(real == 1).alias("singletons"),
+        F.count(real).alias("n_clusters"), F.coalesce(F.max(real), F.lit(0)).alias("largest"), F.count_if(real == 1).alias("singletons"),
         F.count(big).alias("usable"), F.sum("n").alias("taxa_total"), F.coalesce(F.sum(big), F.lit(0)).alias("taxa_retained"), F.coalesce(F.sum(F.when(F.col("label") < 0, F.col("n"))), F.lit(0)).alias("unassigned"),
     )
+    out = out.join(listed, list(by), "left").withColumn("sizes", F.coalesce("sizes", F.array().cast("array<bigint>")))
     return out.withColumn("retained_fraction", F.round(F.col("taxa_retained") / F.col("taxa_total"), 4))
 
 

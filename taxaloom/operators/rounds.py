@@ -22,7 +22,7 @@ def greedy_representatives(ranked: DataFrame, pairs: DataFrame, by: list[str]) -
         first = cut(open_.join(live.select(*by, F.col("v").alias("taxon_id")), [*by, "taxon_id"], "left_anti"))
         reps = first if reps is None else reps.unionByName(first)
         covered = live.join(first.select(*by, F.col("taxon_id").alias("u")), [*by, "u"], "left_semi").select(*by, F.col("v").alias("taxon_id"))
-        open_ = cut(open_.join(first, [*by, "taxon_id"], "left_anti").join(covered, [*by, "taxon_id"], "left_anti"))
+        open_ = cut(open_.join(first, [*by, "taxon_id"], "left_anti").join(covered, [*by, "taxon_id"], "left_anti"), open_)
         if open_.isEmpty():
             break
     of = down.join(reps.select(*by, F.col("taxon_id").alias("u")), [*by, "u"], "left_semi").groupBy(*by, F.col("v").alias("taxon_id")).agg(F.min_by("u", "ru").alias("rep"))

@@ -14,6 +14,11 @@ def c1_embedding_pairs(spark, d):
     return distances.pairs(ad.vectors(spark, d), "cosine", by=("label",)).select("label", "a", "b", F.round("d", 6).alias("d"))
 
 
+def c1_near_pairs(spark, d):
+    found, _ = distances.near_pairs(ad.vectors(spark, d), 0.6, rows=200)
+    return found.select("a", "b", F.round("d", 6).alias("d"))
+
+
 def c4_cluster_from_pairs(spark, d):
     p = table(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey")).alias("a"), F.concat(F.lit("s"), F.col("l_partkey") % 100).alias("b"), F.col("l_discount").alias("score"), F.lit(1.0).alias("coverage"))
     taxa = p.select(F.col("a").alias("taxon_id")).union(p.select("b")).distinct()
@@ -59,7 +64,7 @@ def c16_sweep(spark, d):
 
 
 def c17_sweep_k(spark, d):
-    return op.sweep_k(ad.vectors(spark, d), [2, 4, 8]).select("candidate_id", "n_clusters", "usable", "chosen")
+    return op.sweep_k(ad.vectors(spark, d), 2, 8).select("candidate_id", "n_clusters", "usable", "silhouette_all", "chosen", "relaxed")
 
 
 def c29_project_2d(spark, d):
@@ -84,6 +89,7 @@ QUERIES = {k: f for k, f in globals().items() if k[:1] in "ch" and k[1:2].isdigi
 
 SQL = {
     "c1_embedding_pairs": f"WITH {ad.VECTORS}, u AS (SELECT label, taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT x.label, x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.label = y.label AND x.taxon_id < y.taxon_id",
+    "c1_near_pairs": f"WITH {ad.VECTORS}, u AS (SELECT taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT a, b, d FROM (SELECT x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.taxon_id < y.taxon_id) WHERE d <= 0.6",
     "c9_neighbor_joining": f"WITH {ad.VECTORS} SELECT 'l' || label AS dataset, count(*) AS leaves, CASE count(*) WHEN 2 THEN 2 ELSE 2 * count(*) - 3 END AS edges, greatest(count(*) - 2, 1) AS joins FROM vectors GROUP BY label HAVING count(*) > 1",
     "c29_project_2d": f"WITH {ad.VECTORS} SELECT taxon_id, true AS x_in, true AS y_in FROM vectors",
     "c30_embed_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id, CAST(64 AS INT) AS dim, 1.0 AS total FROM sequences",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import lru_cache
 from uuid import uuid4
@@ -20,8 +21,12 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or _own_folder()).rstrip('/')}/taxaloom"
+    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir; on a local master, where there is
+    one machine, a folder of our own if it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{(named or _own_folder()).rstrip('/')}/taxaloom"
 
 
 def free_name(df: DataFrame) -> str:
@@ -29,13 +34,22 @@ def free_name(df: DataFrame) -> str:
     return "_" + "_".join(df.columns)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` as a table written to the cluster's checkpoint folder (spark.checkpoint.dir), without its lineage.
+def cut(df: DataFrame, *superseded: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder, without its lineage; then tables cut before that nothing reads any more are deleted.
 
-    The folder is shared by driver and executors, so the table outlives lost executors. Only where the session names no such
-    folder, as in local tests, is one of our own used.
+    The folder is shared by driver and executors, so the table outlives lost executors.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for old in superseded:
+        _delete(spark, getattr(old, "cut_path", None))
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str | None) -> None:
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
