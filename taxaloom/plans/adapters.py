@@ -10,9 +10,13 @@ from taxaloom.session import table
 SEGMENT = 64
 
 
-def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_sequences(documents: DataFrame) -> DataFrame:
     """dataset = language, seq = the text's ASCII letters."""
-    return table(spark, sf_dir, "documents").select(F.col("lang").alias("dataset"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("taxon_id"), F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "").alias("seq"), F.col("doc_id").alias("ord"))
+    return documents.select(F.col("lang").alias("dataset"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("taxon_id"), F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "").alias("seq"), F.col("doc_id").alias("ord"))
+
+
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_sequences(table(spark, sf_dir, "documents"))
 
 
 SEQUENCES = "sequences AS (SELECT lang AS dataset, 'd' || doc_id AS taxon_id, regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g') AS seq, doc_id AS ord FROM documents)"

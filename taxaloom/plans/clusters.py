@@ -1,4 +1,4 @@
-"""Queries C, second part, and H: clusterings, sweeps, projections, and what streams compute, run as a batch."""
+"""Queries C, second part: clusterings, sweeps, projections."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from taxaloom.operators import clusters as op, distances
 from taxaloom.plans import adapters as ad
 from taxaloom.session import cut, table
-from taxaloom.streaming import monitor
 
 
 def c1_embedding_pairs(spark, d):
@@ -75,17 +74,7 @@ def c30_embed_sequences(spark, d):
     return op.embed_sequences(ad.sequences(spark, d)).select("taxon_id", F.size("vec").alias("dim"), F.round(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
 
 
-def h1_gate_sequences(spark, d):
-    return monitor.gate_sequences(ad.sequences(spark, d), 120).select("taxon_id")
-
-
-def h2_run_status(spark, d):
-    e = table(spark, d, "events")
-    status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "completed").otherwise("running")
-    return monitor.run_status(e.select(F.col("user_id").alias("run"), "ts", status.alias("status"))).groupBy("status").agg(F.sum("events").alias("events"))
-
-
-QUERIES = {k: f for k, f in globals().items() if k[:1] in "ch" and k[1:2].isdigit()}
+QUERIES = {k: f for k, f in globals().items() if k[:1] == "c" and k[1:2].isdigit()}
 
 SQL = {
     "c1_embedding_pairs": f"WITH {ad.VECTORS}, u AS (SELECT label, taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT x.label, x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.label = y.label AND x.taxon_id < y.taxon_id",
@@ -93,5 +82,4 @@ SQL = {
     "c9_neighbor_joining": f"WITH {ad.VECTORS} SELECT 'l' || label AS dataset, count(*) AS leaves, CASE count(*) WHEN 2 THEN 2 ELSE 2 * count(*) - 3 END AS edges, greatest(count(*) - 2, 1) AS joins FROM vectors GROUP BY label HAVING count(*) > 1",
     "c29_project_2d": f"WITH {ad.VECTORS} SELECT taxon_id, true AS x_in, true AS y_in FROM vectors",
     "c30_embed_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id, CAST(64 AS INT) AS dim, 1.0 AS total FROM sequences",
-    "h1_gate_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id FROM sequences WHERE length(seq) >= 120",
 }
