@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from taxaloom.operators.nesting import least_between, outermost, with_outer
 from taxaloom.session import cut
 
 #: Least branch length, and lengths of branches that resolve polytomies.
@@ -128,10 +129,14 @@ def node_depths(nodes: DataFrame, least: float | None = None) -> DataFrame:
 
 
 def lca(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """node_id of the deepest node over each set of tips (tree_id, set_id, name)."""
-    span = sets.join(tips(nodes), ["tree_id", "name"]).groupBy("tree_id", "set_id").agg(F.min("rank").alias("a"), F.max("rank").alias("b"))
-    over = span.join(nodes.select("tree_id", "node_id", "depth", "lo", "hi"), "tree_id").where("lo <= a and hi >= b")
-    return over.groupBy("tree_id", "set_id").agg(F.max_by("node_id", "depth").alias("node_id"))
+    """node_id of the deepest node over each set of tips (tree_id, set_id, name): of the nodes at which neighbouring tips between its
+    first and last part, the one nearest the root."""
+    span = cut(sets.join(tips(nodes), ["tree_id", "name"]).groupBy("tree_id", "set_id").agg(F.min("rank").alias("first"), F.max("rank").alias("last")))
+    one = span.where("first = last").join(nodes.where("is_leaf").select("tree_id", F.col("lo").alias("first"), "node_id"), ["tree_id", "first"]).select("tree_id", "set_id", "node_id")
+    up = nodes.where("not is_leaf").select("tree_id", F.col("node_id").alias("parent_id"), F.col("hi").alias("end"), F.struct("depth", F.col("node_id").alias("node")).alias("v"))
+    parting = nodes.join(up, ["tree_id", "parent_id"]).where("hi < end").select("tree_id", F.col("hi").alias("r"), "v")
+    asked = span.where("first < last").select("tree_id", "set_id", F.col("first").alias("a"), (F.col("last") - 1).alias("b"))
+    return one.unionByName(least_between(parting, asked).select("tree_id", "set_id", F.col("least.node").alias("node_id")))
 
 
 def patristic(nodes: DataFrame, least: float = LEAST_LENGTH) -> DataFrame:
@@ -239,16 +244,17 @@ def order_branches(nodes: DataFrame, how: str) -> DataFrame:
 
 def prune(nodes: DataFrame, taxa: DataFrame) -> DataFrame:
     """nodes over the kept tips (tree_id, name): empty clades go, nodes left with one child merge with it, lengths added."""
-    keep = nodes.where("is_leaf").join(taxa.select("tree_id", "name").distinct(), ["tree_id", "name"], "left_semi").select("tree_id", "lo").withColumn("new", F.row_number().over(Window.partitionBy("tree_id").orderBy("lo")))
-    d = node_depths(nodes)
-    covered = d.select("tree_id", "node_id", "depth", "dist", "is_leaf", "name", F.explode(F.sequence("lo", "hi")).alias("lo")).join(keep, ["tree_id", "lo"]).groupBy("tree_id", "node_id", "depth", "dist", "is_leaf", "name").agg(F.min("new").alias("lo"), F.max("new").alias("hi"))
+    flags = nodes.where("is_leaf").select("tree_id", "name", F.col("lo").alias("r")).join(taxa.select("tree_id", "name").distinct().withColumn("kept", F.lit(1)), ["tree_id", "name"], "left")
+    run = Window.partitionBy("tree_id").orderBy("r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    count = cut(flags.select("tree_id", "r", F.coalesce("kept", F.lit(0)).alias("own"), F.sum(F.coalesce("kept", F.lit(0))).over(run).cast("int").alias("upto")))
+    d = node_depths(nodes).select("tree_id", "node_id", "depth", "dist", "is_leaf", "name", F.col("lo").alias("first"), F.col("hi").alias("last"))
+    start = count.select("tree_id", F.col("r").alias("first"), (F.col("upto") - F.col("own") + 1).alias("lo"))
+    end = count.select("tree_id", F.col("r").alias("last"), F.col("upto").alias("hi"))
+    covered = d.join(start, ["tree_id", "first"]).join(end, ["tree_id", "last"]).where("hi >= lo")
     # of nodes over the same kept tips the deepest stays, with the whole way to the next one above
     same = covered.groupBy("tree_id", "lo", "hi").agg(F.max_by(F.struct("node_id", "dist", "is_leaf", "name", "depth"), "depth").alias("x"))
-    left = same.select("tree_id", "lo", "hi", "x.*")
-    above = left.select("tree_id", F.col("lo").alias("l2"), F.col("hi").alias("h2"), F.col("node_id").alias("parent_id"), F.col("dist").alias("up"), F.col("depth").alias("d2"))
-    best = left.join(above, "tree_id").where("l2 <= lo and h2 >= hi and d2 < depth").groupBy("tree_id", "node_id").agg(F.max_by(F.struct("parent_id", "up"), "d2").alias("p"), F.count("*").alias("n_up"))
-    out = left.join(best, ["tree_id", "node_id"], "left")
-    return out.select("tree_id", "node_id", F.col("p.parent_id").alias("parent_id"), F.coalesce("n_up", F.lit(0)).cast("int").alias("depth"), "lo", "hi", "is_leaf", "name", F.when(F.col("p").isNull(), 0.0).otherwise(F.col("dist") - F.col("p.up")).alias("length"))
+    left = with_outer(same.select("tree_id", "lo", "hi", "x.*"), ["node_id", "dist"])
+    return left.select("tree_id", "node_id", F.col("up.node_id").alias("parent_id"), F.col("level").alias("depth"), "lo", "hi", "is_leaf", "name", F.when(F.col("up").isNull(), 0.0).otherwise(F.col("dist") - F.col("up.dist")).alias("length"))
 
 
 def common_prune(t1: DataFrame, t2: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -267,9 +273,7 @@ def clade_info(nodes: DataFrame, values: DataFrame) -> DataFrame:
 
 def topmost(clades: DataFrame) -> DataFrame:
     """Clades without another of them above."""
-    up = clades.select("tree_id", F.col("lo").alias("l2"), F.col("hi").alias("h2"), F.col("depth").alias("d2"))
-    inside = F.expr("l2 <= lo and h2 >= hi and d2 < depth")
-    return clades.join(up, (clades["tree_id"] == up["tree_id"]) & inside, "left_anti")
+    return outermost(clades)
 
 
 def collapse_by_category(info: DataFrame, threshold: float = 75.0, min_size: int = 3, category: str | None = None) -> DataFrame:
@@ -318,9 +322,8 @@ def validate(nodes: DataFrame, taxa: DataFrame) -> DataFrame:
 
 def inherit_support(nodes: DataFrame) -> DataFrame:
     """Each tip with the support of the nearest node above that has one."""
-    held = nodes.where("not is_leaf and support is not null").select("tree_id", "depth", "support", F.explode(F.sequence("lo", "hi")).alias("rank"))
-    near = held.groupBy("tree_id", "rank").agg(F.max_by("support", "depth").alias("support"))
-    return tips(nodes).join(near, ["tree_id", "rank"], "left").select("tree_id", "name", "support")
+    n = nodes.where("is_leaf or support is not null").select("tree_id", "lo", "hi", "depth", "is_leaf", "name", "support")
+    return with_outer(n, ["support"], "not is_leaf").where("is_leaf").select("tree_id", "name", F.col("up.support").alias("support"))
 
 
 def scope_to_clade(table: DataFrame, clades: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -329,15 +332,36 @@ def scope_to_clade(table: DataFrame, clades: DataFrame, nodes: DataFrame) -> Dat
     return table.join(inside.select("tree_id", "name"), ["tree_id", "name"], "left_semi")
 
 
+def merges_to_nodes(merges: DataFrame, leaves: DataFrame) -> DataFrame:
+    """nodes of each group's linkage (dataset, step, a, b, height, size) in ultrametric form, over leaves (dataset, node, name): a cluster's
+    edge is as long as its parent is higher.
+
+    A node begins where its parent does, or after its sibling; places and depths are sums along the way to the root, found by
+    doubling pointers, all groups together.
+    """
+    size = merges.select("dataset", F.col("step").alias("node"), "size", "height").unionByName(leaves.select("dataset", "node", F.lit(1).cast("long").alias("size"), F.lit(0.0).alias("height")))
+    child = merges.select("dataset", F.col("step").alias("to"), F.col("height").alias("top"), F.posexplode(F.array("a", "b")).alias("second", "node"))
+    first = child.where("second = 0").join(size, ["dataset", "node"]).select("dataset", "to", F.col("size").alias("before"))
+    edges = child.join(size, ["dataset", "node"]).join(first, ["dataset", "to"])
+    put = cut(edges.select("dataset", "node", F.col("to").alias("parent"), "size", (F.col("top") - F.col("height")).alias("length"), F.when(F.col("second") == 1, F.col("before")).otherwise(0).alias("shift")))
+    up = cut(put.select("dataset", "node", F.col("parent").alias("to"), "shift", F.lit(1).alias("depth")))
+    while True:
+        over = up.select("dataset", F.col("node").alias("to"), F.col("to").alias("to2"), F.col("shift").alias("shift2"), F.col("depth").alias("depth2"))
+        more = F.coalesce("shift2", F.lit(0)), F.coalesce("depth2", F.lit(0))
+        up = cut(up.select("dataset", "node", "to", "shift", "depth").join(over, ["dataset", "to"], "left").select("dataset", "node", F.coalesce("to2", "to").alias("to"), (F.col("shift") + more[0]).alias("shift"), (F.col("depth") + more[1]).alias("depth"), F.col("to2").isNotNull().alias("moved")), up)
+        if up.where("moved").isEmpty():
+            break
+    name = leaves.select("dataset", "node", "name")
+    n = put.join(up.select("dataset", "node", F.col("shift").alias("at"), "depth"), ["dataset", "node"]).join(name, ["dataset", "node"], "left")
+    below_root = n.select(F.col("dataset").alias("tree_id"), F.col("node").alias("node_id"), F.col("parent").alias("parent_id"), F.col("depth").cast("int").alias("depth"), (F.col("at") + 1).cast("int").alias("lo"), (F.col("at") + F.col("size")).cast("int").alias("hi"), F.col("name").isNotNull().alias("is_leaf"), "name", "length")
+    alone = size.join(child.select("dataset", "node"), ["dataset", "node"], "left_anti").join(name, ["dataset", "node"], "left")
+    root = alone.select(F.col("dataset").alias("tree_id"), F.col("node").alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(0).alias("depth"), F.lit(1).alias("lo"), F.col("size").cast("int").alias("hi"), F.col("name").isNotNull().alias("is_leaf"), "name", F.lit(0.0).alias("length"))
+    return below_root.unionByName(root)
+
+
 def merges_to_newick(merges: DataFrame, leaves: DataFrame) -> DataFrame:
-    """newick of each group's linkage (dataset, step, a, b, height; clusters are numbered like their step) in ultrametric form.
-    Heights come from the merges; the tree is written by folding them in order, one group in one row."""
-    name = F.map_from_entries(F.collect_list(F.struct("node", "name")))
-    names = leaves.groupBy("dataset").agg(name.alias("names"))
-    g = merges.groupBy("dataset").agg(F.array_sort(F.collect_list(F.struct("step", "a", "b", "height"))).alias("m")).join(names, "dataset")
-    start = F.transform_values("names", lambda k, v: F.struct(v.alias("t"), F.lit(0.0).alias("h")))
-    fold = """aggregate(m, start, (acc, x) -> map_concat(acc, map(x.step, named_struct('t', concat('(', acc[x.a].t, ':', format_number(x.height - acc[x.a].h, '0.000000'), ',', acc[x.b].t, ':', format_number(x.height - acc[x.b].h, '0.000000'), ')'), 'h', x.height))))"""
-    return g.withColumn("start", start).withColumn("all", F.expr(fold)).select("dataset", F.concat(F.col("all")[F.element_at("m", -1)["step"]]["t"], F.lit(";")).alias("newick"))
+    """tree_id, newick of each group's linkage."""
+    return write_newick(merges_to_nodes(merges, leaves))
 
 
 def resolve_polytomies(nodes: DataFrame, seed: int = 1) -> DataFrame:

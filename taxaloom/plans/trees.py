@@ -3,7 +3,7 @@ by band, then segment (tree b)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from taxaloom.operators import trees as op
 from taxaloom.session import cut, table
@@ -105,8 +105,13 @@ def d15_common_prune(spark, d):
 
 
 def d16_midpoint_root(spark, d):
-    n = op.midpoint_root(_a(spark, d))
-    return n.groupBy("tree_id").agg(F.count_if("is_leaf").alias("tips"), F.count_if(F.col("parent_id").isNull()).alias("roots"))
+    """The farthest tip of each tree lies half of the longest way from its root, and so does one below another child."""
+    n = cut(op.midpoint_root(_a(spark, d)))
+    far = op.node_depths(n).where("is_leaf").select("tree_id", F.col("lo").alias("tip"), "dist")
+    top = n.where("depth = 1").select("tree_id", "node_id", F.explode(F.sequence("lo", "hi")).alias("tip")).join(far, ["tree_id", "tip"]).groupBy("tree_id", "node_id").agg(F.max("dist").alias("reach"))
+    arms = top.groupBy("tree_id").agg(F.sort_array(F.collect_list("reach"), asc=False).alias("r"))
+    size = n.groupBy("tree_id").agg(F.count_if("is_leaf").alias("tips"), F.count_if(F.col("parent_id").isNull()).alias("roots"))
+    return size.join(arms, "tree_id").select("tree_id", "tips", "roots", F.round(F.col("r")[0], 6).alias("arm"), F.round(F.col("r")[1], 6).alias("other_arm"))
 
 
 def d17_outgroup_root(spark, d):
@@ -128,7 +133,8 @@ def d20_collapse_depth(spark, d):
 
 
 def d21_cut_clades(spark, d):
-    return op.cut_clades(_a(spark, d), 4).groupBy("tree_id").agg(F.count("*").alias("parts"), F.sum("size").alias("tips"))
+    n = cut(_a(spark, d))
+    return op.cut_clades(cut(op.prune(n, op.tips(n))), 7).select("tree_id", "lo", "hi", "size")
 
 
 def d22_clade_roster(spark, d):
@@ -146,6 +152,13 @@ def d24_resolve_polytomies(spark, d):
     return size.join(kids, "tree_id", "left").select("tree_id", "tips", "nodes", "no_length", "kids")
 
 
+def d25_merges_to_newick(spark, d):
+    """Each nation's customers merged one after the other, each half higher than the last."""
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("dataset"), F.concat(F.lit("c"), F.col("c_custkey")).alias("name"), (F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).cast("long").alias("node"), F.count("*").over(Window.partitionBy("c_nationkey")).alias("n"))
+    merges = c.where("node > 0").select("dataset", (F.col("n") + F.col("node") - 1).alias("step"), F.when(F.col("node") == 1, 0).otherwise(F.col("n") + F.col("node") - 2).alias("a"), F.col("node").alias("b"), (F.col("node") * 0.5).cast("double").alias("height"), (F.col("node") + 1).alias("size"))
+    return op.merges_to_newick(merges, c.select("dataset", "node", "name"))
+
+
 def d27_tree_provenance(spark, d):
     c = table(spark, d, "customer").select(F.col("c_nationkey").alias("run"), F.col("c_mktsegment").alias("cluster"), "c_acctbal")
     own = c.where("run % 3 > 0").groupBy("run", "cluster").agg(F.max("c_acctbal").alias("top")).where("top > 9000")
@@ -218,7 +231,25 @@ SELECT tree_id, CASE WHEN support IS NOT NULL THEN 'single' END AS kind, CASE WH
     "d13_order_branches": f"""WITH {_L}, m AS (SELECT *, count(*) OVER s AS n1, count(*) OVER t AS n2, min(rank) OVER s AS w1, min(rank) OVER t AS w2, min(name) OVER s AS f1, min(name) OVER t AS f2 FROM ra WINDOW s AS (PARTITION BY tree_id, seg), t AS (PARTITION BY tree_id, seg, band))
 SELECT tree_id, name, rank, 'file' AS how FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY n1, w1, n2, w2, rank), 'ladder-asc' FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY -n1, w1, -n2, w2, rank), 'ladder-desc' FROM m UNION ALL SELECT tree_id, name, row_number() OVER (PARTITION BY tree_id ORDER BY f1, f2, name), 'alpha' FROM m""",
     "d15_common_prune": f"WITH {_L} SELECT tree_id, count(*) AS tips, count(*) AS tips_b FROM leaves WHERE length < 0.75 GROUP BY 1",
-    "d16_midpoint_root": "SELECT c_nationkey AS tree_id, count(*) AS tips, CAST(1 AS BIGINT) AS roots FROM customer GROUP BY 1",
+    "d16_midpoint_root": f"WITH {_L} SELECT tree_id, (SELECT count(*) FROM leaves l WHERE l.tree_id = p.tree_id) AS tips, CAST(1 AS BIGINT) AS roots, round(max(d) / 2, 6) AS arm, round(max(d) / 2, 6) AS other_arm FROM (SELECT {_PAIR.format('seg', 'band')}) p GROUP BY tree_id",
+    "d14_prune": f"""{_W}, k AS (SELECT tree_id, rank, row_number() OVER (PARTITION BY tree_id ORDER BY rank) AS new FROM ra WHERE length > 0.35),
+c AS (SELECT a.tree_id, node_id, depth, is_leaf, a.name, CASE WHEN is_leaf THEN 1 + length ELSE depth * 0.5 END AS dist, min(new)::INT AS lo, max(new)::INT AS hi FROM a JOIN k ON a.tree_id = k.tree_id AND rank BETWEEN a.lo AND a.hi GROUP BY ALL),
+o AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY tree_id, lo, hi ORDER BY depth DESC) = 1),
+u AS (SELECT o.tree_id, o.node_id, max(p.dist) AS up FROM o JOIN o p ON o.tree_id = p.tree_id AND p.lo <= o.lo AND p.hi >= o.hi AND p.depth < o.depth GROUP BY ALL)
+SELECT tree_id, lo, hi, is_leaf, name, round(CASE WHEN up IS NULL THEN 0 ELSE dist - up END, 6) AS length FROM o LEFT JOIN u USING (tree_id, node_id)""",
+    "d21_cut_clades": f"""{_W}, i AS (SELECT DISTINCT tree_id, lo, hi FROM a),
+up AS (SELECT x.tree_id, x.lo, x.hi, y.lo AS plo, y.hi AS phi FROM i x JOIN i y ON x.tree_id = y.tree_id AND y.lo <= x.lo AND y.hi >= x.hi AND (y.lo, y.hi) <> (x.lo, x.hi) QUALIFY row_number() OVER (PARTITION BY x.tree_id, x.lo, x.hi ORDER BY y.hi - y.lo) = 1),
+kids AS (SELECT tree_id, plo, phi, list([lo, hi]) AS kids FROM up GROUP BY ALL),
+walk AS (WITH RECURSIVE w(tree_id, parts, turn) AS (SELECT tree_id, [[min(lo), max(hi)]], 1 FROM i GROUP BY tree_id
+  UNION ALL SELECT w.tree_id, list_concat(list_filter(w.parts, lambda x: x <> [k.plo, k.phi]), k.kids), turn + 1
+  FROM (SELECT *, list_sort(list_transform(list_filter(parts, lambda x: x[2] > x[1]), lambda x: [x[1] - x[2], x[1], x[2]]))[1] AS p FROM w WHERE len(parts) < 7) w JOIN kids k ON k.tree_id = w.tree_id AND k.plo = p[2] AND k.phi = p[3])
+  SELECT tree_id, arg_max(parts, turn) AS parts FROM w GROUP BY tree_id)
+SELECT tree_id, x[1]::INT AS lo, x[2]::INT AS hi, (x[2] - x[1] + 1)::INT AS size FROM (SELECT tree_id, unnest(parts) AS x FROM walk)""",
+    "d23_validate": f"""WITH {_L}, kids AS (SELECT tree_id, count(DISTINCT band) AS k FROM leaves GROUP BY tree_id, seg UNION ALL SELECT tree_id, count(*) FROM leaves GROUP BY tree_id, seg, band),
+odd AS (SELECT tree_id, count(*) FILTER (k <> 2) AS odd FROM kids GROUP BY 1), t AS (SELECT tree_id, count(DISTINCT seg) AS root_degree, count(*) FILTER (length <= 0.15) AS extra FROM leaves GROUP BY 1)
+SELECT tree_id, 0::BIGINT AS duplicates, 0::BIGINT AS missing, extra, root_degree, odd, CASE WHEN extra > 0 THEN 'tips differ from the alignment' WHEN root_degree <> 3 THEN 'root is not trifurcating' WHEN odd > 0 THEN 'not binary' ELSE 'ok' END AS verdict FROM t JOIN odd USING (tree_id)""",
+    "d25_merges_to_newick": """WITH c AS (SELECT c_nationkey AS tree_id, 'c' || c_custkey AS name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS k FROM customer)
+SELECT tree_id, repeat('(', count(*) - 1) || min_by(name, k) || coalesce(string_agg(':0.500000,' || name || ':' || printf('%.6f', k * 0.5) || ')', '' ORDER BY k) FILTER (k > 0), '') || ';' AS newick FROM c GROUP BY tree_id""",
     "d17_outgroup_root": f"WITH {_L} SELECT tree_id, name, round(length / 2, 6) AS length FROM leaves QUALIFY row_number() OVER (PARTITION BY tree_id ORDER BY name) = 1",
     "d18_clade_info": f"{_W}, {_INFO} SELECT tree_id, node_id, CAST(size AS INT) AS size, dominant, homogeneity FROM info",
     "d19_collapse_by_category": f"{_W}, {_INFO}, ok AS (SELECT * FROM info WHERE homogeneity >= 75 AND size >= 2) SELECT tree_id, node_id, size, dominant FROM ok o WHERE NOT EXISTS (SELECT 1 FROM ok u WHERE u.tree_id = o.tree_id AND u.lo <= o.lo AND u.hi >= o.hi AND u.depth < o.depth)",
