@@ -15,15 +15,15 @@ def with_outer(rows: DataFrame, carry: list[str], outer: str = "true") -> DataFr
     chosen = F.expr(outer)
     mark = lambda at, kind, depth, by: F.struct(at.alias("at"), F.lit(kind).alias("kind"), depth.alias("depth"), by.alias("by"))
     step = F.when(chosen, 1).otherwise(0)
-    swept = rows.withColumn("e", F.explode(F.array(mark(F.col("lo"), 0, F.col("depth"), step), mark(F.col("hi"), 1, -F.col("depth"), -step))))
-    run = Window.partitionBy("tree_id").orderBy("e.at", "e.kind", "e.depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = swept.withColumn("level", (F.sum("e.by").over(run) - step).cast("int")).where("e.kind = 0").drop("e").withColumn("chosen", chosen)
+    swept = rows.withColumn("_swept", F.explode(F.array(mark(F.col("lo"), 0, F.col("depth"), step), mark(F.col("hi"), 1, -F.col("depth"), -step))))
+    run = Window.partitionBy("tree_id").orderBy("_swept.at", "_swept.kind", "_swept.depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = swept.withColumn("level", (F.sum("_swept.by").over(run) - step).cast("int")).where("_swept.kind = 0").drop("_swept").withColumn("_chosen", chosen)
     offer = F.struct(F.lit(0).alias("turn"), (F.col("level") + 1).alias("on"))
     ask = F.struct(F.lit(1).alias("turn"), F.col("level").alias("on"))
-    both = levels.withColumn("s", F.explode(F.when(F.col("chosen"), F.array(offer, ask)).otherwise(F.array(ask))))
-    before = Window.partitionBy("tree_id", "s.on").orderBy("lo", "depth", "s.turn").rowsBetween(Window.unboundedPreceding, -1)
-    near = F.last(F.when(F.col("s.turn") == 0, F.struct(*carry)), ignorenulls=True).over(before)
-    found = both.withColumn("up", near).where("s.turn = 1")
+    both = levels.withColumn("_offer", F.explode(F.when(F.col("_chosen"), F.array(offer, ask)).otherwise(F.array(ask))))
+    before = Window.partitionBy("tree_id", "_offer.on").orderBy("lo", "depth", "_offer.turn").rowsBetween(Window.unboundedPreceding, -1)
+    near = F.last(F.when(F.col("_offer.turn") == 0, F.struct(*carry)), ignorenulls=True).over(before)
+    found = both.withColumn("up", near).where("_offer.turn = 1")
     return found.select(*rows.columns, "level", F.when(F.col("level") > 0, F.col("up")).alias("up"))
 
 

@@ -403,11 +403,10 @@ def _path(nodes: DataFrame, at: DataFrame) -> DataFrame:
     """nodes with the chosen node's xl, xh, xd, and i, place and depth of the lowest node on its way to the root that holds them
     (i counts from its parent, 1)."""
     x = at.join(nodes.select("tree_id", "node_id", F.col("lo").alias("xl"), F.col("hi").alias("xh"), F.col("depth").alias("xd"), F.col("length").alias("xlen"), F.col("parent_id").alias("xparent")), ["tree_id", "node_id"]).withColumnRenamed("node_id", "x")
-    n = nodes.join(x, "tree_id")
-    on = n.where("lo <= xl and hi >= xh and depth < xd").select("tree_id", (F.col("xd") - F.col("depth")).alias("pi"), F.col("lo").alias("pl"), F.col("hi").alias("ph"), F.col("depth").alias("pd"), F.col("node_id").alias("pn"))
-    held = n.join(on, "tree_id", "left").where("pn is null or (pl <= lo and ph >= hi and pd < depth) or node_id = pn")
-    low = held.groupBy("tree_id", "node_id").agg(F.min_by(F.struct("pi", "pd", "pn"), "pi").alias("on"))
-    return n.join(low, ["tree_id", "node_id"], "left").select(*[n[c] for c in n.columns], F.col("on.pi").alias("i"), F.col("on.pd").alias("on_depth"), F.col("on.pn").alias("on_node"))
+    n = nodes.join(x, "tree_id").withColumn("on_way", F.expr("lo <= xl and hi >= xh and depth < xd"))
+    near = with_outer(n, ["depth", "node_id"], "on_way")
+    of = lambda c: F.when(F.col("on_way"), F.col(c)).otherwise(F.col(f"up.{c}"))
+    return near.select(*[c for c in n.columns if c != "on_way"], (F.col("xd") - of("depth")).alias("i"), of("depth").alias("on_depth"), of("node_id").alias("on_node"))
 
 
 def reroot(nodes: DataFrame, at: DataFrame) -> DataFrame:
@@ -445,8 +444,8 @@ def farthest(nodes: DataFrame, start: DataFrame) -> DataFrame:
     """tree_id, node_id, far, top: the tip farthest from a tip (tree_id, node_id), how far, and how deep their common node lies."""
     d = node_depths(nodes.withColumn("length", F.when(F.col("parent_id").isNull(), 0.0).when(F.col("length") <= 0, 0.001).otherwise(F.col("length"))))
     own = d.join(start, ["tree_id", "node_id"]).select("tree_id", F.col("lo").alias("sl"), F.col("dist").alias("sd"), F.col("node_id").alias("s"))
-    up = d.where("not is_leaf").join(own, "tree_id").where("lo <= sl and hi >= sl").select("tree_id", F.col("lo").alias("pl"), F.col("hi").alias("ph"), F.col("depth").alias("pd"), F.col("dist").alias("up"), "sd", "s")
-    met = d.where("is_leaf").join(up, "tree_id").where("pl <= lo and ph >= lo and node_id <> s").groupBy("tree_id", "node_id", "dist", "sd").agg(F.max_by("up", "pd").alias("top"))
+    near = with_outer(d.join(own, "tree_id"), ["dist"], "not is_leaf and lo <= sl and hi >= sl")
+    met = near.where("is_leaf and node_id <> s").select("tree_id", "node_id", "dist", "sd", F.col("up.dist").alias("top"))
     far = met.withColumn("far", F.round(F.col("dist") + F.col("sd") - 2 * F.col("top"), 9))
     return far.groupBy("tree_id").agg(F.max_by(F.struct("node_id", "far", "top", "dist", "sd"), F.struct("far", "node_id")).alias("x")).select("tree_id", "x.*")
 
