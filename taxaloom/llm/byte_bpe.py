@@ -12,13 +12,16 @@ same, and neither texts nor words are shuffled.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -209,34 +212,38 @@ def vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
 
+def encoded(texts: Iterable[str | None], content: bytes, pattern: regex.Pattern) -> Iterator[bytes]:
+    """The ids of each text in turn, as little-endian unsigned 32-bit integers; a part of the texts is held at a time."""
+    v = vocabulary(content)
+    part: list[np.ndarray] = []
+    size = 0
+
+    def flush() -> Iterator[bytes]:
+        v.learn()
+        flat, offset = np.frombuffer(b"".join(v.packed), "<u4"), np.cumsum([0, *map(len, v.packed)]) // 4
+        for words in part:
+            pieces = [_gathered(flat, offset, words[i : i + CHUNK]).tobytes() for i in range(0, len(words), CHUNK)]
+            yield pieces[0] if len(pieces) == 1 else b"".join(pieces)
+        if len(v.packed) > CACHE_WORDS:
+            v.forget()
+
+    for t in texts:
+        words = pattern.findall(t or "")
+        part.append(np.fromiter(map(v.ids.__getitem__, words), np.int32, len(words)))
+        size += len(t or "")
+        if size >= PART_CHARS:
+            yield from flush()
+            part, size = [], 0
+    yield from flush()
+
+
 def encode_column(text: Column, content: bytes, pattern: str) -> Column:
     """Ids of each text as little-endian unsigned 32-bit integers; null is taken as empty."""
     cut_words = regex.compile(pattern)
 
     @F.pandas_udf("binary")
     def encode(texts: pd.Series) -> pd.Series:
-        v, out = vocabulary(content), []
-        part: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> None:
-            nonlocal part, size
-            v.learn()
-            flat, offset = np.frombuffer(b"".join(v.packed), "<u4"), np.cumsum([0, *map(len, v.packed)]) // 4
-            for words in part:
-                pieces = [_gathered(flat, offset, words[i : i + CHUNK]).tobytes() for i in range(0, len(words), CHUNK)]
-                out.append(pieces[0] if len(pieces) == 1 else b"".join(pieces))
-            part, size = [], 0
-            if len(v.packed) > CACHE_WORDS:
-                v.forget()
-
-        for t in texts:
-            words = cut_words.findall(t or "")
-            part.append(np.fromiter(map(v.ids.__getitem__, words), np.int32, len(words)))
-            size += len(t or "")
-            if size >= PART_CHARS:
-                flush()
-        flush()
+        out = list(encoded(texts, content, cut_words))
         release()
         return pd.Series(out, dtype=object)
 
@@ -265,6 +272,23 @@ def encode_documents(docs: DataFrame, content: bytes, pattern: str, text: str =
 
 
 def round_trip(docs: DataFrame, content: bytes, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the bytes decoded from them."""
-    coded = encode_documents(docs.select("doc_id", "text"), content, pattern)
-    return coded.withColumn("decoded", decode_column(F.col("ids"), content)).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens and the digests of the ids and of the bytes decoded from them. Ids and bytes of a text are hashed where they
+    are made, and only digests leave the worker."""
+    cut_words = regex.compile(pattern)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat, offset = token_bytes(content)
+            n, ids, back = [], [], []
+            for x in encoded((t.as_py() for t in b.column(1)), content, cut_words):
+                listed, decoded = np.frombuffer(x, "<u4").astype(np.int64), hashlib.sha256()
+                for i in range(0, len(listed), CHUNK):
+                    decoded.update(_gathered(flat, offset, listed[i : i + CHUNK]).tobytes())
+                n.append(len(listed))
+                ids.append(hashlib.sha256(x).hexdigest())
+                back.append(decoded.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            release()
+
+    return docs.select("doc_id", "text").mapInArrow(digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
