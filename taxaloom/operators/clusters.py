@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from taxaloom.operators import partitions
 from taxaloom.operators.numbering import numbered
@@ -25,6 +28,8 @@ SPAN_ROWS = 1_000
 MERGES = "dataset string, step long, a long, b long, height double, size long"
 #: Fixed value: silhouette above which a later local maximum is a peak.
 PEAK = 0.35
+#: Of the sums that tell k-mers apart.
+HASH_FACTOR, HASH_PRIME = 7_919, 1_000_003
 #: A grid of thresholds, a row a point.
 GRID = "candidate_id string, threshold double, least_coverage double"
 
@@ -439,8 +444,35 @@ def silhouette_profile(points: DataFrame, merges: DataFrame, max_k: int = 20) ->
 def sweep(pairs: DataFrame, taxa: DataFrame, kind: str, grid: Iterable[tuple[float, float]], spaces: dict[str, DataFrame], min_size: int = 10) -> DataFrame:
     """Candidates of a grid of (threshold, coverage), clustered from one pair table and scored in one job."""
     at = taxa.sparkSession.createDataFrame([(f"g{i}", float(t), float(c)) for i, (t, c) in enumerate(grid)], GRID)
-    found = cut(cluster_grid(pairs, taxa, kind, at))
-    label = found.select("candidate_id", "rep").distinct().withColumn("label", F.dense_rank().over(Window.partitionBy("candidate_id").orderBy("rep")) - 1)  # one row a cluster
+    return _scored(cut(cluster_grid(pairs, taxa, kind, at)), at, spaces, min_size)
+
+
+def sweep_with(table: DataFrame, cluster_fn: Callable[[DataFrame, float, float], DataFrame], grid: Iterable[tuple[float, float]], spaces: dict[str, DataFrame], min_size: int = 10, at_once: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Candidates of a grid of (threshold, coverage) as sweep() has them, clustered by a function of the caller's from the table and a point
+    to (taxon_id, rep); and the points that failed (candidate_id, threshold, least_coverage, error), which are left out. Points run as
+    jobs side by side; all are scored in one."""
+    points = [(f"g{i}", float(t), float(c)) for i, (t, c) in enumerate(grid)]
+
+    def run(point: tuple[str, float, float]):
+        try:
+            return cut(cluster_fn(table, *point[1:]).select(F.lit(point[0]).alias("candidate_id"), "taxon_id", "rep")), None
+        except Exception as e:  # a clusterer may fail in any way; the others go on
+            return None, (*point, f"{type(e).__name__}: {e}"[:500])
+
+    with ThreadPoolExecutor(at_once) as pool:
+        done = list(pool.map(inheritable_thread_target(table.sparkSession)(run), points))
+    spark = table.sparkSession
+    failed = spark.createDataFrame([e for _, e in done if e], f"{GRID}, error string")
+    found = [x for x, _ in done if x is not None]
+    members = found[0] if found else spark.createDataFrame([], "candidate_id string, taxon_id string, rep string")
+    for x in found[1:]:
+        members = members.unionByName(x)
+    return _scored(members, spark.createDataFrame([p for p, (x, _) in zip(points, done, strict=True) if x is not None], GRID), spaces, min_size), failed
+
+
+def _scored(found: DataFrame, at: DataFrame, spaces: dict[str, DataFrame], min_size: int) -> DataFrame:
+    """The candidates of a grid with the scores of their members."""
+    label = numbered(found.select("candidate_id", "rep").distinct(), ["candidate_id"], ["rep"], "label")
     labels = found.join(label, ["candidate_id", "rep"]).select("candidate_id", "taxon_id", "label")
     return at.withColumn("grid_pos", F.substring("candidate_id", 2, 9).cast("int")).join(partitions.score(labels, spaces, min_size), "candidate_id")
 
@@ -480,18 +512,39 @@ def project_2d(vectors: DataFrame, span: float = 500.0) -> DataFrame:
     return p.crossJoin(F.broadcast(r)).select("taxon_id", axis(0).alias("x"), axis(1).alias("y"))
 
 
-def embed_sequences(seqs: DataFrame, dim: int = 64, k: int = 3, max_length: int = 1024, encoder: Callable | None = None) -> DataFrame:
-    """taxon_id, vec: the mean over tokens of an encoder's vectors (a function from a list of sequences to a list of token
-    matrices, called by batch); first and last token don't count if there are more than two. Without an encoder, hashed k-mers
-    are the tokens."""
-    if encoder is None:
-        mers = F.transform(F.sequence(F.lit(1), F.greatest(F.length("seq") - k + 1, F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substr(F.col("seq"), i, F.lit(k))), F.lit(dim)))
-        each = seqs.select("taxon_id", F.explode(mers).alias("d")).groupBy("taxon_id", "d").agg(F.count("*").alias("n"))
-        m = each.groupBy("taxon_id").agg(F.map_from_entries(F.collect_list(F.struct("d", "n"))).alias("m"), F.sum("n").alias("total"))
-        return m.select("taxon_id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("m", i.cast("long")), F.lit(0)) / F.col("total")).alias("vec"))
+def _kmer_slot(mer: Column, k: int, dim: int) -> Column:
+    """A k-mer's place among ``dim``, from its code points."""
+    out = F.lit(0).cast("long")
+    for i in range(k):
+        out = (out * HASH_FACTOR + F.ascii(F.substring(mer, i + 1, 1))) % HASH_PRIME
+    return (out % dim).cast("int")
 
-    @F.pandas_udf("array<double>")
-    def pooled(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(t if len(t) <= 2 else t[1:-1], float).mean(0) for t in encoder([s[:max_length] for s in texts])])
 
-    return seqs.select("taxon_id", pooled("seq").alias("vec"))
+def embed_sequences(seqs: DataFrame, dim: int = 64, k: int = 3, max_length: int = 1024) -> DataFrame:
+    """taxon_id, vec: shares of hashed k-mers of the first ``max_length`` letters; a sequence shorter than k is one k-mer."""
+    head = F.substring("seq", 1, max_length)
+    mers = F.transform(F.sequence(F.lit(1), F.greatest(F.length(head) - k + 1, F.lit(1))), lambda i: _kmer_slot(F.substr(head, i, F.lit(k)), k, dim))
+    each = seqs.select("taxon_id", F.explode(mers).alias("d")).groupBy("taxon_id", "d").agg(F.count("*").alias("n"))
+    m = each.groupBy("taxon_id").agg(F.map_from_entries(F.collect_list(F.struct("d", "n"))).alias("m"), F.sum("n").alias("total"))
+    return m.select("taxon_id", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("total")).alias("vec"))
+
+
+def embed_with(seqs: DataFrame, make_encoder: Callable[[], Callable[[list[str]], list]], max_length: int = 1024, batch: int = 64) -> DataFrame:
+    """taxon_id, vec: the mean over tokens of a user's model. make_encoder is called once in a worker and gives a function from a list of
+    sequences, cut to ``max_length``, to their token matrices; first and last token don't count if there are more than two.
+
+    Rows are put in order of length in their partition, so that those of a batch are alike. An empty or null sequence has no vector.
+    """
+
+    def make():
+        encoder = make_encoder()
+
+        def predict(texts: np.ndarray) -> np.ndarray:
+            out = encoder([str(t)[:max_length] for t in texts.ravel()])
+            return np.stack([np.asarray(t[1:-1] if len(t) > 2 else t, float).mean(0) for t in out])
+
+        return predict
+
+    model = predict_batch_udf(make, return_type=ArrayType(DoubleType()), batch_size=batch)
+    some = seqs.where("seq <> ''").select("taxon_id", F.substring("seq", 1, max_length).alias("seq")).sortWithinPartitions(F.length("seq"))
+    return some.select("taxon_id", model("seq").alias("vec"))

@@ -467,12 +467,17 @@ def midpoint_root(nodes: DataFrame) -> DataFrame:
     return reroot(nodes, one.select("tree_id", "x.*"))
 
 
+#: Endings of cluster trees by alphabet, the first that is there counts.
+TREE_ENDINGS = {"3di": [*[f"_{x}.treefile" for x in ("alphafold", "both", "esmfold", "af", "llm", "auto", "3di_fasttree", "3di")], "_foldmason.nwk"], "aa": ["_aa.treefile", "_aa_fasttree.treefile"]}
+
+
 def tree_catalog(files: DataFrame) -> DataFrame:
-    """The best tree file (path) of each run, cluster and alphabet, by suffix: treefile, contree, nwk."""
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
-    rank = F.when(name.endswith(".treefile"), 0).when(name.endswith(".contree"), 1).when(name.endswith(".nwk"), 2)
-    k = F.row_number().over(Window.partitionBy("run", "cluster", "alphabet").orderBy(rank, "path"))
-    return files.withColumn("rank", rank).where("rank is not null").withColumn("k", k).where("k = 1").drop("k", "rank")
+    """run, cluster, alphabet and path of the best tree of each cluster: files (path) below <run>/phylogeny/cluster_*, by ending, then path."""
+    run, cluster, name = (F.regexp_extract("path", r"([^/]+)/phylogeny/(cluster_[^/]*)/([^/]+)$", i) for i in (1, 2, 3))
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("alphabet"), F.lit(i).alias("rank"), F.lit(e).alias("ending")) for a, ends in TREE_ENDINGS.items() for i, e in enumerate(ends)]))
+    found = files.select("path", run.alias("run"), cluster.alias("cluster"), name.alias("name"), each.alias("e")).where(F.expr("endswith(name, e.ending)"))
+    best = found.groupBy("run", "cluster", "e.alphabet").agg(F.min(F.struct("e.rank", "path")).alias("x"))
+    return best.select("run", "cluster", "alphabet", F.col("x.path").alias("path"))
 
 
 def tree_provenance(clusters: DataFrame, own: DataFrame) -> DataFrame:

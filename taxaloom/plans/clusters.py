@@ -67,19 +67,61 @@ def c17_sweep_k(spark, d):
 
 
 def c29_project_2d(spark, d):
-    return op.project_2d(ad.vectors(spark, d)).select("taxon_id", F.abs("x").between(0, 500.001).alias("x_in"), F.abs("y").between(0, 500.001).alias("y_in"))
+    """By how much the plane's axes are stretched is undone: variances along them are the largest two of the cloud's."""
+    p = op.project_2d(ad.vectors(spark, d))
+    r = p.agg(*[f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("lo", F.min), ("hi", F.max))], F.corr("x", "y").alias("corr"), F.count("*").alias("n"))
+    return r.select("n", *[F.round(c, 4).alias(c) for c in ("lo_x", "hi_x", "lo_y", "hi_y")], (F.abs("corr") < 1e-6).alias("apart"))
 
 
 def c30_embed_sequences(spark, d):
-    return op.embed_sequences(ad.sequences(spark, d)).select("taxon_id", F.size("vec").alias("dim"), F.round(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
+    return op.embed_sequences(ad.sequences(spark, d)).select("taxon_id", F.posexplode("vec").alias("i", "x")).where("x > 0").select("taxon_id", "i", F.round("x", 9).alias("x"))
 
 
-QUERIES = {k: f for k, f in globals().items() if k[:1] == "c" and k[1:2].isdigit()}
+def _make_encoder():
+    """A model of two numbers a token, from its letter and its place."""
+    return lambda texts: [[(ord(c) % 7, (i + 1) % 5) for i, c in enumerate(t)] for t in texts]
+
+
+def i2_embed_with(spark, d):
+    return op.embed_with(ad.sequences(spark, d), _make_encoder).select("taxon_id", F.round(F.get("vec", F.lit(0)), 6).alias("a"), F.round(F.get("vec", F.lit(1)), 6).alias("b"))
+
+
+def i3_metrics(spark, d):
+    v = ad.vectors(spark, d)
+    named = [distances.pairs(v, m, by=("label",)).select(F.lit(n).alias("metric"), "label", "a", "b", "d") for n, m in (("euclidean", "euclidean"), ("l1", "l1"), ("largest", "array_max(zip_with(x, y, (p, q) -> abs(p - q)))"))]
+    return named[0].unionByName(named[1]).unionByName(named[2]).groupBy("metric", "label").agg(F.count("*").alias("n"), F.round(F.sum("d"), 4).alias("total"), F.round(F.max("d"), 6).alias("most"))
+
+
+def _by_number(vectors, threshold, coverage):
+    """A clusterer of a user's: numbers in runs of the threshold; under 1 it fails."""
+    if threshold < 1:
+        raise ValueError("no runs under one")
+    run = F.floor(F.col("ord") / threshold)
+    return vectors.join(vectors.groupBy(run.alias("run")).agg(F.min("taxon_id").alias("rep")), run == F.col("run")).select("taxon_id", "rep")
+
+
+def i1_callback_sweep(spark, d):
+    v = cut(ad.vectors(spark, d))
+    found, failed = op.sweep_with(v, _by_number, [(5, 0.0), (0.5, 0.0), (40, 0.5), (100, 0.0)], {"vectors": v}, 10)
+    columns = ["candidate_id", "threshold", "grid_pos", "n_clusters", "usable", "retained_fraction", "error"]
+    return found.withColumn("error", F.lit(None).cast("string")).select(*columns).unionByName(failed.select("candidate_id", "threshold", F.lit(None).cast("int").alias("grid_pos"), *[F.lit(None).cast("long").alias(c) for c in ("n_clusters", "usable")], F.lit(None).cast("double").alias("retained_fraction"), "error"))
+
+
+QUERIES = {k: f for k, f in globals().items() if k[:1] in "ci" and k[1:2].isdigit()}
 
 SQL = {
     "c1_embedding_pairs": f"WITH {ad.VECTORS}, u AS (SELECT label, taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT x.label, x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.label = y.label AND x.taxon_id < y.taxon_id",
     "c1_near_pairs": f"WITH {ad.VECTORS}, u AS (SELECT taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT a, b, d FROM (SELECT x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.taxon_id < y.taxon_id) WHERE d <= 0.6",
     "c9_neighbor_joining": f"WITH {ad.VECTORS} SELECT 'l' || label AS dataset, count(*) AS leaves, CASE count(*) WHEN 2 THEN 2 ELSE 2 * count(*) - 3 END AS edges, greatest(count(*) - 2, 1) AS joins FROM vectors GROUP BY label HAVING count(*) > 1",
-    "c29_project_2d": f"WITH {ad.VECTORS} SELECT taxon_id, true AS x_in, true AS y_in FROM vectors",
-    "c30_embed_sequences": f"WITH {ad.SEQUENCES} SELECT taxon_id, CAST(64 AS INT) AS dim, 1.0 AS total FROM sequences",
+    "c29_project_2d": f"WITH {ad.VECTORS} SELECT count(*) AS n, -500.0 AS lo_x, 500.0 AS hi_x, -500.0 AS lo_y, 500.0 AS hi_y, true AS apart FROM vectors",
+    "c30_embed_sequences": f"""WITH {ad.SEQUENCES}, m AS (SELECT taxon_id, left(seq, 1024) AS s, unnest(range(1, greatest(length(left(seq, 1024)) - 2, 1) + 1)) AS i FROM sequences),
+h AS (SELECT taxon_id, list_reduce(list_concat([0::BIGINT], list_transform([0, 1, 2], lambda j: coalesce(ascii(nullif(substr(s, i + j, 1), '')), 0)::BIGINT)), lambda a, c: (a * {op.HASH_FACTOR} + c) % {op.HASH_PRIME}) % 64 AS i FROM m)
+SELECT taxon_id, i::INT AS i, round(count(*) / sum(count(*)) OVER (PARTITION BY taxon_id), 9) AS x FROM h GROUP BY taxon_id, i""",
+    "i1_callback_sweep": f"""WITH {ad.VECTORS}, g(candidate_id, threshold, grid_pos) AS (VALUES ('g0', 5.0::DOUBLE, 0), ('g2', 40.0, 2), ('g3', 100.0, 3)), s AS (SELECT candidate_id, threshold, grid_pos, ord // threshold::BIGINT AS run, count(*) AS n FROM g, vectors GROUP BY ALL)
+SELECT candidate_id, threshold, grid_pos, count(*) AS n_clusters, count(*) FILTER (n >= 10) AS usable, round(coalesce(sum(n) FILTER (n >= 10), 0) / sum(n), 4) AS retained_fraction, NULL AS error FROM s GROUP BY ALL UNION ALL SELECT 'g1', 0.5, NULL, NULL, NULL, NULL, 'ValueError: no runs under one'""",
+    "i2_embed_with": f"""WITH {ad.SEQUENCES}, c AS (SELECT taxon_id, length(left(seq, 1024)) AS n, seq, unnest(range(1, length(left(seq, 1024)) + 1)) AS i FROM sequences)
+SELECT taxon_id, round(avg(ascii(substr(seq, i, 1)) % 7), 6) AS a, round(avg(i % 5), 6) AS b FROM c WHERE n <= 2 OR (i > 1 AND i < n) GROUP BY taxon_id""",
+    "i3_metrics": f"""WITH {ad.VECTORS}, p AS (SELECT x.label, list_transform(list_zip(x.vec, y.vec), lambda z: abs(z[1] - z[2])) AS g FROM vectors x JOIN vectors y ON x.label = y.label AND x.taxon_id < y.taxon_id),
+m AS (SELECT 'euclidean' AS metric, label, sqrt(list_sum(list_transform(g, lambda z: z * z))) AS d FROM p UNION ALL SELECT 'l1', label, list_sum(g) FROM p UNION ALL SELECT 'largest', label, list_max(g) FROM p)
+SELECT metric, label, count(*) AS n, round(sum(d), 4) AS total, round(max(d), 6) AS most FROM m GROUP BY ALL""",
 }

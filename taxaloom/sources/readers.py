@@ -40,6 +40,10 @@ def count_fasta(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count_if(F.col("value").startswith(">")).alias("records"))
 
 
+#: What is read to choose a table's delimiter: lines, and characters of them.
+SNIFFED_LINES, SNIFFED = 200, 8192
+
+
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
@@ -101,12 +105,16 @@ def bfactor_profile(residues: DataFrame, key: str = "path") -> DataFrame:
     return residues.groupBy(key).agg(F.count("*").alias("n"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY bfactor DESC)").alias("median_bfactor"))
 
 
-def read_metadata_delimited(spark: SparkSession, path: str) -> DataFrame:
-    """A table of strings; the delimiter is the most frequent of , tab ; | in the first line, a comma if there is none."""
-    first = spark.read.text(path).limit(1).collect()  # one line, to choose the reader's option
-    line = first[0]["value"] if first else ""
-    sep = max(",\t;|", key=lambda c: (line.count(c), c == ","))
-    return spark.read.csv(path, sep=sep, header=True, multiLine=True)
+def read_metadata_delimited(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A table of strings; the delimiter is the one of , tab ; | that is most frequent in the first SNIFFED characters, a comma if there is
+    none. Files are split among tasks, unless cells hold line breaks (multi_line)."""
+    head, size = [], 0
+    for r in spark.read.text(path).limit(SNIFFED_LINES).collect():
+        head.append(r["value"][: SNIFFED - size])
+        size += len(head[-1])
+    text = "\n".join(head)
+    sep = max(",\t;|", key=lambda c: (text.count(c), c == ","))
+    return spark.read.csv(path, sep=sep, header=True, multiLine=multi_line)
 
 
 def read_metadata_json(spark: SparkSession, path: str) -> DataFrame:
@@ -119,18 +127,25 @@ def read_metadata_json(spark: SparkSession, path: str) -> DataFrame:
     return listed.unionByName(keyed)
 
 
-HIT = "struct<target:string,eval:double,prob:double,seqId:double,alnLength:int,qLen:int,dbLen:int,taxId:int,taxName:string,tSeq:string,tCa:string>"
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    """Hits from result files: one block a database, with a list of alignments, of which some have the list inside another.
 
+    Files are parsed once, as variants, and fields read from them where they are; a field that is missing or of another kind is
+    null. Files that hold no JSON give no hits and are told by unread_hits.
+    """
+    parsed = whole_files(spark, path).select("path", F.try_parse_json("text").alias("v"))
+    listed = lambda v, at: F.try_variant_get(v, at, "array<variant>")
+    block = parsed.select("path", F.explode(listed(F.col("v"), "$.results")).alias("b"))
+    found = block.select("path", F.try_variant_get("b", "$.db", "string").alias("db"), listed(F.col("b"), "$.alignments").alias("rows"))
+    inner = F.try_variant_get(F.get("rows", F.lit(0)), "$", "array<variant>")
+    h = found.select("path", "db", F.posexplode(F.coalesce(inner, F.col("rows"))).alias("pos", "h"))
+    fields = {"target": ("target", "string"), "evalue": ("eval", "double"), "prob": ("prob", "double"), "seq_id": ("seqId", "double"), "aln_length": ("alnLength", "int"), "q_len": ("qLen", "int"), "db_len": ("dbLen", "int"), "tax_id": ("taxId", "int"), "tax_name": ("taxName", "string"), "t_seq": ("tSeq", "string"), "t_ca": ("tCa", "string")}
+    return h.select("path", "db", "pos", *[F.try_variant_get("h", f"$.{at}", kind).alias(name) for name, (at, kind) in fields.items()])
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Hits from result files: one block a database, whose list of alignments may be nested once more."""
-    text = whole_files(spark, path)
-    block = F.from_json("text", "struct<results:array<struct<db:string,alignments:string>>>")["results"]
-    each = text.select("path", F.explode(block).alias("b")).select("path", "b.db", "b.alignments")
-    flat = F.coalesce(F.from_json("alignments", f"array<{HIT}>"), F.flatten(F.from_json("alignments", f"array<array<{HIT}>>")))
-    nested = F.when(F.col("alignments").rlike(r"^\s*\[\s*\["), F.flatten(F.from_json("alignments", f"array<array<{HIT}>>"))).otherwise(flat)
-    h = each.select("path", "db", F.posexplode(nested).alias("pos", "h"))
-    return h.select("path", "db", "pos", "h.target", F.col("h.eval").alias("evalue"), F.col("h.prob").alias("prob"), F.col("h.seqId").alias("seq_id"), F.col("h.alnLength").alias("aln_length"), F.col("h.qLen").alias("q_len"), F.col("h.taxId").alias("tax_id"), F.col("h.taxName").alias("tax_name"), F.col("h.tSeq").alias("t_seq"), F.col("h.tCa").alias("t_ca"))
+
+def unread_hits(spark: SparkSession, path: str) -> DataFrame:
+    """path of the files that read_hits can't parse."""
+    return whole_files(spark, path).where(F.try_parse_json("text").isNull()).select("path")
 
 
 def read_cluster_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -146,9 +161,19 @@ def read_pair_scores(spark: SparkSession, path: str, taxa: DataFrame) -> DataFra
 
 
 def read_lddt_hits(spark: SparkSession, path: str) -> DataFrame:
-    names = ["query", "target", "evalue", "qstart", "qend", "tstart", "tend", "alnlen", "lddt", "lddtfull"]
-    rows = spark.read.csv(path, sep="\t", schema=", ".join(f"{n} string" for n in names))
-    return rows.select("query", "target", *[F.col(n).try_cast("double").alias(n) for n in names[2:9]], F.transform(F.split("lddtfull", ","), lambda x: F.trim(x).try_cast("double")).alias("track")).where("track is not null")
+    """target (name without folder and suffix), tm_to_query, lddt_to_query, lddt_aligned, t_start, t_end, q_start, q_end and track (values
+    over the whole chain, null outside what is aligned) of rows of ten columns. Rows that can't be read go; of a target's rows in a file the last stays."""
+    names = ["query", "target", "tm", "lddt", "values", "t_start", "t_end", "q_start", "q_end", "t_len"]
+    rows = spark.read.csv(path, sep="\t", schema=", ".join(f"{n} string" for n in names)).select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    number = lambda c, kind="int": F.trim(c).try_cast(kind)
+    texts = F.filter(F.split("values", ","), lambda x: F.trim(x) != "")
+    values = F.transform(texts, lambda x: number(x, "double"))
+    length = F.coalesce(number("t_len"), number("t_end"))
+    r = rows.select("path", "at", F.regexp_replace(F.regexp_extract("target", r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "").alias("target"), number("tm", "double").alias("tm_to_query"), number("lddt", "double").alias("lddt_to_query"), values.alias("lddt_aligned"), number("t_start").alias("t_start"), number("t_end").alias("t_end"), number("q_start").alias("q_start"), number("q_end").alias("q_end"), length.alias("length"))
+    ok = r.where("tm_to_query is not null and lddt_to_query is not null and t_start is not null and t_end is not null and lddt_aligned is not null").where(~F.exists("lddt_aligned", F.isnull))
+    last = ok.withColumn("k", F.row_number().over(Window.partitionBy("path", "target").orderBy(F.desc("at")))).where("k = 1")
+    track = F.transform(F.when(F.col("length") > 0, F.sequence(F.lit(1), "length")).otherwise(F.array()), lambda i: F.when(i >= F.col("t_start"), F.get("lddt_aligned", i - F.col("t_start"))))
+    return last.select("target", "tm_to_query", "lddt_to_query", "lddt_aligned", "t_start", "t_end", "q_start", "q_end", track.alias("track"))
 
 
 def read_trees(spark: SparkSession, path: str) -> DataFrame:
@@ -190,15 +215,21 @@ def dataset_catalog(files: DataFrame) -> DataFrame:
     return known.withColumn("k", k).where("k = 1").drop("k")
 
 
+#: Names of an aa alignment beside a 3di one, the first that is there counts.
+PAIRED = ("mafft.fasta_aa.fa", "foldmason.fasta_aa.fa", "foldmason_aa.fa")
+
+
 def paired_alignment(files: DataFrame) -> DataFrame:
-    """For each 3di alignment the aa one beside it, never the 3di file itself."""
+    """path and aa_path of each 3di alignment: the first of PAIRED in its folder, or its own name with _aa for _3di, and never the file itself;
+    null if there is none."""
     name, folder = F.element_at(F.split("path", "/"), -1), F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     a = files.select("path", name.alias("name"), folder.alias("folder"))
-    three = a.where("name like '%3di%'")
-    other = a.where("name not like '%3di%' and name rlike '[.](fa|fasta)$'").select("folder", F.col("path").alias("aa_path"), F.col("name").alias("aa_name"))
-    rank = F.when(F.col("aa_name") == F.replace("name", F.lit("3di"), F.lit("aa")), 0).when(F.col("aa_name").contains("aa"), 1).otherwise(2)
-    k = F.row_number().over(Window.partitionBy("path").orderBy(rank, "aa_name"))
-    return three.join(other, "folder", "left").withColumn("k", k).where("k = 1").select("path", "aa_path")
+    three = a.where("name like '%3di%'").withColumn("own", F.regexp_replace("name", r"_3di\.fa", "_aa.fa"))
+    other = a.select("folder", F.col("path").alias("aa_path"), F.col("name").alias("aa_name"))
+    rank = F.array_position(F.array(*map(F.lit, PAIRED), F.col("own")), F.col("aa_name"))
+    met = three.join(other, "folder").where((rank > 0) & (F.col("aa_path") != F.col("path")))
+    best = met.groupBy("path").agg(F.min_by("aa_path", rank).alias("aa_path"))
+    return three.select("path").join(best, "path", "left")
 
 
 def input_inventory(spark: SparkSession, path: str, with_content: bool = True) -> DataFrame:
@@ -219,8 +250,10 @@ def artifact_inventory(declared: DataFrame, path: str) -> DataFrame:
 
 
 def provenance(files: DataFrame) -> DataFrame:
-    """dataset and revision from a snapshot's path."""
-    return files.select("path", F.nullif(F.regexp_extract("path", r"datasets--([^/]+)/", 1), F.lit("")).alias("dataset"), F.nullif(F.regexp_extract("path", r"/snapshots/([^/]+)/", 1), F.lit("")).alias("revision"))
+    """dataset (organisation/name), revision and subdir of files in a snapshot of a hub's cache; other paths give nulls."""
+    pattern = r"^.*/huggingface/hub/datasets--([^/]+)--([^/]+)/snapshots/([0-9a-f]+)(?:/(.*))?/[^/]*$"
+    part = lambda i: F.nullif(F.regexp_extract("path", pattern, i), F.lit(""))
+    return files.select("path", F.when(part(1).isNotNull(), F.concat(part(1), F.lit("/"), part(2))).alias("dataset"), part(3).alias("revision"), part(4).alias("subdir"))
 
 
 def residue_bundle(residues: DataFrame, tracks: DataFrame) -> DataFrame:
