@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from functools import partial
 
 import pandas as pd
@@ -40,8 +41,6 @@ PATTERN_BLOCK = 200_000
 ROUNDS = 3
 #: Trust from which a pattern extracts.
 CONFIDENT = 0.8
-#: Words of a group whose shape is looked at, and its characters; e-mail addresses and the like that are longer have no shape.
-SHAPE_WORDS, LONGEST_SHAPE = 4, 64
 DIGITS, WORD_END = re.compile("[0-9@]+"), re.compile(r"[A-Za-z0-9._%+()@-]*+")
 FILLER_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+()@-")
 
@@ -124,7 +123,7 @@ def seeds(docs: DataFrame, text: str = "text") -> DataFrame:
             tally: Counter = Counter()
             for t in batch["text"]:
                 for kind, s, e in base_spans(t):
-                    for p in (*_before(t, s), _shape(t[s:e])) if e - s <= LONGEST_SHAPE else _before(t, s):
+                    for p in (*_before(t, s), _shape(t[s:e])):
                         tally[kind, p, _value(t[s:e])] += 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["kind", "pattern", "value", "n"])
 
@@ -154,29 +153,44 @@ def _slots(text: str, patterns: dict[str, list[str]]):
         last = word
 
 
-def _shaped(text: str, patterns: dict[str, list[str]]):
-    """(pattern, span) of groups of up to SHAPE_WORDS words with digits or @, one blank apart, whose shape is a pattern. Marks
-    around a group are no part of it."""
-    words: list[tuple[int, int]] = []
+def _reach(patterns: Iterable[str]) -> tuple[int, int]:
+    """Words of the learned shape that has most, and characters of the longest: no group beyond these can have a learned shape."""
+    shapes = [p for p in patterns if p.startswith("\t")]
+    return max((p.count(" ") + 1 for p in shapes), default=0), max(map(len, shapes), default=0)
+
+
+def _shaped(text: str, patterns: dict[str, list[str]], reach: tuple[int, int]):
+    """(pattern, span) of groups of words with digits or @, one blank apart, whose shape is a pattern; reach is that of the patterns.
+    Marks around a group are no part of it."""
+    most, longest = reach
+    words: list[tuple[int, str, str]] = []  # where a word begins without marks before it, its shape from there, and its whole shape
     end = 0
-    for m in DIGITS.finditer(text):
+    for m in DIGITS.finditer(text) if most else ():
         if m.start() < end:
             continue
         s = m.start()
         while s > end and text[s - 1] in FILLER_CHARS:
             s -= 1
-        end = WORD_END.match(text, m.end()).end()
-        if words and not (words[-1][1] + 1 == s and text[s - 1] == " "):
+        last, end = end, WORD_END.match(text, m.end()).end()
+        if words and not (last + 1 == s and text[s - 1] == " "):
             words = []
-        words = [*words[1 - SHAPE_WORDS :], (s, end)]
-        e = end
+        e, a = end, s
         while not text[e - 1].isalnum():
             e -= 1
-        for a, _ in words:  # the longest first
-            while not (text[a].isalnum() or text[a] in "+("):
-                a += 1
-            if e - a <= LONGEST_SHAPE and (p := _shape(text[a:e])) in patterns:
-                yield p, (a, e)
+        while not (text[a].isalnum() or text[a] in "+("):
+            a += 1
+        found = [(_shape(text[a:e]), a)]
+        tail = _shape(text[s:e])[1:]
+        for begin, first, whole in reversed(words):
+            if len(first) + 1 + len(tail) <= longest:
+                found.append((f"{first} {tail}", begin))
+            tail = f"{whole} {tail}"
+            if len(tail) > longest:
+                break
+        for p, begin in reversed(found):  # the longest first
+            if p in patterns:
+                yield p, (begin, e)
+        words = [*words[max(0, len(words) + 2 - most) :], (a, _shape(text[a:end]), _shape(text[s:end])[1:])] if most > 1 else []
 
 
 def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict[str, str]:
@@ -190,10 +204,11 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
         return {}
 
     def filled(wanted, batches):
+        reach = _reach(wanted.value)
         for batch in batches:
             tally: Counter = Counter()
             for t in batch["text"]:
-                for p, at in (*_slots(t or "", wanted.value), *_shaped(t or "", wanted.value)):
+                for p, at in (*_slots(t or "", wanted.value), *_shaped(t or "", wanted.value, reach)):
                     if at is not None:
                         tally[p, _value(t[at[0] : at[1]])] += 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["pattern", "value", "n"])
@@ -221,14 +236,15 @@ def learn(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confident:
     return {r["pattern"]: r["kind"] for r in best.collect()}
 
 
-def all_spans(text: str | None, patterns: dict[str, str]) -> list[tuple[str, int, int]]:
-    """Base spans and, where they leave room, the fillers of learned patterns."""
-    base = base_spans(text)
+def all_spans(text: str | None, patterns: dict[str, str], base: list[tuple[str, int, int]] | None = None, reach: tuple[int, int] | None = None) -> list[tuple[str, int, int]]:
+    """Base spans and, where they leave room, the fillers of learned patterns; the leftmost first, of those the longest, whatever their
+    trust. base and reach may be given, where they are known."""
+    base = base_spans(text) if base is None else base
     if not patterns or not text:
         return base
     taken = sorted((s, e) for _, s, e in base)
     # the leftmost first, of those the longest
-    slots = {at: p for p, at in (*_slots(text, patterns), *_shaped(text, patterns)) if at is not None}
+    slots = {at: p for p, at in (*_slots(text, patterns), *_shaped(text, patterns, reach or _reach(patterns))) if at is not None}
     more, i, end = [], 0, 0
     for at in sorted(slots, key=lambda x: (x[0], -x[1])):
         if at[0] < end:
@@ -243,12 +259,14 @@ def all_spans(text: str | None, patterns: dict[str, str]) -> list[tuple[str, int
 
 
 def mark(docs: DataFrame, patterns: dict[str, str], text: str = "text") -> DataFrame:
-    """``docs`` with base and spans, arrays of (kind, start, end). Null and empty texts have none."""
+    """``docs`` with base and spans, arrays of (kind, start, end). Null and empty texts have none. Rows are judged one by one, so repeated rows agree;
+    texts are read whole, in time that grows with their length. Columns of these names are replaced."""
     held = docs.sparkSession.sparkContext.broadcast(patterns)
 
     @F.pandas_udf("base array<struct<kind:string,start:int,end:int>>, spans array<struct<kind:string,start:int,end:int>>")
     def spans(texts: pd.Series) -> pd.DataFrame:
-        rows = [(base_spans(t), all_spans(t, held.value)) for t in texts]
+        reach = _reach(held.value)
+        rows = [(base, all_spans(t, held.value, base, reach)) for t, base in ((t, base_spans(t)) for t in texts)]
         named = lambda xs: [{"kind": k, "start": s, "end": e} for k, s, e in xs]
         release()
         return pd.DataFrame({"base": [named(a) for a, _ in rows], "spans": [named(b) for _, b in rows]})
