@@ -1,8 +1,8 @@
 """Chat formatting in budgeted windows.
 
 Running (prefix) sums of turn tokens choose turn-aligned spans: a window takes new turns while they fit the budget, at least
-one. Every window after a conversation's first repeats its system turn, if that takes no more than half of the budget, and up to
-``history`` turns before the span, as long as both leave half of the budget; their texts are masked, so every assistant text is a target once. Turns are marked by control
+one. Every window after a conversation's first repeats its system turn, and up to ``history`` turns before the span, as long as both
+leave half of the budget; their texts are masked, so every assistant text is a target once. Turns are marked by control
 strings; control strings inside texts, ours and those of other common templates, are escaped reversibly.
 
 Conversations stream through a task in turn order, so memory holds one window and the history, however long they are.
@@ -73,7 +73,7 @@ class _Conversation:
             self.repeated, self.new = [*self.system, *back], []
             self.sum = sum(n for *_, n in self.repeated)
         if not self.seen and role == SYSTEM_ROLE:
-            self.system = [turn] if turn[2] <= self.budget // 2 else []
+            self.system = [turn] if turn[2] <= self.budget else []
         self.seen += 1
         self.new.append(turn)
         self.sum += turn[2]
@@ -88,7 +88,9 @@ class _Conversation:
 def format_windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows of all conversations from (conv_id, turn, role, text): see WINDOW; loss holds code point spans in text.
 
-    Turns go by turn (null last), role, text; repeated rows are turns of their own. Null role and text are empty; rows with a
+    The system turn opens every window; beside one of over half of the budget no history is repeated, and a turn that doesn't fit
+    beside it makes a window that is over the budget by what is missing. A system turn that alone is over the budget stands
+    in its first window only. Turns go by turn (null last), role, text; repeated rows are turns of their own. Null role and text are empty; rows with a
     null conv_id form one conversation. A turn larger than the budget makes a window of its own, uncut. Other columns are left
     out. A conversation's windows stay in one partition, in order.
     """
