@@ -186,6 +186,21 @@ def test_pii_shapes_find_numbers_that_base_matches_run_past(spark):
     assert pii._before("12number:", 9) == ["number:"] and pii._before("a b  c ", 7) == ["c", "b c"] and pii._before(" 1", 2) == []
 
 
+def test_pii_shapes_have_any_number_of_groups_and_any_length(spark):
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choices("123456789", k=n))
+    phone = lambda: f"+1 {digits(3)} {digits(2)} {digits(2)} {digits(2)} {digits(2)}"
+    mail = lambda: ".".join("".join(rng.choices("abcdef", k=9)) for _ in range(9)) + f"{digits(3)}@{digits(1)}x.example"
+    word = lambda: "".join(rng.choices("ghijklm", k=6))
+    rows = [(i, f"{word()} {phone()} {word()} {mail()} {word()}", None, None) for i in range(30)]
+    rows.append((40, f"{word()} +1 204 55 12 34 56 190.137.223.9 {word()}", None, None))
+    docs = documents(spark, rows)
+    patterns = pii.learn(docs)
+    assert pii._shape("+1 204 55 12 34 56") in patterns and any(len(p) > 12 and "@" in p for p in patterns)
+    assert pii.all_spans(rows[-1][1], patterns) == [("ip", 26, 39), ("phone", 7, 25)]
+    assert len(mail()) > 64 and pii._shape(mail()) in patterns
+
+
 def test_pii_support_does_not_grow_with_the_corpus(spark, monkeypatch):
     monkeypatch.setattr(pii, "PATTERN_BLOCK", 5)
     cards = ["4785380592391139", "4539578763621486", "4916338506082832", "4532015112830366"]
@@ -251,12 +266,18 @@ def test_mixing_stream_is_ordered_and_whole(spark):
 
 def test_chat_large_turns_repeats_and_extra_columns(spark):
     row = lambda i, role, n: (1, i, role, " ".join(["w"] * n))
-    rows = [row(0, "system", 600), *[row(i, "user" if i % 2 else "assistant", 20) for i in range(1, 40)], row(40, "assistant", 900), row(40, "assistant", 900)]
+    rows = [row(0, "system", chat.BUDGET * 6 // 10), *[row(i, "user" if i % 2 else "assistant", 20) for i in range(1, 40)], row(40, "assistant", 900), row(40, "assistant", 900)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(1)).withColumn("loss", F.lit("x"))
     windows = chat.format_windows(turns).collect()
     assert sum(w["turns"] for w in windows) == len(rows)
     assert all(w["tokens"] <= chat.BUDGET or w["turns"] == 1 for w in windows)
     assert chat.read_back(chat.format_windows(turns)).first()["n_turns"] == len(rows)
+    # a system turn of over half of the budget opens every window all the same; one over the budget the first alone
+    opening = windows[0]["text"][: chat.BUDGET]
+    assert len(windows) > 3 and all(w["text"].startswith(opening) for w in windows)
+    large = turns.withColumn("text", F.when(F.col("role") == "system", F.repeat(F.lit("w "), chat.BUDGET + 5)).otherwise(F.col("text")))
+    again = chat.format_windows(large).collect()
+    assert [w["turns"] for w in again if w["tokens"] > chat.BUDGET] == [1, 1, 1] and sum(w["turns"] for w in again) == len(rows)
 
 
 def test_mixing_keeps_clashing_columns_and_repeated_rows(spark):
