@@ -30,7 +30,7 @@ from taxaloom.llm.memory import release
 #: Words that a worker remembers; beyond that it forgets all and goes on.
 CACHE_WORDS = 200_000
 #: Characters of text whose new words are replayed together.
-PART_CHARS = 4 << 20
+PART_CHARS = 2 << 20
 #: Positions that are looked up together.
 CHUNK = 1 << 18
 #: Bytes of new words that are replayed together.
@@ -289,6 +289,7 @@ def round_trip(docs: DataFrame, content: bytes, pattern: str) -> DataFrame:
                 ids.append(hashlib.sha256(x).hexdigest())
                 back.append(decoded.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            release()
+        vocabulary(content).forget()  # the worker lives on beside other stages
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

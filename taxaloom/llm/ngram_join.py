@@ -30,6 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from taxaloom.llm.memory import release
 from taxaloom.llm.graph import components
 from taxaloom.session import cut
 
@@ -110,6 +111,8 @@ def _sets(n: int, batches):
         yield pd.DataFrame(rows, columns=["doc_id", "n", "sig", "tok", "cnt"])
     if held:
         yield local()
+    held, seen = [], set()
+    release()
 
 
 def _ceil(share: Fraction, x: int) -> int:
@@ -165,6 +168,8 @@ def _emit(n: int, t: Fraction, frequent: tuple, batches):
                 cols, held = [[] for _ in range(5)], 0
     if held:
         yield _frame(cols)
+    cols = []
+    release()
 
 
 def _frame(cols: list) -> pd.DataFrame:
@@ -185,6 +190,7 @@ def _held(n: int, batches):
                 yield pd.DataFrame(rows, columns=names)
                 rows, size = [], 0
         yield pd.DataFrame(rows, columns=names)
+    release()
 
 
 def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, t: Fraction) -> DataFrame:
