@@ -155,6 +155,8 @@ def _distances(group: pd.DataFrame, metric: str) -> np.ndarray:
     if metric == "cosine":
         u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
         return 1 - np.clip(u @ u.T, -1, 1)
+    if metric == "l1":
+        return np.stack([np.abs(x - r).sum(1) for r in x])
     return np.sqrt(np.maximum(((x[:, None] - x[None]) ** 2).sum(-1), 0))
 
 
@@ -373,13 +375,53 @@ def _neighbors(x: np.ndarray) -> list[tuple[int, int, float]]:
     return out + [(i, new, d[0, 1] / 2) for i in ids] if len(ids) == 2 else out
 
 
+def _joining_rounds(points: DataFrame, metric: str) -> tuple[DataFrame, DataFrame]:
+    """Edges of the joins made in large groups, and what is left to join: dataset, a, b, d, new (the number of the next join)."""
+    p = cut(numbered(points.select("dataset", "taxon_id", "vec"), ["dataset"], ["taxon_id"], "i", "n"))
+    v = p.select("dataset", "i", "n", (unit(F.col("vec")) if metric == "cosine" else F.col("vec")).alias("v"))
+    x, y = (v.select("dataset", "n", F.col("i").alias(c), F.col("v").alias(f"v{c}")) for c in "ab")
+    dot = F.aggregate(F.zip_with("va", "vb", lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
+    d = {"cosine": 1 - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)), "l1": F.aggregate(F.zip_with("va", "vb", lambda p, q: F.abs(p - q)), F.lit(0.0), lambda s, z: s + z)}.get(metric, F.sqrt(_squares(F.col("va"), F.col("vb"))))
+    half = cut(x.join(y.drop("n"), "dataset").where("a < b").select("dataset", "a", "b", d.alias("d"), F.col("n").alias("new")))
+    edges, left = None, None
+    while True:
+        both = half.unionByName(half.select("dataset", F.col("b").alias("a"), F.col("a").alias("b"), "d", "new"))
+        sums = cut(both.groupBy("dataset", "a").agg(F.sum("d").alias("r"), (F.count("*") + 1).alias("m"), F.max("new").alias("new")))
+        large = sums.where(F.col("m") > GROUP_LIMIT).select("dataset").distinct()
+        small = half.join(large, "dataset", "left_anti")
+        left = small if left is None else left.unionByName(small)
+        if large.isEmpty():
+            return edges, left
+        q = F.round((F.col("m") - 2) * F.col("d") - (F.col("ra") + F.col("rb")), 9)  # digits beyond are those of summing
+        row = lambda c: sums.select("dataset", F.col("a").alias(c), F.col("r").alias(f"r{c}"))
+        some = both.join(large, "dataset").join(row("a"), ["dataset", "a"]).join(row("b"), ["dataset", "b"]).join(sums.groupBy("dataset").agg(F.max("m").alias("m")), "dataset")
+        order = F.struct(q.alias("q"), F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), "d", F.when(F.col("a") < F.col("b"), F.col("ra") - F.col("rb")).otherwise(F.col("rb") - F.col("ra")).alias("lean"))
+        near = some.groupBy("dataset", "a").agg(F.min(order).alias("e"), F.max("m").alias("m"), F.max("new").alias("new"))
+        mutual = near.groupBy("dataset", "e.lo", "e.hi").agg(F.count("*").alias("c"), F.first("e").alias("e"), F.max("m").alias("m"), F.max("new").alias("new")).where("c = 2")
+        place = F.row_number().over(Window.partitionBy("dataset").orderBy("lo")) - 1
+        to_lo = F.col("e.d") / 2 + F.col("e.lean") / (2 * (F.col("m") - 2))
+        joins = cut(mutual.select("dataset", "lo", "hi", F.col("e.d").alias("d"), to_lo.alias("to_lo"), (F.col("new") + place).alias("node")))
+        made = joins.select("dataset", F.inline(F.array(F.struct(F.col("lo").alias("node"), F.col("node").alias("parent"), F.col("to_lo").alias("length")), F.struct(F.col("hi").alias("node"), F.col("node").alias("parent"), (F.col("d") - F.col("to_lo")).alias("length")))))
+        edges = made if edges is None else edges.unionByName(made)
+        member = cut(joins.select("dataset", F.explode(F.array("lo", "hi")).alias("of"), F.col("node").alias("to"), (F.col("d") / 2).alias("over")))
+        side = lambda c: member.select("dataset", F.col("of").alias(c), F.col("to").alias(f"to_{c}"), F.col("over").alias(f"over_{c}"))
+        moved = half.join(large, "dataset").join(side("a"), ["dataset", "a"], "left").join(side("b"), ["dataset", "b"], "left")
+        ca, cb = F.coalesce("to_a", "a"), F.coalesce("to_b", "b")
+        number = joins.groupBy("dataset").agg(F.count("*").alias("joined"))
+        grouped = moved.where(ca != cb).groupBy("dataset", F.least(ca, cb).alias("a"), F.greatest(ca, cb).alias("b")).agg((F.avg("d") - F.max(F.coalesce("over_a", F.lit(0.0)) + F.coalesce("over_b", F.lit(0.0)))).alias("d"), F.max("new").alias("new"))
+        half = cut(grouped.join(number, "dataset").select("dataset", "a", "b", "d", (F.col("new") + F.col("joined")).alias("new")))
+
+
 def neighbor_joining(points: DataFrame, metric: str = "cosine") -> DataFrame:
     """dataset, node, parent, taxon_id, length: each group's tree as edges, leaves numbered by taxon_id, the root (no row of its own)
-    with three children, or with two halfway between two leaves; a single leaf gives no row. One group runs in a task, side by
-    side with the others, since each join depends on the last; groups over GROUP_LIMIT are an error."""
-    large = points.groupBy("dataset").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_LIMIT).select("dataset").head(5)
-    if large:
-        raise ValueError(f"more than {GROUP_LIMIT} members, cut these groups first: {[r['dataset'] for r in large]}")
+    with three children, or with two halfway between two leaves; a single leaf gives no row.
+
+    One group runs in a task, side by side with the others. Groups over GROUP_LIMIT first join, in rounds over a table of their
+    pairs, all that are each other's best at once, until GROUP_LIMIT are left: where distances are those of a tree this gives
+    the tree, as one join after the other does; else the order of joins may differ.
+    """
+    size = points.groupBy("dataset").agg(F.count("*").alias("n"))
+    large = cut(size.where(F.col("n") > GROUP_LIMIT).select("dataset"))
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("taxon_id")
@@ -387,7 +429,23 @@ def neighbor_joining(points: DataFrame, metric: str = "cosine") -> DataFrame:
         rows = [(g["dataset"].iloc[0], node, parent, names[node] if node < len(names) else None, float(length)) for node, parent, length in _neighbors(_distances(g, metric))]
         return pd.DataFrame(rows, columns=["dataset", "node", "parent", "taxon_id", "length"])
 
-    return points.groupBy("dataset").applyInPandas(joined, "dataset string, node long, parent long, taxon_id string, length double")
+    done = points.join(large, "dataset", "left_anti").groupBy("dataset").applyInPandas(joined, "dataset string, node long, parent long, taxon_id string, length double")
+    if large.isEmpty():
+        return done
+    rest = points.join(large, "dataset", "left_semi")
+    edges, left = _joining_rounds(rest, metric)
+
+    def ended(group: pd.DataFrame) -> pd.DataFrame:
+        ids = np.unique(np.concatenate((group["a"], group["b"])))
+        d, new = np.zeros((len(ids), len(ids))), int(group["new"].iloc[0])
+        i, j = np.searchsorted(ids, group["a"]), np.searchsorted(ids, group["b"])
+        d[i, j] = d[j, i] = group["d"]
+        number = lambda k: int(ids[k]) if k < len(ids) else new + k - len(ids)
+        return pd.DataFrame([(group["dataset"].iloc[0], number(a), number(b), float(x)) for a, b, x in _neighbors(d)], columns=["dataset", "node", "parent", "length"])
+
+    every = edges.unionByName(left.groupBy("dataset").applyInPandas(ended, "dataset string, node long, parent long, length double"))
+    names = numbered(rest.select("dataset", "taxon_id"), ["dataset"], ["taxon_id"], "node")
+    return done.unionByName(every.join(names, ["dataset", "node"], "left").select("dataset", "node", "parent", "taxon_id", "length"))
 
 
 def _cuts(merges: DataFrame, ks: DataFrame) -> DataFrame:

@@ -46,6 +46,16 @@ def c9_neighbor_joining(spark, d):
     return e.groupBy("dataset").agg(F.count("taxon_id").alias("leaves"), F.count("*").alias("edges"), F.count_distinct("parent").alias("joins"))
 
 
+def c9_additive_trees(spark, d):
+    """Distances along a tree of segments and bands of a nation's customers give that tree back: its leaves and its length."""
+    c = table(spark, d, "customer").select(F.concat(F.lit("n"), F.col("c_nationkey")).alias("dataset"), F.ascii("c_mktsegment").alias("seg"), F.floor(F.col("c_acctbal") / 2000).cast("int").alias("band")).distinct()
+    segs = F.transform(F.sequence(F.lit(0), F.lit(36)), lambda k: F.when(F.col("seg") % 37 == k, 0.5).otherwise(0.0))
+    own = F.transform(F.sequence(F.lit(0), F.lit(37 * 8 - 1)), lambda k: F.when((F.col("seg") % 37) * 8 + F.col("band") + 1 == k, 1.0 + F.col("band") / 4).otherwise(0.0))
+    p = c.select("dataset", F.concat_ws("/", "seg", "band").alias("taxon_id"), F.concat(segs, own).alias("vec"))
+    e = op.neighbor_joining(p, "l1")
+    return e.groupBy("dataset").agg(F.count("taxon_id").alias("leaves"), F.round(F.sum("length"), 6).alias("length"))
+
+
 def c10_cut_tree(spark, d):
     return op.cut_tree(op.linkage(_datasets(spark, d)), 4)
 
@@ -113,6 +123,9 @@ SQL = {
     "c1_embedding_pairs": f"WITH {ad.VECTORS}, u AS (SELECT label, taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT x.label, x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.label = y.label AND x.taxon_id < y.taxon_id",
     "c1_near_pairs": f"WITH {ad.VECTORS}, u AS (SELECT taxon_id, list_transform(vec, lambda x: x / greatest(sqrt(list_dot_product(vec, vec)), 1e-12)) AS u FROM vectors) SELECT a, b, d FROM (SELECT x.taxon_id AS a, y.taxon_id AS b, round(1 - greatest(-1, least(1, list_dot_product(x.u, y.u))), 6) AS d FROM u x JOIN u y ON x.taxon_id < y.taxon_id) WHERE d <= 0.6",
     "c9_neighbor_joining": f"WITH {ad.VECTORS} SELECT 'l' || label AS dataset, count(*) AS leaves, CASE count(*) WHEN 2 THEN 2 ELSE 2 * count(*) - 3 END AS edges, greatest(count(*) - 2, 1) AS joins FROM vectors GROUP BY label HAVING count(*) > 1",
+    "c9_additive_trees": """WITH c AS (SELECT DISTINCT 'n' || c_nationkey AS dataset, ascii(c_mktsegment) AS seg, floor(c_acctbal / 2000)::INT AS band FROM customer),
+s AS (SELECT dataset, seg, count(*) AS n, sum(1 + band / 4) AS len FROM c GROUP BY ALL)
+SELECT dataset, sum(n)::BIGINT AS leaves, round(sum(len) + CASE WHEN count(*) > 1 THEN 0.5 * count(*) ELSE 0 END, 6) AS length FROM s GROUP BY dataset HAVING sum(n) > 1""",
     "c29_project_2d": f"WITH {ad.VECTORS} SELECT count(*) AS n, -500.0 AS lo_x, 500.0 AS hi_x, -500.0 AS lo_y, 500.0 AS hi_y, true AS apart FROM vectors",
     "c30_embed_sequences": f"""WITH {ad.SEQUENCES}, m AS (SELECT taxon_id, left(seq, 1024) AS s, unnest(range(1, greatest(length(left(seq, 1024)) - 2, 1) + 1)) AS i FROM sequences),
 h AS (SELECT taxon_id, list_reduce(list_concat([0::BIGINT], list_transform([0, 1, 2], lambda j: coalesce(ascii(nullif(substr(s, i + j, 1), '')), 0)::BIGINT)), lambda a, c: (a * {op.HASH_FACTOR} + c) % {op.HASH_PRIME}) % 64 AS i FROM m)
