@@ -5,6 +5,8 @@ An alignment is a table of (group columns, taxon_id, row, ord); many alignments
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.operators.rounds import greedy_representatives
@@ -87,7 +89,14 @@ def mutual_coverage(aln: DataFrame, by: list[str], at_least: float | None = None
     bits = "transform(sequence(0, (length(row) - 1) div 63), w -> aggregate(sequence(0, 62), 0L, (a, b) -> a | if(coalesce(substr(row, w * 63 + b + 1, 1), '') in ('', '-'), 0L, shiftleft(1L, b))))"
     masks = aln.select(*by, "taxon_id", "ord", F.length(ungap("row")).alias("n"), F.expr(bits).alias("m"))
     a, b = (masks.select(*by, *[F.col(c).alias(f"{c}_{s}") for c in ("taxon_id", "ord", "n", "m")]) for s in "ab")
-    pairs = a.join(b, by).where("ord_a < ord_b")
+    if at_least is not None and 0 < at_least < 1:
+        # lengths of one ratio share a band or are in bands side by side; a row meets those of three bands, not its whole group
+        band = lambda n: F.floor(F.log(F.greatest(F.col(n), F.lit(1)).cast("double")) / -math.log(at_least))
+        a = a.withColumn("band", band("n_a"))
+        b = b.withColumn("band", F.explode(F.array(*[band("n_b") + i for i in (-1, 0, 1)])))
+        pairs = a.join(b, [*by, "band"]).where("ord_a < ord_b").drop("band")
+    else:
+        pairs = a.join(b, by).where("ord_a < ord_b")
     if at_least is not None:
         pairs = pairs.where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * at_least)
     common = F.aggregate(F.zip_with("m_a", "m_b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda s, x: s + x)

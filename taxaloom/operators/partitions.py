@@ -125,6 +125,29 @@ def alternative(candidates: DataFrame, selected: DataFrame, gain: float = RETENT
     return near.withColumn("k", k).where("k = 1").drop("k", "best", "floor")
 
 
+def _percent(x: Column) -> Column:
+    return F.format_string("%d%%", F.bround(x * 100).cast("long"))
+
+
+def explain_selection(selected: DataFrame, candidates: DataFrame, primary: str, min_size: int = MIN_SIZE, min_retained: float = MIN_RETAINED, by: tuple = ("run",)) -> DataFrame:
+    """selected with reason (why this candidate) and, where no candidate met the limits, recommendation (what that says of the input, with
+    the best retention there was)."""
+    top = candidates.groupBy(*by).agg(F.max("retained_fraction").alias("top"))
+    s = selected.join(top, list(by))
+    limit = f"{min_retained:.0%} of taxa in clusters of {min_size}+"
+    relaxed = F.concat(F.lit("limits not met: keeps the most taxa ("), _percent(F.col("retained_fraction")), F.lit("), since the best silhouette would belong to the most fragmented partition"))
+    reason = F.when(F.col("relaxed"), relaxed).otherwise(F.lit(f"best {primary} silhouette of the partitions that keep {limit}"))
+    advice = F.concat(F.lit(f"no partition kept {limit}; the best kept "), _percent(F.col("top")), F.lit(": look for smaller clusters, cluster by structure, or take it that the set has no such groups"))
+    return s.withColumn("reason", reason).withColumn("recommendation", F.when(F.col("relaxed"), advice)).drop("top")
+
+
+def explain_alternative(alternatives: DataFrame, min_size: int = MIN_SIZE) -> DataFrame:
+    """alternatives (of alternative()) with rationale: what is gained over the selection, and what it costs."""
+    gain = F.format_string("%d", F.bround((F.col("retained_fraction") - F.col("base")) * 100).cast("long"))
+    parts = [F.lit("keeps "), _percent(F.col("retained_fraction")), F.lit(" of taxa instead of "), _percent(F.col("base")), F.lit(" (+"), gain, F.lit(" points) in "), F.col("usable").cast("string"), F.lit(f" clusters of {min_size}+, which are less clearly apart: for aligning as many taxa as possible")]
+    return alternatives.withColumn("rationale", F.concat(*parts))
+
+
 def summary(candidates: DataFrame) -> DataFrame:
     """Candidates without their members."""
     return candidates.drop("members")

@@ -57,12 +57,13 @@ def _candidates(spark, d):
 
 
 def c18_select(spark, d):
-    return op.select(_candidates(spark, d), "esm2").select("run", "grid_pos", "relaxed")
+    c = _candidates(spark, d)
+    return op.explain_selection(op.select(c, "esm2"), c, "esm2").select("run", "grid_pos", "relaxed", "reason", "recommendation")
 
 
 def c19_alternative(spark, d):
     c = _candidates(spark, d)
-    return op.alternative(c, op.select(c, "esm2")).select("run", "base_pos", "grid_pos")
+    return op.explain_alternative(op.alternative(c, op.select(c, "esm2"))).select("run", "base_pos", "grid_pos", "rationale")
 
 
 def c20_summary(spark, d):
@@ -106,6 +107,7 @@ def c31_disagreement(spark, d):
 
 QUERIES = {k: f for k, f in globals().items() if k[:1] == "c" and k[1:2].isdigit()}
 
+_PCT = "(round({0} * 100)::BIGINT || '%')"
 _CAND = """candidates AS (SELECT o_custkey AS run, o_orderkey AS grid_pos, (o_orderkey * 37 % 101) / 100 AS retained_fraction, o_orderkey * 13 % 9 AS usable, CASE WHEN o_orderpriority <> '1-URGENT' THEN (o_orderkey * 29 % 97) / 100 END AS esm2, (o_orderkey * 53 % 89) / 100 AS tm FROM orders),
 flagged AS (SELECT *, retained_fraction >= 0.7 AND usable >= 2 AS feasible, coalesce(esm2, tm, -1) AS s FROM candidates),
 pool AS (SELECT *, NOT bool_or(feasible) OVER (PARTITION BY run) AS relaxed FROM flagged QUALIFY feasible OR relaxed),
@@ -130,8 +132,10 @@ SQL = {
     "c13_silhouette": f"WITH {_V}, {_SIL.format('memberships')} SELECT * FROM sil",
     "c14_scoped_silhouette": f"WITH {_V}, {_BIG.format(30)}, {_SIL.format('big')} SELECT candidate_id, silhouette FROM (SELECT DISTINCT candidate_id FROM memberships) LEFT JOIN sil USING (candidate_id)",
     "c15_score": f"WITH {_V}, {_SHAPE}, {_BIG.format(10)}, {_SIL.format('big')} SELECT candidate_id, n_clusters, usable, retained_fraction, silhouette FROM shape LEFT JOIN sil USING (candidate_id)",
-    "c18_select": f"WITH {_CAND} SELECT run, grid_pos, relaxed FROM chosen",
-    "c19_alternative": f"WITH {_CAND}, v AS (SELECT c.run, h.grid_pos AS base_pos, c.grid_pos, c.usable, c.retained_fraction AS r FROM candidates c JOIN chosen h ON c.run = h.run AND c.retained_fraction >= h.retained_fraction + 0.1 AND c.usable >= greatest(2, floor(h.usable * 0.75)) AND c.grid_pos <> h.grid_pos), n AS (SELECT * FROM v QUALIFY r >= max(r) OVER (PARTITION BY run) - 0.03) SELECT run, base_pos, grid_pos FROM n QUALIFY row_number() OVER (PARTITION BY run ORDER BY usable DESC, r DESC, grid_pos) = 1",
+    "c18_select": f"""WITH {_CAND}, t AS (SELECT run, max(retained_fraction) AS top FROM candidates GROUP BY run)
+SELECT run, grid_pos, relaxed, CASE WHEN relaxed THEN 'limits not met: keeps the most taxa (' || {_PCT.format('retained_fraction')} || '), since the best silhouette would belong to the most fragmented partition' ELSE 'best esm2 silhouette of the partitions that keep 70% of taxa in clusters of 10+' END AS reason,
+  CASE WHEN relaxed THEN 'no partition kept 70% of taxa in clusters of 10+; the best kept ' || {_PCT.format('top')} || ': look for smaller clusters, cluster by structure, or take it that the set has no such groups' END AS recommendation FROM chosen JOIN t USING (run)""",
+    "c19_alternative": f"WITH {_CAND}, v AS (SELECT c.run, h.grid_pos AS base_pos, c.grid_pos, c.usable, c.retained_fraction AS r, h.retained_fraction AS b FROM candidates c JOIN chosen h ON c.run = h.run AND c.retained_fraction >= h.retained_fraction + 0.1 AND c.usable >= greatest(2, floor(h.usable * 0.75)) AND c.grid_pos <> h.grid_pos), n AS (SELECT * FROM v QUALIFY r >= max(r) OVER (PARTITION BY run) - 0.03) SELECT run, base_pos, grid_pos, 'keeps ' || {_PCT.format('r')} || ' of taxa instead of ' || {_PCT.format('b')} || ' (+' || round((r - b) * 100)::BIGINT || ' points) in ' || usable || ' clusters of 10+, which are less clearly apart: for aligning as many taxa as possible' AS rationale FROM n QUALIFY row_number() OVER (PARTITION BY run ORDER BY usable DESC, r DESC, grid_pos) = 1",
     "c20_summary": f"WITH {_CAND} SELECT run, grid_pos, usable FROM candidates",
     "c22_fraction_kept": "WITH t AS (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS ps FROM lineitem GROUP BY 1), g AS (SELECT l_orderkey AS parent, l_returnflag AS attempt, count(*) AS n_sub, coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_quantity >= 4), 0) / max(ps) AS k FROM lineitem JOIN t USING (l_orderkey) GROUP BY ALL) SELECT parent, attempt, n_sub, round(k, 6) AS kept, n_sub > 1 AND k >= 0.7 AS accepted FROM g",
     "c21_schedule": """WITH p AS (SELECT DISTINCT ['evalue', 'tmscore', 'min_seq_id'][l_linenumber % 3 + 1] AS kind, round(l_discount * 10, 2) AS threshold FROM lineitem),

@@ -134,7 +134,7 @@ def a16_read_pair_scores(spark, d):
 
 def a17_read_lddt_hits(spark, d):
     li = table(spark, d, "lineitem")
-    target = F.concat(F.lit("/db/o"), "l_orderkey", F.lit("_"), "l_linenumber", F.lit("_"), "l_partkey", F.lit("_"), "l_suppkey", F.lit(".pdb.gz"))
+    target = F.concat(F.lit("/db/o"), "l_orderkey", F.lit("_"), "l_linenumber", F.lit("_"), "l_partkey", F.lit("_"), "l_suppkey", F.lit("_"), F.round(F.col("l_discount") * 100).cast("int"), F.lit(".pdb.gz"))
     values = F.array_join(F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), lambda i: (i / 8).cast("string")), ",")
     values = F.when(F.col("l_linenumber") == 6, F.concat(values, F.lit(",x"))).otherwise(values)
     size = F.when(F.col("l_linenumber") == 5, F.lit(None)).otherwise(F.lit(9))
@@ -252,7 +252,7 @@ SQL = {
     "a14_read_hits": """WITH l AS (SELECT l_orderkey // 700 AS file, CASE WHEN l_discount > 0.05 THEN 'pdb100' ELSE 'afdb50' END AS db, * FROM lineitem)
 SELECT file, db, (row_number() OVER (PARTITION BY file, db ORDER BY l_orderkey, l_linenumber, l_quantity, l_tax, l_suppkey) - 1)::INT AS pos, l_orderkey || '-' || l_linenumber AS target, l_tax AS evalue, trunc(l_quantity)::INT AS aln_length, CASE WHEN l_linenumber > 2 THEN l_suppkey END::INT AS tax_id FROM l WHERE file % 7 <> 6""",
     "a14_unread_hits": "SELECT DISTINCT l_orderkey // 700 AS file FROM lineitem WHERE l_orderkey // 700 % 7 = 6",
-    "a17_read_lddt_hits": """SELECT DISTINCT 'o' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '.pdb' AS target, l_discount AS tm_to_query, (l_linenumber + 2)::INT AS t_end, l_linenumber::INT AS values,
+    "a17_read_lddt_hits": """SELECT DISTINCT 'o' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || round(l_discount * 100)::INT || '.pdb' AS target, l_discount AS tm_to_query, (l_linenumber + 2)::INT AS t_end, l_linenumber::INT AS values,
   '--' || list_aggregate(range(1, l_linenumber + 1), 'string_agg', '') || CASE WHEN l_linenumber = 5 THEN '' ELSE repeat('-', 7 - l_linenumber) END AS track FROM lineitem WHERE l_linenumber <> 6""",
     "a15_read_cluster_tsv": "SELECT p_brand AS rep, CAST(p_partkey AS VARCHAR) AS taxon_id FROM part",
     "a16_read_pair_scores": "SELECT CAST(l_suppkey AS VARCHAR) AS a, count(*) AS n, round(sum(l_discount), 4) AS score FROM lineitem WHERE l_linenumber <> 3 AND l_partkey % 120 IN (SELECT s_suppkey FROM supplier) AND l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1",

@@ -1,6 +1,8 @@
 """Every registered query with SQL gives the rows that DuckDB gives, on the smallest tables."""
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -19,9 +21,16 @@ def duck():
     return c
 
 
+def shown(v):
+    """Numbers alike whether integers or not, all nulls alike."""
+    if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
+        return "null"
+    return f"{float(v):.6g}" if isinstance(v, (int, float, np.number)) and not isinstance(v, (bool, np.bool_)) else str(v)
+
+
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    return sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in frame.itertuples(index=False))
+    return sorted(tuple(map(shown, r)) for r in frame.itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", NAMES)
