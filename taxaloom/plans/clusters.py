@@ -114,7 +114,7 @@ def i1_callback_sweep(spark, d):
     v = cut(ad.vectors(spark, d))
     found, failed = op.sweep_with(v, _by_number, [(5, 0.0), (0.5, 0.0), (40, 0.5), (100, 0.0)], {"vectors": v}, 10)
     columns = ["candidate_id", "threshold", "grid_pos", "n_clusters", "usable", "retained_fraction", "error"]
-    return found.withColumn("error", F.lit(None).cast("string")).select(*columns).unionByName(failed.select("candidate_id", "threshold", F.lit(None).cast("int").alias("grid_pos"), *[F.lit(None).cast("long").alias(c) for c in ("n_clusters", "usable")], F.lit(None).cast("double").alias("retained_fraction"), "error"))
+    return found.withColumn("error", F.lit(None).cast("string")).select(*columns).unionByName(failed.select("candidate_id", "threshold", F.lit(-1).alias("grid_pos"), *[F.lit(-1).cast("long").alias(c) for c in ("n_clusters", "usable")], F.lit(None).cast("double").alias("retained_fraction"), "error"))
 
 
 QUERIES = {k: f for k, f in globals().items() if k[:1] in "ci" and k[1:2].isdigit()}
@@ -126,12 +126,12 @@ SQL = {
     "c9_additive_trees": """WITH c AS (SELECT DISTINCT 'n' || c_nationkey AS dataset, ascii(c_mktsegment) AS seg, floor(c_acctbal / 2000)::INT AS band FROM customer),
 s AS (SELECT dataset, seg, count(*) AS n, sum(1 + band / 4) AS len FROM c GROUP BY ALL)
 SELECT dataset, sum(n)::BIGINT AS leaves, round(sum(len) + CASE WHEN count(*) > 1 THEN 0.5 * count(*) ELSE 0 END, 6) AS length FROM s GROUP BY dataset HAVING sum(n) > 1""",
-    "c29_project_2d": f"WITH {ad.VECTORS} SELECT count(*) AS n, -500.0 AS lo_x, 500.0 AS hi_x, -500.0 AS lo_y, 500.0 AS hi_y, true AS apart FROM vectors",
+    "c29_project_2d": f"WITH {ad.VECTORS} SELECT count(*) AS n, -500::DOUBLE AS lo_x, 500::DOUBLE AS hi_x, -500::DOUBLE AS lo_y, 500::DOUBLE AS hi_y, true AS apart FROM vectors",
     "c30_embed_sequences": f"""WITH {ad.SEQUENCES}, m AS (SELECT taxon_id, left(seq, 1024) AS s, unnest(range(1, greatest(length(left(seq, 1024)) - 2, 1) + 1)) AS i FROM sequences),
 h AS (SELECT taxon_id, list_reduce(list_concat([0::BIGINT], list_transform([0, 1, 2], lambda j: coalesce(ascii(nullif(substr(s, i + j, 1), '')), 0)::BIGINT)), lambda a, c: (a * {op.HASH_FACTOR} + c) % {op.HASH_PRIME}) % 64 AS i FROM m)
 SELECT taxon_id, i::INT AS i, round(count(*) / sum(count(*)) OVER (PARTITION BY taxon_id), 9) AS x FROM h GROUP BY taxon_id, i""",
     "i1_callback_sweep": f"""WITH {ad.VECTORS}, g(candidate_id, threshold, grid_pos) AS (VALUES ('g0', 5.0::DOUBLE, 0), ('g2', 40.0, 2), ('g3', 100.0, 3)), s AS (SELECT candidate_id, threshold, grid_pos, ord // threshold::BIGINT AS run, count(*) AS n FROM g, vectors GROUP BY ALL)
-SELECT candidate_id, threshold, grid_pos, count(*) AS n_clusters, count(*) FILTER (n >= 10) AS usable, round(coalesce(sum(n) FILTER (n >= 10), 0) / sum(n), 4) AS retained_fraction, NULL AS error FROM s GROUP BY ALL UNION ALL SELECT 'g1', 0.5, NULL, NULL, NULL, NULL, 'ValueError: no runs under one'""",
+SELECT candidate_id, threshold, grid_pos, count(*) AS n_clusters, count(*) FILTER (n >= 10) AS usable, round(coalesce(sum(n) FILTER (n >= 10), 0) / sum(n), 4) AS retained_fraction, NULL AS error FROM s GROUP BY ALL UNION ALL SELECT 'g1', 0.5, -1, -1, -1, NULL, 'ValueError: no runs under one'""",
     "i2_embed_with": f"""WITH {ad.SEQUENCES}, c AS (SELECT taxon_id, length(left(seq, 1024)) AS n, seq, unnest(range(1, length(left(seq, 1024)) + 1)) AS i FROM sequences)
 SELECT taxon_id, round(avg(ascii(substr(seq, i, 1)) % 7), 6) AS a, round(avg(i % 5), 6) AS b FROM c WHERE n <= 2 OR (i > 1 AND i < n) GROUP BY taxon_id""",
     "i3_metrics": f"""WITH {ad.VECTORS}, p AS (SELECT x.label, list_transform(list_zip(x.vec, y.vec), lambda z: abs(z[1] - z[2])) AS g FROM vectors x JOIN vectors y ON x.label = y.label AND x.taxon_id < y.taxon_id),

@@ -34,7 +34,8 @@ def _refined(spark, d):
 def c23_recursive_refine(spark, d):
     found = _refined(spark, d)
     log = found.log.select("name", F.col("to_threshold"), "sub_clusters", "kept", F.coalesce(F.size("attempts"), F.lit(0)).alias("attempts"))
-    return found.clusters.join(log, "name", "left").select("name", "parent", "rep", "size", "depth", "threshold", "outcome", "gap_fraction", "to_threshold", "sub_clusters", "kept", "attempts")
+    none = {"sub_clusters": 0, "attempts": 0}
+    return found.clusters.join(log, "name", "left").fillna(none).select("name", "parent", "rep", "size", "depth", "threshold", "outcome", "gap_fraction", "to_threshold", "sub_clusters", "kept", "attempts")
 
 
 def c25_report(spark, d):
@@ -83,6 +84,6 @@ every AS (SELECT *, size AS s0, rep AS r0, NULL::BIGINT AS s1, NULL AS r1, NULL:
 named AS (SELECT *, 'cluster_' || row_number() OVER (ORDER BY -s0, r0, -s1 NULLS FIRST, r1 NULLS FIRST, -s2 NULLS FIRST, r2 NULLS FIRST) || '_tm' || thr AS name FROM every)"""
 
 SQL = {
-    "c23_recursive_refine": f"{_REFINED} SELECT n.name, p.name AS parent, n.rep, n.size, n.depth, n.thr::DOUBLE AS threshold, n.outcome, n.gap AS gap_fraction, n.to_threshold::DOUBLE AS to_threshold, n.subs AS sub_clusters, n.share AS kept, CASE WHEN n.outcome <> 'kept' THEN n.tries END AS attempts FROM named n LEFT JOIN named p ON p.k = n.up",
+    "c23_recursive_refine": f"{_REFINED} SELECT n.name, p.name AS parent, n.rep, n.size, n.depth, n.thr::DOUBLE AS threshold, n.outcome, n.gap AS gap_fraction, n.to_threshold::DOUBLE AS to_threshold, coalesce(n.subs, 0) AS sub_clusters, n.share AS kept, CASE WHEN n.outcome <> 'kept' THEN n.tries ELSE 0 END::INT AS attempts FROM named n LEFT JOIN named p ON p.k = n.up",
     "c25_report": f"{_REFINED} SELECT name, size >= 4 AS eligible, over, CASE WHEN over THEN CASE WHEN outcome = 'not_divisible' THEN 'no split kept enough taxa in clusters of 4+' WHEN depth >= 2 THEN 'recursion depth limit reached' ELSE 'too small to split' END END AS kept_because FROM named WHERE outcome <> 'split'",
 }

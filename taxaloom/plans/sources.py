@@ -113,7 +113,7 @@ def _results(spark, d):
 
 def a14_read_hits(spark, d):
     hits = op.read_hits(spark, _results(spark, d))
-    return hits.select(F.regexp_extract("path", "file=([0-9]+)", 1).cast("long").alias("file"), "db", "pos", "target", "evalue", "aln_length", "tax_id")
+    return hits.select(F.regexp_extract("path", "file=([0-9]+)", 1).cast("long").alias("file"), "db", "pos", "target", "evalue", "aln_length", F.coalesce("tax_id", F.lit(-1)).alias("tax_id"))
 
 
 def a14_unread_hits(spark, d):
@@ -250,7 +250,7 @@ SQL = {
     "a12_read_metadata_delimited": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size FROM part",
     "a13_read_metadata_json": "SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name FROM part",
     "a14_read_hits": """WITH l AS (SELECT l_orderkey // 700 AS file, CASE WHEN l_discount > 0.05 THEN 'pdb100' ELSE 'afdb50' END AS db, * FROM lineitem)
-SELECT file, db, (row_number() OVER (PARTITION BY file, db ORDER BY l_orderkey, l_linenumber, l_quantity, l_tax, l_suppkey) - 1)::INT AS pos, l_orderkey || '-' || l_linenumber AS target, l_tax AS evalue, trunc(l_quantity)::INT AS aln_length, CASE WHEN l_linenumber > 2 THEN l_suppkey END::INT AS tax_id FROM l WHERE file % 7 <> 6""",
+SELECT file, db, (row_number() OVER (PARTITION BY file, db ORDER BY l_orderkey, l_linenumber, l_quantity, l_tax, l_suppkey) - 1)::INT AS pos, l_orderkey || '-' || l_linenumber AS target, l_tax AS evalue, trunc(l_quantity)::INT AS aln_length, CASE WHEN l_linenumber > 2 THEN l_suppkey ELSE -1 END::INT AS tax_id FROM l WHERE file % 7 <> 6""",
     "a14_unread_hits": "SELECT DISTINCT l_orderkey // 700 AS file FROM lineitem WHERE l_orderkey // 700 % 7 = 6",
     "a17_read_lddt_hits": """SELECT DISTINCT 'o' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey || '_' || round(l_discount * 100)::INT || '.pdb' AS target, l_discount AS tm_to_query, (l_linenumber + 2)::INT AS t_end, l_linenumber::INT AS values,
   '--' || list_aggregate(range(1, l_linenumber + 1), 'string_agg', '') || CASE WHEN l_linenumber = 5 THEN '' ELSE repeat('-', 7 - l_linenumber) END AS track FROM lineitem WHERE l_linenumber <> 6""",
