@@ -25,6 +25,8 @@ from taxaloom.session import cut
 GROUP_LIMIT = 2_000
 #: Points of a block when trees are spanned: two blocks are 2 * SPAN_ROWS vectors and SPAN_ROWS squared distances in a task.
 SPAN_ROWS = 1_000
+#: Members up to which joins go one by one in any case: a round may halve them, and the last three make the root.
+LEAST_LEFT = 8
 MERGES = "dataset string, step long, a long, b long, height double, size long"
 #: Fixed value: silhouette above which a later local maximum is a peak.
 PEAK = 0.35
@@ -387,7 +389,7 @@ def _joining_rounds(points: DataFrame, metric: str) -> tuple[DataFrame, DataFram
     while True:
         both = half.unionByName(half.select("dataset", F.col("b").alias("a"), F.col("a").alias("b"), "d", "new"))
         sums = cut(both.groupBy("dataset", "a").agg(F.sum("d").alias("r"), (F.count("*") + 1).alias("m"), F.max("new").alias("new")))
-        large = sums.where(F.col("m") > GROUP_LIMIT).select("dataset").distinct()
+        large = sums.where(F.col("m") > max(GROUP_LIMIT, LEAST_LEFT)).select("dataset").distinct()
         small = half.join(large, "dataset", "left_anti")
         left = small if left is None else left.unionByName(small)
         if large.isEmpty():
@@ -421,7 +423,7 @@ def neighbor_joining(points: DataFrame, metric: str = "cosine") -> DataFrame:
     the tree, as one join after the other does; else the order of joins may differ.
     """
     size = points.groupBy("dataset").agg(F.count("*").alias("n"))
-    large = cut(size.where(F.col("n") > GROUP_LIMIT).select("dataset"))
+    large = cut(size.where(F.col("n") > max(GROUP_LIMIT, LEAST_LEFT)).select("dataset"))
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("taxon_id")

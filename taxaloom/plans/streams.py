@@ -50,7 +50,7 @@ def h2_run_ends_stream(spark, d):
 QUERIES = {f.__name__: f for f in (h1_gate_sequences, h1_gate_stream, h2_run_status, h2_run_ends_stream)}
 
 _GATE = f"WITH {ad.SEQUENCES} SELECT taxon_id FROM sequences WHERE length(seq) >= {FLOOR}"
-_STATUS = f"""WITH e AS (SELECT user_id::VARCHAR AS run, epoch_ms(ts) AS t, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'running' END AS status FROM events),
+_STATUS = f"""WITH e AS (SELECT user_id::VARCHAR AS run, epoch_us(ts) // 1000 AS t, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'running' END AS status FROM events),
 now AS (SELECT max(t) - {monitor.HOUR} AS now FROM e),
 placed AS (SELECT *, row_number() OVER w AS k, lead(t) OVER w AS after FROM e WINDOW w AS (PARTITION BY run ORDER BY t, status)),
 ends AS (SELECT run, arg_min(k, k) AS k, arg_min(CASE WHEN status <> 'running' THEN status ELSE 'interrupted' END, k) AS status FROM placed, now

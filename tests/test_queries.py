@@ -22,10 +22,12 @@ def duck():
 
 
 def shown(v):
-    """Numbers alike whether integers or not, all nulls alike."""
+    """Whole numbers alike whether integers or not, others in six digits, all nulls alike."""
     if v is None or (pd.api.types.is_scalar(v) and pd.isna(v)):
         return "null"
-    return f"{float(v):.6g}" if isinstance(v, (int, float, np.number)) and not isinstance(v, (bool, np.bool_)) else str(v)
+    if isinstance(v, (int, float, np.number)) and not isinstance(v, (bool, np.bool_)):
+        return str(int(v)) if np.isfinite(v) and v == int(v) else f"{v:.6g}"
+    return str(v)
 
 
 def rows(frame):
