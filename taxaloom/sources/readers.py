@@ -177,14 +177,15 @@ def read_lddt_hits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_trees(spark: SparkSession, path: str) -> DataFrame:
-    """tree_id, newick, one row a tree: Newick files hold one a line, NEXUS files trees with a translation of tip names."""
+    """tree_id, newick, one row a tree: Newick files hold one a line, NEXUS files trees with a translation of tip names. Patterns give
+    nothing back that they took: else each character of a long tree takes a frame of the stack."""
     text = whole_files(spark, path)
     nexus = F.upper(F.ltrim("text")).startswith("#NEXUS")
-    plain = text.where(~nexus).select("path", F.posexplode(F.regexp_extract_all("text", F.lit(r"((?:'[^']*'|[^;'])+;)"), F.lit(1))).alias("n", "newick"))
+    plain = text.where(~nexus).select("path", F.posexplode(F.regexp_extract_all("text", F.lit(r"((?:'[^']*+'|[^;']++)++;)"), F.lit(1))).alias("n", "newick"))
     listed = F.regexp_extract("text", r"(?is)translate\s+(.*?);", 1)
     pairs = F.filter(F.transform(F.split(listed, ","), lambda x: F.split(F.regexp_replace(x, r"^\s+|\s+$", ""), r"\s+", 2)), lambda x: F.size(x) == 2)
     found = text.where(nexus).select("path", F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.get(x, F.lit(0)), F.get(x, F.lit(1))))).alias("names"), F.posexplode(F.regexp_extract_all("text", F.lit(r"(?im)^\s*tree\s+[^=]*=\s*(?:\[[^\]]*\]\s*)*([^;]*;)"), F.lit(1))).alias("n", "newick"))
-    tokens = F.regexp_extract_all("newick", F.lit(r"('(?:[^']|'')*'|[(),;:]|[^(),;:']+)"), F.lit(1))
+    tokens = F.regexp_extract_all("newick", F.lit(r"('(?:[^']++|'')*+'|[(),;:]|[^(),;:']+)"), F.lit(1))
     named = found.withColumn("newick", F.array_join(F.transform(tokens, lambda x: F.coalesce(F.try_element_at("names", F.trim(x)), x)), ""))
     every = plain.unionByName(named.select("path", "n", "newick"))
     return every.select(F.concat_ws("#", "path", "n").alias("tree_id"), F.regexp_replace("newick", r"^\s+", "").alias("newick"))
