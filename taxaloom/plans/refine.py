@@ -14,15 +14,19 @@ LIMITS = {"min_size": 4, "max_gap": 0.15}
 
 def _inputs(spark, d):
     """Brands as clusters; rows in which each type has columns of its own; pairs that are alike at 0.5 (type), 0.6 (and parity of the
-    size) and 0.7 (and name), so that clusters at each threshold are classes of equal values."""
+    size) and 0.7 (and name), so that clusters at each threshold are classes of equal values. Pairs are given between each class's
+    least member and the others: that connects the class, and no two parts of different classes."""
     p = table(spark, d, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("taxon_id"), F.col("p_partkey").alias("ord"), "p_brand", "p_type", "p_name", (F.col("p_size") % 2).alias("odd"), F.regexp_replace(F.lower("p_name"), "[^a-z]", "").alias("text"))
     slot = F.greatest(F.array_position(F.array(*map(F.lit, SLOTS)), F.col("p_type")) - 1, F.lit(0)).cast("int")
     row = F.concat(F.repeat(F.lit("-"), slot * WIDTH), F.rpad("text", WIDTH, "-"), F.repeat(F.lit("-"), (len(SLOTS) - 1 - slot) * WIDTH))
     aln = p.select("taxon_id", F.lit("3di").alias("alphabet"), row.alias("row"), "ord")
     members = p.join(p.groupBy("p_brand").agg(F.min("taxon_id").alias("rep")), "p_brand").select("taxon_id", "rep")
-    x, y = (p.select("p_brand", "p_type", F.col("taxon_id").alias(c), F.col("odd").alias(f"o{c}"), F.col("p_name").alias(f"n{c}")) for c in "ab")
-    alike = F.when(F.col("oa") != F.col("ob"), 0.5).when(F.col("na") != F.col("nb"), 0.6).otherwise(0.7)
-    pairs = x.join(y, ["p_brand", "p_type"]).where("a < b").select("a", "b", alike.alias("score"), F.lit(1.0).alias("coverage"))
+    # a class of equals is told by its pairs with its least member: those cover it alone, as all its pairs do, in the same order
+    classes = []
+    for score, key in ((0.5, ["p_brand", "p_type"]), (0.6, ["p_brand", "p_type", "odd"]), (0.7, ["p_brand", "p_type", "odd", "p_name"])):
+        least = p.groupBy(*key).agg(F.min("taxon_id").alias("a"))
+        classes.append(p.join(least, key).where("a < taxon_id").select("a", F.col("taxon_id").alias("b"), F.lit(score).alias("score"), F.lit(1.0).alias("coverage")))
+    pairs = classes[0].unionByName(classes[1]).unionByName(classes[2])
     return members, refine.measured_on(aln), refine.by_pairs(pairs, "tmscore")
 
 
