@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.operators.rounds import greedy_representatives
@@ -18,6 +20,8 @@ SET_MAX_GAP, SET_MAX_EXPANSION = 0.50, 1.5
 SPLIT_MAX_GAP, SPLIT_MAX_EXPANSION = 0.65, 3.0
 #: Columns of a word of a residue mask; words up to which each is a column of its own; shares of a group in which its rows meet.
 WORD, FEW_WORDS, SPREAD = 63, 16, 8
+#: Rows of counts (by, col, ch; some 100 bytes each) that a task adds up before it passes them on.
+COUNTS = 400_000
 
 
 def ungap(row: str | Column, gaps: str = "-") -> Column:
@@ -63,10 +67,9 @@ def needs_split(stats: DataFrame, key: list[str], both: bool = False, max_gap: f
 
 
 def strip_gap_columns(aln: DataFrame, by: list[str], gaps: str = "-") -> DataFrame:
-    """Rows without the columns in which every row of the alignment has a gap. Column numbers are gathered as sets with
-    partial aggregation; rows aren't exploded again."""
-    used = F.filter(F.transform(F.split("row", ""), lambda c, i: F.when((F.length(c) > 0) & ~F.lit(gaps).contains(c), i + 1)), lambda i: i.isNotNull())
-    keep = aln.select(*by, F.explode(used).alias("c")).distinct().groupBy(*by).agg(F.array_sort(F.collect_list("c")).alias("keep"))
+    """Rows without the columns in which every row of the alignment has a gap."""
+    used = column_counts(aln, by).where(~F.lit(gaps).contains(F.col("ch"))).select(*by, (F.col("col") + 1).alias("c")).distinct()
+    keep = used.groupBy(*by).agg(F.array_sort(F.collect_list("c")).alias("keep"))
     return aln.join(keep, by, "left").withColumn("row", F.coalesce(F.expr("array_join(transform(keep, c -> substr(row, c, 1)), '')"), F.lit(""))).drop("keep")
 
 
@@ -78,12 +81,47 @@ def sequence_coverage(aln: DataFrame, by: list[str]) -> DataFrame:
     return sized.select(*by, "taxon_id", "non_gaps", share(F.col("width")).alias("sequence_coverage"), share(longest).alias("domain_coverage"))
 
 
-def cells(aln: DataFrame, by: list[str], *more: str) -> DataFrame:
-    return aln.select(*by, *more, F.posexplode(F.expr("transform(sequence(1, length(row)), i -> substr(row, i, 1))")).alias("col", "ch"))
+def _counted(rows: list[str], ords: np.ndarray) -> pd.DataFrame:
+    """col, ch, n, first of some rows of an alignment."""
+    width = max(1, max(map(len, rows)))
+    points = np.array(rows, f"<U{width}").view("<u4").reshape(len(rows), width)[np.argsort(-ords, kind="stable")]
+    codes, at = np.unique(points, return_inverse=True)
+    place = at.reshape(points.shape) * width + np.arange(width)
+    n = np.bincount(place.ravel(), minlength=len(codes) * width)
+    first = np.zeros(len(codes) * width, np.int64)
+    first[place.ravel()] = np.repeat(np.sort(ords)[::-1], width)  # of equal places the last, so the least, stays
+    some = np.flatnonzero((n > 0) & (np.repeat(codes, width) > 0))
+    return pd.DataFrame({"col": (some % width).astype(np.int32), "ch": [chr(codes[i]) for i in some // width], "n": n[some], "first": first[some]})
+
+
+def column_counts(aln: DataFrame, by: list[str]) -> DataFrame:
+    """by, col, ch, n, first: how often each symbol stands in each column of an alignment, and the least ord of its rows. Rows are counted
+    in arrays where they lie, and only counts are shuffled; a task holds those of COUNTS rows before it passes them on."""
+    ord_ = F.coalesce(F.col("ord").cast("long"), F.lit(2**63 - 1)) if "ord" in aln.columns else F.lit(0).cast("long")
+    kinds = "".join(f"`{c}` {aln.schema[c].dataType.simpleString()}, " for c in by)
+    keys = [*by, "col", "ch"]
+
+    def count(batches):
+        held, size = [], 0
+        for b in batches:
+            for key, g in b.groupby(by, dropna=False, sort=False):
+                one = _counted(g["row"].tolist(), g["ord"].to_numpy(np.int64))
+                for i, (c, v) in enumerate(zip(by, key, strict=True)):
+                    one.insert(i, c, pd.Series([None if pd.isna(v) else v] * len(one), dtype=b[c].dtype))
+                held.append(one)
+                size += len(one)
+            if size > COUNTS:
+                yield pd.concat(held).groupby(keys, dropna=False, sort=False, as_index=False).agg({"n": "sum", "first": "min"})
+                held, size = [], 0
+        if held:
+            yield pd.concat(held).groupby(keys, dropna=False, sort=False, as_index=False).agg({"n": "sum", "first": "min"})
+
+    rows = aln.where("row <> ''").select(*by, "row", ord_.alias("ord"))
+    return rows.mapInPandas(count, f"{kinds}col int, ch string, n long, first long").groupBy(*keys).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
 
 
 def column_occupancy(aln: DataFrame, by: list[str]) -> DataFrame:
-    return cells(aln, by).groupBy(*by, "col").agg(F.round(F.avg((F.col("ch") != "-").cast("double")), 4).alias("occupancy"))
+    return column_counts(aln, by).groupBy(*by, "col").agg(F.round(F.sum(F.when(F.col("ch") != "-", F.col("n")).otherwise(0)) / F.sum("n"), 4).alias("occupancy"))
 
 
 def mutual_coverage(aln: DataFrame, by: list[str], at_least: float | None = None) -> DataFrame:
@@ -146,7 +184,7 @@ def greedy_partition(aln: DataFrame, by: list[str], least: float = 0.70) -> Data
 def consensus(aln: DataFrame, by: list[str]) -> DataFrame:
     """sequence of most frequent symbols and each column's share of all rows (gaps included)."""
     rows = aln.groupBy(*by).agg(F.count("*").alias("taxa"))
-    most = cells(aln, by, "ord").groupBy(*by, "col", "ch").agg(F.count("*").alias("n"), F.min("ord").alias("first")).groupBy(*by, "col").agg(F.max_by(F.struct("ch", "n"), F.struct("n", (-F.col("first")).alias("f"), "ch")).alias("x"))
+    most = column_counts(aln, by).groupBy(*by, "col").agg(F.max_by(F.struct("ch", "n"), F.struct("n", (-F.col("first")).alias("f"), "ch")).alias("x"))
     return most.join(rows, by).select(*by, "col", F.col("x.ch").alias("symbol"), F.round(F.col("x.n") / F.col("taxa"), 4).alias("conservation"))
 
 
