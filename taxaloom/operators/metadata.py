@@ -95,14 +95,15 @@ def match_to_leaves(meta: DataFrame, leaves: DataFrame) -> DataFrame:
     """(leaf, meta_id, rule): exact, lower case, blanks as underscores, letters and digits only, then the longest id of at least
     three characters that the leaf starts with before another character. All rules are equi joins."""
     low = lambda c: F.lower(c)
+    meta, leaves = meta.select("meta_id").distinct(), leaves.select("leaf").distinct()  # of equal ones each pair would meet
     forms = [lambda c: c, low, lambda c: F.replace(low(c), F.lit(" "), F.lit("_")), lambda c: F.regexp_replace(low(c), "[^a-z0-9]", "")]
     offers = lambda df, c: df.select(F.col(c).alias("x"), F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), f(F.col(c)).alias("form")) for i, f in enumerate(forms)])).alias("o")).select("x", "o.rule", "o.form").where("form <> ''")
     equal = offers(leaves, "leaf").withColumnRenamed("x", "leaf").join(offers(meta, "meta_id").withColumnRenamed("x", "meta_id"), ["rule", "form"]).select("leaf", "meta_id", "rule", F.length("meta_id").alias("n"))
     ends = F.filter(F.sequence(F.lit(3), F.greatest(F.length("leaf") - 1, F.lit(3))), lambda i: F.substr(F.col("leaf"), i + 1, F.lit(1)).rlike("[^A-Za-z0-9]"))
     heads = leaves.select("leaf", F.explode(ends).alias("n")).select("leaf", "n", F.lower(F.substr(F.col("leaf"), F.lit(1), F.col("n"))).alias("form"))
     prefix = heads.join(meta.where(F.length("meta_id") >= 3).select("meta_id", F.lower("meta_id").alias("form")), "form").select("leaf", "meta_id", F.lit(4).alias("rule"), "n")
-    k = F.row_number().over(Window.partitionBy("leaf").orderBy("rule", F.desc("n"), "meta_id"))
-    return equal.unionByName(prefix).withColumn("k", k).where("k = 1").select("leaf", "meta_id", "rule")
+    first = F.min(F.struct("rule", (-F.col("n")).alias("n"), "meta_id")).alias("x")
+    return equal.unionByName(prefix).groupBy("leaf").agg(first).select("leaf", "x.meta_id", "x.rule")
 
 
 def leaf_metadata(leaves: DataFrame, match: DataFrame, meta: DataFrame, column: str, missing: str = "Unclassified") -> DataFrame:
