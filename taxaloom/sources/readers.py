@@ -65,8 +65,13 @@ def parse_mmcif(files: DataFrame) -> DataFrame:
     lines = files.select("path", F.transform(F.split("text", r"\r?\n"), lambda x: F.trim(x)).alias("lines"))
     head = F.transform(F.filter("lines", lambda x: x.startswith("_atom_site.")), lambda x: F.split_part(x, F.lit("."), F.lit(2)))
     rows = F.filter("lines", lambda x: x.startswith("ATOM") | x.startswith("HETATM"))
-    each = lines.select("path", head.alias("head"), F.posexplode(rows).alias("pos", "line")).withColumn("t", F.split("line", r"\s+")).where("size(t) >= size(head)")
-    at = lambda *names: F.coalesce(*[F.when(F.array_position("head", n) > 0, F.get("t", (F.array_position("head", n) - 1).cast("int"))) for n in names])
+    # where each column stands is found once a file
+    wanted = {"label_atom_id": "auth_atom_id", "label_seq_id": "auth_seq_id", "label_comp_id": "auth_comp_id", "Cartn_x": None, "Cartn_y": None, "Cartn_z": None, "occupancy": None, "B_iso_or_equiv": None}
+    stands = lambda n: F.nullif(F.array_position("head", n), F.lit(0).cast("long"))
+    places = [(F.coalesce(*[stands(n) for n in (name, other) if n]) - 1).cast("int").alias(f"at_{name}") for name, other in wanted.items()]
+    headed = lines.select("path", "lines", head.alias("head")).select("path", "lines", F.size("head").alias("width"), *places)
+    each = headed.select("path", "width", *[f"at_{n}" for n in wanted], F.posexplode(rows).alias("pos", "line")).withColumn("t", F.split("line", r"\s+")).where("size(t) >= width")
+    at = lambda name, other=None: F.get("t", F.col(f"at_{name}"))
     num = lambda *names: at(*names).try_cast("double")
     atoms = each.where(at("label_atom_id", "auth_atom_id") == "CA").select("path", "pos", at("label_seq_id", "auth_seq_id").try_cast("int").alias("resnum"), at("label_comp_id", "auth_comp_id").alias("resname"), *[F.round(num(f"Cartn_{c}"), 1).alias(c) for c in "xyz"], num("occupancy").alias("occupancy"), num("B_iso_or_equiv").alias("bfactor"))
     out = _numbered(atoms.where("x is not null and y is not null and z is not null"))
