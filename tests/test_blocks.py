@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import clusters, distances, partitions
+from taxaloom.operators import alignment, clusters, distances, partitions, trees
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +84,24 @@ def test_silhouette_meets_clusters_in_blocks(spark, cloud, monkeypatch):
     assert partitions.silhouette(labels).first()["silhouette"] == pytest.approx(np.mean(s), abs=1e-9)
     plan = partitions.scoped_silhouette(labels, 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "MapInArrow" not in plan
+
+
+def test_coverage_of_all_pairs_goes_by_blocks(spark):
+    rng = np.random.default_rng(6)
+    rows = [("pq"[i % 2], f"t{i}", "".join(rng.choice(list("ab-"), 1 + i % 9)) if i else "---", int(i * 7 % 30)) for i in range(40)]
+    found = alignment.mutual_coverage(spark.createDataFrame(rows, "p string, taxon_id string, row string, ord int"), ["p"])
+    assert "FlatMapGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    own, want = {t: {i for i, c in enumerate(r) if c != "-"} for _, t, r, _ in rows}, {}
+    for p, a, _, o in rows:
+        for q, b, _, u in rows:
+            if p == q and o < u:
+                n, lo, hi = len(own[a] & own[b]), *sorted((len(own[a]), len(own[b])))
+                want[p, a, b] = (n, *(int(n * 10_000 / k + 0.5) / 10_000 if k else 0.0 for k in (lo, hi)))
+    assert {(r["p"], r["a"], r["b"]): (r["mutual"], r["cov_min"], r["cov_max"]) for r in found.collect()} == want
+
+
+def test_first_tips_take_no_array_of_names(spark):
+    nodes = trees.parse_newick(spark.createDataFrame([(1, "((d:1,b:1):1,(c:1,(e:1,a:1):1):1,aa:1);")], "tree_id int, newick string"))
+    found = trees.order_branches(nodes, "alpha")
+    assert [r["name"] for r in found.orderBy("rank").collect()] == ["a", "e", "c", "aa", "b", "d"]
+    assert "slice(" not in found._jdf.queryExecution().optimizedPlan().toString()
