@@ -215,6 +215,27 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert search.self_search(documents(spark, [])).count() == 0
 
 
+def test_search_cuts_texts_once_and_leaves_nothing_out(spark, monkeypatch):
+    for name, value in {"SHARD_ROWS": 50, "QUERY_TERMS": 60, "BLOCK": 8, "DENSE": 5, "RUN": 2, "FIRST": 3}.items():
+        monkeypatch.setattr(search, name, value, raising=False)
+    random.seed(11)
+    words = ["w%d" % int(random.paretovariate(0.6)) for _ in range(3000)]
+    rows = [(i, " ".join(random.choices(words, k=random.randint(1, 80)))) for i in range(400)]
+    rows += [(400 + i, rows[i % 5 * 50][1]) for i in range(100)]  # copies of queries, more than k of each
+    cut_texts = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda t: cut_texts.add(1) or t, "string").asNondeterministic()
+    found = collections.defaultdict(list)
+    for r in search.self_search(documents(spark, rows).withColumn("text", seen("text"))).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["doc_id"])
+    assert cut_texts.value <= 2 * len(rows)
+    bags = {i: collections.Counter(t.split()) for i, t in rows}
+    n, size = len(bags), {i: sum(b.values()) for i, b in bags.items()}
+    mean, df = sum(size.values()) / n, collections.Counter(w for b in bags.values() for w in b)
+    for q in range(0, 500, 50):
+        score = {i: sum(c * math.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * size[i] / mean)) for w, c in bags[q].items() if w in b) for i, b in bags.items()}
+        assert found[q] == [i for _, i in sorted((-round(s, 9), i) for i, s in score.items() if s > 0)[:10]]
+
+
 def test_pipeline_on_a_small_corpus(spark, tmp_path):
     import corpus_pipeline
 
